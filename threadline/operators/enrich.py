@@ -102,6 +102,93 @@ def _tagged(tag: str, keys: Column) -> Column:
     return F.transform(keys, lambda k: F.concat(F.lit(f"{tag}:"), k))
 
 
+def _piece_keys(text: str, length: str, edits: int) -> str:
+    """Keys (length, piece number, piece) of the table names near ``text``.
+
+    A table name of ``length`` is cut into ``edits + 1`` pieces. Edits can touch
+    all but one, and the one left appears in the other name, moved by at most
+    ``edits`` places.
+    """
+    cut = f"(i * l div {edits + 1})"
+    end = f"((i + 1) * l div {edits + 1})"
+    fits = f"filter(sequence(-{edits}, {edits}), s -> {cut} + s >= 0 AND {end} + s <= length({text}))"
+    piece = f"substr({text}, int({cut} + s + 1), int({end} - {cut}))"
+    per_length = (
+        f"flatten(transform(sequence(0, {edits}), i -> "
+        f"transform({fits}, s -> concat(l, ':', i, ':', {piece}))))"
+    )
+    return f"array_distinct(flatten(transform({length}, l -> {per_length})))"
+
+
+def _near_pieces(
+    names: DataFrame, tables: DataFrame, edits: int, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """Names and tables that share an untouched piece with the other side.
+
+    A superset of those within ``edits`` of each other. Pieces are made distinct
+    before they meet, so a common one is one row and no pairs are formed.
+    """
+    # On the table side the piece stands where it was cut.
+    own = F.expr(
+        f"transform(sequence(0, {edits}), i -> concat(length(table_name), ':', i, ':', "
+        f"substr(table_name, int((i * length(table_name) div {edits + 1}) + 1), "
+        f"int(((i + 1) * length(table_name) div {edits + 1}) - (i * length(table_name) div {edits + 1})))))"
+    )
+    lengths = f"sequence(greatest(length(dataset_name) - {edits}, 0), length(dataset_name) + {edits})"
+    probe = F.expr(_piece_keys("dataset_name", lengths, edits))
+    pieces = tables.select("table_name", F.explode(own).alias("key"))
+    probes = names.select("dataset_name", F.explode(probe).alias("key"))
+    return (
+        scratch.save(
+            probes.join(pieces.select("key").distinct(), "key", "left_semi").select("dataset_name").distinct(), "names"
+        ),
+        scratch.save(
+            pieces.join(probes.select("key").distinct(), "key", "left_semi").select("table_name").distinct(), "tables"
+        ),
+    )
+
+
+def _shape(name: str) -> Column:
+    return F.translate(name, "0123456789", "").alias("shape")
+
+
+def _near_shapes(
+    names: DataFrame, tables: DataFrame, edits: int, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """Names and tables whose text without digits is within ``edits`` of the other side's.
+
+    Leaving characters of one kind out of both names never adds edits, so no
+    match is lost. Numbered names share few shapes, which makes this a small
+    join; where shapes are about as many as names it would not help and is
+    skipped.
+    """
+    left, n_names = scratch.save_counted(names.select("dataset_name", _shape("dataset_name")), "shaped")
+    right, n_tables = scratch.save_counted(tables.select("table_name", _shape("table_name")), "shaped")
+    left_shapes, n_left = scratch.save_counted(left.select("shape").distinct(), "shapes")
+    right_shapes, n_right = scratch.save_counted(right.select("shape").distinct(), "shapes")
+    if 2 * (n_left + n_right) > n_names + n_tables:
+        return names, tables
+
+    def keyed(shapes: DataFrame, catalog_side: bool) -> DataFrame:
+        levels = [_tagged("", F.array(F.col("shape")))]
+        levels += [_edit_keys(F.col("shape"), e, catalog_side) for e in range(1, edits + 1)]
+        return scratch.save(shapes.select("shape", F.explode(F.concat(*levels)).alias("key")), "shapekeys")
+
+    left_keys, right_keys = keyed(left_shapes, False), keyed(right_shapes, True)
+
+    def kept(side: DataFrame, total: int, mine: DataFrame, other: DataFrame, column: str) -> DataFrame:
+        near = mine.join(other.select("key").distinct(), "key", "left_semi").select("shape").distinct()
+        hot = find_hot_keys(side, "shape", total=total)
+        return scratch.save(
+            skew_join(side, near, "shape", "left_semi", hot_left=hot, by_left=[column]).select(column), "near"
+        )
+
+    return (
+        kept(left, n_names, left_keys, right_keys, "dataset_name"),
+        kept(right, n_tables, right_keys, left_keys, "table_name"),
+    )
+
+
 def match_catalog(
     datasets: DataFrame, catalog: DataFrame, max_edits: int = 2, min_confidence: float = 0.7
 ) -> DataFrame:
@@ -111,7 +198,8 @@ def match_catalog(
     first. The rest meet through edit keys, an exact blocking: the catalogue
     keeps one (the smallest) table name per key, because all names behind a key
     are equally far away, so a crowded neighbourhood costs one row per key and
-    no pairs. Names already matched at one edit do not enter the second step.
+    no pairs. Names far from every table are set aside before keys are formed,
+    and names matched at one edit do not enter the second step.
     """
     if max_edits not in (0, 1, 2):
         raise ValueError("max_edits must be 0, 1 or 2")
@@ -120,9 +208,15 @@ def match_catalog(
     tables = scratch.save(catalog.select("table_name").distinct(), "tables")
     step = names.join(tables.withColumn("dataset_name", F.col("table_name")), "dataset_name", "left")
     matches: list[DataFrame] = []
+    far: list[DataFrame] = []
     for edits in range(max_edits + 1):
+        if edits == 1:
+            near, near_tables = _near_shapes(rest, tables, max_edits, scratch)
+            near, near_tables = _near_pieces(near, near_tables, max_edits, scratch)
+            far.append(rest.join(near, "dataset_name", "left_anti"))
+            rest = near
         if edits:
-            keyed = tables.select("table_name", F.explode(_edit_keys(F.col("table_name"), edits, True)).alias("key"))
+            keyed = near_tables.select("table_name", F.explode(_edit_keys(F.col("table_name"), edits, True)).alias("key"))
             nearest = keyed.groupBy("key").agg(F.min("table_name").alias("table_name"))
             best = F.max_by("table_name", F.length("table_name"))
             found = (
@@ -144,7 +238,7 @@ def match_catalog(
         .select("dataset_name", F.col("table_name").alias("unity_catalog_match"), confidence.alias("match_confidence"))
     )
     good = F.col("match_confidence") >= min_confidence
-    unmatched = rest.select(
+    unmatched = reduce(DataFrame.unionByName, far, rest).select(
         "dataset_name",
         F.lit(None).cast("string").alias("unity_catalog_match"),
         F.lit(None).cast("double").alias("match_confidence"),

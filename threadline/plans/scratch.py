@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -39,10 +39,13 @@ class Scratch:
         """Write a frame and read it back."""
         return self._write(df, label)[0]
 
-    def save_counted(self, df: DataFrame, label: str) -> tuple[DataFrame, int]:
-        """Same, with the number of rows, counted while they are written."""
+    def save_counted(
+        self, df: DataFrame, label: str, condition: Column | None = None
+    ) -> tuple[DataFrame, int]:
+        """Same, with the number of rows (that meet a condition), counted while they are written."""
         seen = Observation()
-        saved, _ = self._write(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+        rows = F.count_if(F.lit(True) if condition is None else condition)
+        saved, _ = self._write(df.observe(seen, rows.alias("rows")), label)
         return saved, seen.get["rows"]
 
     def _write(self, df: DataFrame, label: str) -> tuple[DataFrame, str]:
