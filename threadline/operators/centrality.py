@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from threadline.plans.scratch import Scratch
-from threadline.plans.skew import find_hot_keys, skew_join
+from threadline.plans.skew import find_hot_keys, partitioned
 
 
 def simple_graph(edges: DataFrame, source: str, target: str) -> DataFrame:
@@ -49,21 +49,23 @@ def pagerank(
     if n == 0:
         return degrees.select("node_id", F.lit(0.0).alias("pagerank"))
     state, dead = write(degrees.withColumn("rank", F.lit(1.0 / n)), "rank0")
-    for i in range(1, rounds + 1):
-        shares = state.filter(F.col("out") > 0).select(
-            F.col("node_id").alias("src"), (F.col("rank") / F.col("out")).alias("share")
-        )
-        sent = skew_join(graph, shares, "src", hot_left=hot, by_left=["dst"]).select(
-            F.col("dst").alias("node_id"), "share", F.lit(None).cast("double").alias("out")
-        )
-        kept = state.select("node_id", F.lit(0.0).alias("share"), "out")
-        rank = F.lit((1.0 - damping) / n + damping * dead / n) + F.lit(damping) * F.sum("share")
-        state, dead = write(
-            sent.unionByName(kept)
-            .groupBy("node_id")
-            .agg(F.max("out").alias("out"), rank.alias("rank")),
-            f"rank{i}",
-        )
+    # Edges stay where they are; only ranks move.
+    with partitioned(graph, "src", hot, ["dst"]) as held:
+        for i in range(1, rounds + 1):
+            shares = state.filter(F.col("out") > 0).select(
+                F.col("node_id").alias("src"), (F.col("rank") / F.col("out")).alias("share")
+            )
+            sent = held.join(shares).select(
+                F.col("dst").alias("node_id"), "share", F.lit(None).cast("double").alias("out")
+            )
+            kept = state.select("node_id", F.lit(0.0).alias("share"), "out")
+            rank = F.lit((1.0 - damping) / n + damping * dead / n) + F.lit(damping) * F.sum("share")
+            state, dead = write(
+                sent.unionByName(kept)
+                .groupBy("node_id")
+                .agg(F.max("out").alias("out"), rank.alias("rank")),
+                f"rank{i}",
+            )
     return state.select("node_id", F.col("rank").alias("pagerank"))
 
 
@@ -101,23 +103,23 @@ def betweenness(
         sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("paths")), "level0"
     )
     levels, trees, seen = [level], [], level.select("s", "v")
-    while rows:
-        hot_level = find_hot_keys(level, "v", total=rows)
-        steps = skew_join(
-            level.withColumnRenamed("v", "src"), graph, "src",
-            hot_left=hot_level, hot_right=hot_edges, by_left=["s"], by_right=["dst"],
-        ).select("s", F.col("src").alias("u"), F.col("dst").alias("v"), "paths")
-        tree, tree_rows = scratch.save_counted(
-            steps.join(seen, ["s", "v"], "left_anti"), f"tree{len(levels)}"
-        )
-        if tree_rows == 0:
-            break
-        level, rows = scratch.save_counted(
-            tree.groupBy("s", "v").agg(F.sum("paths").alias("paths")), f"level{len(levels)}"
-        )
-        levels.append(level)
-        trees.append(tree)
-        seen = seen.unionByName(level.select("s", "v"))
+    with partitioned(graph, "src", hot_edges, ["dst"]) as held:
+        while rows:
+            hot_level = find_hot_keys(level, "v", total=rows)
+            steps = held.join(level.withColumnRenamed("v", "src"), hot_level, ["s"]).select(
+                "s", F.col("src").alias("u"), F.col("dst").alias("v"), "paths"
+            )
+            tree, tree_rows = scratch.save_counted(
+                steps.join(seen, ["s", "v"], "left_anti"), f"tree{len(levels)}"
+            )
+            if tree_rows == 0:
+                break
+            level, rows = scratch.save_counted(
+                tree.groupBy("s", "v").agg(F.sum("paths").alias("paths")), f"level{len(levels)}"
+            )
+            levels.append(level)
+            trees.append(tree)
+            seen = seen.unionByName(level.select("s", "v"))
 
     zero = F.lit(0.0)
     delta: DataFrame | None = None

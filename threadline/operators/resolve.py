@@ -8,7 +8,7 @@ from threadline.config import ParseOptions
 from threadline.functions import extract, macros
 from threadline.functions.paths import base_name, candidate_path, plain_path
 from threadline.plans.scratch import Scratch
-from threadline.plans.skew import find_hot_keys, skew_join
+from threadline.plans.skew import find_hot_keys, partitioned, skew_join
 
 
 def macro_definitions(files: DataFrame) -> DataFrame:
@@ -137,16 +137,8 @@ def expanded_includes(
     )
     hot_steps = find_hot_keys(steps, "at")
 
-    def expand(frontier: DataFrame, seen: DataFrame | None, frontier_rows: int | None) -> DataFrame:
-        if seen is None:
-            reached = steps.withColumn("root", F.col("at"))
-        else:
-            hot = find_hot_keys(frontier, "at", total=frontier_rows)
-            reached = skew_join(
-                frontier, steps, "at", hot_left=hot, hot_right=hot_steps,
-                by_left=["root"], by_right=["to"],
-            )
-        merged = (
+    def merged(reached: DataFrame) -> DataFrame:
+        return (
             reached.filter(F.col("to") != F.col("root"))
             .groupBy("root", "to")
             .agg(
@@ -154,21 +146,20 @@ def expanded_includes(
                 F.first("resolved_path").alias("resolved_path"),
             )
         )
-        return merged if seen is None else merged.join(seen, ["root", "to"], "left_anti")
-
-    level, frontier, seen, rows = 1, None, None, None
-    listed: DataFrame | None = None
-    while max_level is None or level <= max_level:
-        found, rows = scratch.save_counted(expand(frontier, seen, rows), f"level{level}")
-        if rows == 0:
-            break
-        found_at = found.withColumn("expansion_level", F.lit(level))
-        listed = found_at if listed is None else listed.unionByName(found_at)
-        seen = listed.select("root", "to")
-        frontier = found.filter(F.col("resolved_path").isNotNull()).select("root", F.col("to").alias("at"))
-        level += 1
-    if listed is None:
-        listed = found.withColumn("expansion_level", F.lit(1))
+
+    found, rows = scratch.save_counted(merged(steps.withColumn("root", F.col("at"))), "level1")
+    listed = found.withColumn("expansion_level", F.lit(1))
+    level = 1
+    with partitioned(steps, "at", hot_steps, ["to"]) as held:
+        while rows and (max_level is None or level < max_level):
+            level += 1
+            frontier = found.filter(F.col("resolved_path").isNotNull()).select("root", F.col("to").alias("at"))
+            hot = find_hot_keys(frontier, "at")
+            reached = merged(held.join(frontier, hot, ["root"]))
+            new = reached.join(listed.select("root", "to"), ["root", "to"], "left_anti")
+            found, rows = scratch.save_counted(new, f"level{level}")
+            if rows:
+                listed = listed.unionByName(found.withColumn("expansion_level", F.lit(level)))
     listed = listed.select(
         F.col("root").alias("file_path"), "include_file", "resolved_path", "expansion_level"
     )

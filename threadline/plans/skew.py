@@ -8,8 +8,11 @@ found once, by an exact count, and their rows are spread over salts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is hot above this share of all rows, so fewer than 1/SHARE keys are.
@@ -107,3 +110,47 @@ def skew_join(
     right = right.withColumn("_b", hot_right.spread(k, by_right or right.columns))
     right = right.withColumn("_a", F.explode(hot_left.copies(k)))
     return left.join(right, [key, "_a", "_b"], how).drop("_a", "_b")
+
+
+@dataclass(frozen=True)
+class Partitioned:
+    """The unchanging side of a loop's join, held partitioned and sorted by its key."""
+
+    df: DataFrame
+    key: str
+    hot: HotKeys
+
+    def join(
+        self, left: DataFrame, hot_left: HotKeys = NO_HOT_KEYS, by_left: list[str] | None = None
+    ) -> DataFrame:
+        """Inner join with ``left`` on the key. Only ``left`` moves, unless it has hot
+        keys of its own; then this side is repeated for them and moves as well."""
+        k = F.col(self.key)
+        keys, right = [self.key], self.df
+        if self.hot:
+            left = left.withColumn("_b", F.explode(self.hot.copies(k)))
+            keys.append("_b")
+        if hot_left:
+            left = left.withColumn("_a", hot_left.spread(k, by_left or left.columns))
+            right = right.withColumn("_a", F.explode(hot_left.copies(k)))
+            keys.append("_a")
+        return left.join(right, keys).drop("_a", "_b")
+
+
+@contextmanager
+def partitioned(df: DataFrame, key: str, hot: HotKeys, by: list[str]) -> Iterator[Partitioned]:
+    """Hold a durable table partitioned by ``key`` for the rounds of a loop.
+
+    A lost block is rebuilt from the table. Nothing that outlives the loop may
+    depend on the held frame.
+    """
+    keys = [key]
+    if hot:
+        df = df.withColumn("_b", hot.spread(F.col(key), by))
+        keys.append("_b")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = df.repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield Partitioned(held, key, hot)
+    finally:
+        held.unpersist()
