@@ -44,7 +44,7 @@ def pagerank(
         seen = Observation()
         dead = F.sum(F.when(F.col("out") == 0, F.col("rank")).otherwise(0.0))
         saved = scratch.save(state.observe(seen, F.coalesce(dead, F.lit(0.0)).alias("dead")), label)
-        return saved, seen.get["dead"]
+        return saved, seen.get.get("dead", 0.0)
 
     if n == 0:
         return degrees.select("node_id", F.lit(0.0).alias("pagerank"))
@@ -60,12 +60,14 @@ def pagerank(
             )
             kept = state.select("node_id", F.lit(0.0).alias("share"), "out")
             rank = F.lit((1.0 - damping) / n + damping * dead / n) + F.lit(damping) * F.sum("share")
+            last = state
             state, dead = write(
                 sent.unionByName(kept)
                 .groupBy("node_id")
                 .agg(F.max("out").alias("out"), rank.alias("rank")),
                 f"rank{i}",
             )
+            scratch.discard(last)
     return state.select("node_id", F.col("rank").alias("pagerank"))
 
 

@@ -185,16 +185,15 @@ def stage_durations(
     paired = started.join(chunks, [*group, "chunk"], "left").withColumn(
         "end", F.coalesce("next_end", "later_end")
     )
-    seconds = F.unix_micros(F.col("end.end_time").cast("timestamp")) - F.unix_micros(
-        F.col("start_time").cast("timestamp")
-    )
+    # As an interval, so that times without a zone do not pass through the session's.
+    elapsed = (F.col("end.end_time") - F.col("start_time")).cast("interval second")
     return paired.select(
         *group,
         *tie,
         "start_time",
         F.col("end.end_time").alias("end_time"),
         F.col("end.end_status").alias("end_status"),
-        (seconds / F.lit(1_000_000.0)).alias("seconds"),
+        elapsed.cast("decimal(18,6)").cast("double").alias("seconds"),
     )
 
 

@@ -34,10 +34,12 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self._writes = 0
+        # The frames are kept with their paths, so that their ids stay theirs.
+        self._saved: dict[int, tuple[DataFrame, str]] = {}
 
     def save(self, df: DataFrame, label: str) -> DataFrame:
         """Write a frame and read it back."""
-        return self._write(df, label)[0]
+        return self._write(df, label)
 
     def save_counted(
         self, df: DataFrame, label: str, condition: Column | None = None
@@ -45,11 +47,20 @@ class Scratch:
         """Same, with the number of rows (that meet a condition), counted while they are written."""
         seen = Observation()
         rows = F.count_if(F.lit(True) if condition is None else condition)
-        saved, _ = self._write(df.observe(seen, rows.alias("rows")), label)
-        return saved, seen.get["rows"]
+        saved = self._write(df.observe(seen, rows.alias("rows")), label)
+        return saved, seen.get.get("rows", 0)
 
-    def _write(self, df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    def discard(self, saved: DataFrame) -> None:
+        """Delete a table of this job that no later table will read."""
+        entry = self._saved.pop(id(saved), None)
+        if entry is not None:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(entry[1])
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def _write(self, df: DataFrame, label: str) -> DataFrame:
         self._writes += 1
         path = f"{self.root}/{self._writes:05d}-{label}"
         df.write.mode("errorifexists").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), path
+        saved = self.spark.read.schema(df.schema).parquet(path)
+        self._saved[id(saved)] = (saved, path)
+        return saved
