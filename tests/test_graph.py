@@ -196,3 +196,29 @@ def test_graph_check_finds_faults(spark):
         "nodes": 3, "dangling_ends": 1, "isolated_nodes": 1, "edges": 4, "self_loops": 1,
         "duplicate_edges": 1, "cycles": 1, "cycle_members": 1,
     }
+
+
+def test_graph_without_edges(spark):
+    none = pairs(spark, [])
+    assert centrality.pagerank(none, "a", "b").count() == 0
+    assert centrality.betweenness(none, "a", "b").count() == 0
+    assert reach.lineage_closure(none, "a", "b").count() == 0
+    assert reach.strong_components(none, "a", "b").count() == 0
+
+
+def test_rounds_do_not_move_the_edges(spark):
+    from threadline.plans.scratch import Scratch
+    from threadline.plans.skew import NO_HOT_KEYS, partitioned
+
+    edges = Scratch(spark, "t").save(pairs(spark, ALL).toDF("src", "dst"), "edges")
+    ranks = Scratch(spark, "t").save(edges.select("src").distinct(), "ranks")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with partitioned(edges, "src", NO_HOT_KEYS, ["dst"]) as held:
+            joined = held.join(ranks)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert joined.count() == edges.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and plan.count("ENSURE_REQUIREMENTS") == 1

@@ -150,6 +150,7 @@ def partitioned(df: DataFrame, key: str, hot: HotKeys, by: list[str]) -> Iterato
         keys.append("_b")
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = df.repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    held.count()  # a join planned before the cache is filled does not see its partitioning
     try:
         yield Partitioned(held, key, hot)
     finally:
