@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__ as registry
 from checks.compare import connect, differences
+from checks.oracles import ORACLES
+from checks.registered import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
@@ -19,7 +21,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert differences(registry.queries()[name](spark, SF), con, registry.oracle_sql()[name]) == []
 
@@ -29,6 +31,6 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql_without_limits():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
-    limited = {n for n, sql in registry.oracle_sql().items() if re.search(r"\bLIMIT\b", sql)}
+    assert QUERIES.keys() == ORACLES.keys()
+    limited = {n for n, sql in ORACLES.items() if re.search(r"\bLIMIT\b", sql)}
     assert limited == {"top_critical_files"}
