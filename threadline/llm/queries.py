@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadline.llm import fingerprint, language, mixture, quality, sharding, token_files
+from threadline.llm import fingerprint, language, mixture, quality, sharding, substring, token_files
 from threadline.llm.inputs import table
 from threadline.plans.scratch import Scratch
 
@@ -57,6 +57,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out())
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op3_mixture": op3_mixture,
@@ -64,5 +69,20 @@ QUERIES: dict[str, Query] = {
     "op7_fingerprints": op7_fingerprints,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
+    "op10_substring_dedup": op10_substring_dedup,
+}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLES: dict[str, str] = {
+    "op10_substring_dedup": f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+  starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs WHERE len(w) >= 13),
+  windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS words FROM starts),
+  least AS (SELECT words, min(doc_id) AS first_doc FROM windows GROUP BY words),
+  gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS i FROM windows JOIN least USING (words) WHERE doc_id > first_doc),
+  lists AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string([w[j] FOR j IN range(1, len(w) + 1) IF NOT list_contains(coalesce(gone, []), j)], ' ')) AS kept_sha256
+FROM docs LEFT JOIN lists USING (doc_id)
+""",
 }
-ORACLES: dict[str, str] = {}
