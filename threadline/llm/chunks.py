@@ -19,15 +19,17 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from threadline.llm.arrow import pack_numbers, pack_sorted, unpack_sorted
 from threadline.plans.scratch import Scratch
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _ROW_BITS = 16  # rows in a chunk, at most 2**16
 _SHARD_BYTES = 16 << 20  # text behind one shard of the key space, about
 _LEAST_SHARDS = 64
 
 SCHEMA = "chunk long, n int, bytes long, payload binary"
 BITS = "chunk long, shard int, bits binary"
+KEYS = "chunk long, shard int, keys binary, more binary, docs binary"
 
 
 @dataclass(frozen=True)
@@ -138,3 +140,34 @@ def spread(values: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return np.repeat(values, np.diff(np.append(starts, n)))
 
 
+def send(chunk: int, shards: np.ndarray, keys: np.ndarray, more: np.ndarray | None = None, docs: np.ndarray | None = None) -> pa.RecordBatch:
+    """One block of sorted keys, and what goes with them, for each shard."""
+    parts = list(by_shard(shards))
+    column = lambda f: pa.array([f(lo, hi) for _, lo, hi in parts], pa.binary())
+    return pa.record_batch({
+        "chunk": pa.array([chunk] * len(parts), pa.int64()), "shard": pa.array([p[0] for p in parts], pa.int32()),
+        "keys": column(lambda lo, hi: pack_sorted(keys[lo:hi])),
+        "more": column(lambda lo, hi: b"" if more is None else pack_numbers(more[lo:hi])),
+        "docs": column(lambda lo, hi: b"" if docs is None else pack_numbers(docs[lo:hi])),
+    })
+
+
+def reply(group: pa.Table, blocks: list[np.ndarray], bit: np.ndarray) -> pa.Table:
+    """The bits of each block; blocks without a set bit need no answer."""
+    bounds = np.cumsum([0, *map(len, blocks)])
+    packed = [np.packbits(bit[a:b]).tobytes() if bit[a:b].any() else None for a, b in zip(bounds, bounds[1:])]
+    out = pa.table({"chunk": group.column("chunk"), "shard": group.column("shard"), "bits": pa.array(packed, pa.binary())})
+    return out.filter(pa.compute.is_valid(out.column("bits")))
+
+
+def shared(group: pa.Table) -> pa.Table:
+    """Bit of each key: do two documents hold it? Keys come with a last bit for that within their chunk."""
+    blocks = [unpack_sorted(b) for b in group.column("keys").to_pylist()]
+    keys = np.concatenate(blocks)
+    order = np.argsort(keys, kind="stable")
+    starts = runs(keys[order] >> np.uint64(1))
+    several = np.diff(np.append(starts, len(keys))) > 1
+    several |= np.bitwise_or.reduceat(keys[order] & np.uint64(1), starts).astype(bool) if len(starts) else False
+    bit = np.empty(len(keys), dtype=bool)
+    bit[order] = spread(several, starts, len(keys))
+    return reply(group, blocks, bit)

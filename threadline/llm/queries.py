@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadline.llm import fingerprint, language, mixture, quality, sharding, substring, token_files
+from threadline.llm import fingerprint, jaccard, language, mixture, quality, sharding, substring, token_files
 from threadline.llm.inputs import table
 from threadline.plans.scratch import Scratch
 
@@ -23,6 +23,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Scratch(spark, 'tokens').root}/ids"
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"))
@@ -63,6 +67,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_files": op2_token_files,
     "op3_mixture": op3_mixture,
     "op4_sharding": op4_sharding,
@@ -74,6 +79,23 @@ QUERIES: dict[str, Query] = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, [translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR x IN {_WORDS}] AS w FROM documents),
+  shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+  sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+  common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+  links AS MATERIALIZED (
+    SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+  reach AS (
+    SELECT x AS doc_id, y FROM links UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.y),
+  least AS (SELECT doc_id, min(y) AS y FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+""",
     "op10_substring_dedup": f"""
 WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
   starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs WHERE len(w) >= 13),

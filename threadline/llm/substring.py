@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from threadline.llm import chunks as ch
-from threadline.llm.arrow import ids_of, pack_numbers, pack_sorted, unpack_numbers, unpack_sorted
+from threadline.llm.arrow import ids_of, unpack_numbers, unpack_sorted
 from threadline.llm.words import Words, words_of
 from threadline.plans.scratch import Scratch
 
@@ -30,7 +30,6 @@ WINDOW = 13
 PERIOD = 7
 COVER = (0, 1, 3)
 _WIDTH = WINDOW - PERIOD + 1
-_KEYS = "chunk long, shard int, keys binary, more binary, docs binary"
 
 
 def _anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -62,19 +61,6 @@ def _windows(words: Words, doc_ids: np.ndarray, shared: np.ndarray) -> tuple[np.
     return starts, high[chosen], low[chosen], docs[chosen], number
 
 
-def _shared(group: pa.Table) -> pa.Table:
-    """Bit of each anchor key: do two documents hold it? Keys come with a last bit for that within their chunk."""
-    blocks = [unpack_sorted(b) for b in group.column("keys").to_pylist()]
-    keys = np.concatenate(blocks)
-    order = np.argsort(keys, kind="stable")
-    starts = ch.runs(keys[order] >> np.uint64(1))
-    several = np.diff(np.append(starts, len(keys))) > 1
-    several |= np.bitwise_or.reduceat(keys[order] & np.uint64(1), starts).astype(bool) if len(starts) else False
-    bit = np.empty(len(keys), dtype=bool)
-    bit[order] = ch.spread(several, starts, len(keys))
-    return _bits(group, blocks, bit)
-
-
 def _smaller(group: pa.Table) -> pa.Table:
     """Bit of each window key: does a smaller document outside the chunk hold it?"""
     blocks = [unpack_sorted(b) for b in group.column("keys").to_pylist()]
@@ -85,14 +71,7 @@ def _smaller(group: pa.Table) -> pa.Table:
     starts = ch.runs(high[order], low[order])
     bit = np.empty(len(high), dtype=bool)
     bit[order] = ch.spread(docs[order][starts], starts, len(high)) < docs[order]
-    return _bits(group, blocks, bit)
-
-
-def _bits(group: pa.Table, blocks: list[np.ndarray], bit: np.ndarray) -> pa.Table:
-    bounds = np.cumsum([0, *map(len, blocks)])
-    packed = [np.packbits(bit[a:b]).tobytes() if bit[a:b].any() else None for a, b in zip(bounds, bounds[1:])]
-    out = pa.table({"chunk": group.column("chunk"), "shard": group.column("shard"), "bits": pa.array(packed, pa.binary())})
-    return out.filter(pa.compute.is_valid(out.column("bits")))
+    return ch.reply(group, blocks, bit)
 
 
 def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
@@ -121,10 +100,10 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scratch: Sc
             return
         several = np.minimum.reduceat(docs, starts) != np.maximum.reduceat(docs, starts)
         sent = keys << np.uint64(1) | several.astype(np.uint64)
-        yield _sent(chunk, (keys >> np.uint64(48 - bits)).astype(np.int32), sent)
+        yield ch.send(chunk, (keys >> np.uint64(48 - bits)).astype(np.int32), sent)
 
-    keys = ch.each_chunk(chunks.df.select("chunk", "payload"), anchors, _KEYS)
-    shared = keys.repartition(chunks.shards, "shard").groupBy("shard").applyInArrow(_shared, ch.BITS)
+    keys = ch.each_chunk(chunks.df.select("chunk", "payload"), anchors, ch.KEYS)
+    shared = keys.repartition(chunks.shards, "shard").groupBy("shard").applyInArrow(ch.shared, ch.BITS)
     shared = scratch.save(ch.gather_bits(shared, "shared"), "shared")
 
     def candidates(words: Words, doc_ids: np.ndarray, got: list[dict] | None) -> tuple[np.ndarray, ...]:
@@ -137,9 +116,9 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scratch: Sc
         words, doc_ids = load(table)
         _, high, low, docs, _ = candidates(words, doc_ids, shared)
         if len(high):
-            yield _sent(chunk, (high >> np.uint64(64 - bits)).astype(np.int32), high, low, docs.view(np.uint64))
+            yield ch.send(chunk, (high >> np.uint64(64 - bits)).astype(np.int32), high, low, docs.view(np.uint64))
 
-    keys = ch.each_chunk(chunks.df.select("chunk", "payload").join(shared, "chunk"), windows, _KEYS)
+    keys = ch.each_chunk(chunks.df.select("chunk", "payload").join(shared, "chunk"), windows, ch.KEYS)
     smaller = keys.repartition(chunks.shards, "shard").groupBy("shard").applyInArrow(_smaller, ch.BITS)
     smaller = scratch.save(ch.gather_bits(smaller, "smaller"), "smaller")
 
@@ -165,17 +144,6 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scratch: Sc
     return ch.each_chunk(joined, remove, schema).toDF(*chunks.names, "n_words", "n_removed", "kept")
 
 
-def _sent(chunk: int, shards: np.ndarray, keys: np.ndarray, more: np.ndarray | None = None, docs: np.ndarray | None = None) -> pa.RecordBatch:
-    parts = list(ch.by_shard(shards))
-    column = lambda f: pa.array([f(lo, hi) for _, lo, hi in parts], pa.binary())
-    return pa.record_batch({
-        "chunk": pa.array([chunk] * len(parts), pa.int64()), "shard": pa.array([p[0] for p in parts], pa.int32()),
-        "keys": column(lambda lo, hi: pack_sorted(keys[lo:hi])),
-        "more": column(lambda lo, hi: b"" if more is None else pack_numbers(more[lo:hi])),
-        "docs": column(lambda lo, hi: b"" if docs is None else pack_numbers(docs[lo:hi])),
-    })
-
-
 def _joined(words: Words, kept: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """Kept words of each text with one space between, and the number of the others."""
     data = words.data.copy()
