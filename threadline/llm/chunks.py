@@ -10,6 +10,7 @@ documents hold is one entry per chunk, so it makes no hot task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -80,7 +81,13 @@ def pack(df: DataFrame, text: str, scratch: Scratch) -> Chunks:
                 if i < batch.num_rows:
                     size += int(lengths[i])
 
-    packed = scratch.save(plain.mapInArrow(run, SCHEMA), "chunks")
+    # Held in buckets by chunk number: what is sent to chunks moves, they stay.
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"threadline_chunks_{uuid.uuid4().hex}"
+    rows = plain.mapInArrow(run, SCHEMA).repartition(n, "chunk").write.format("parquet").bucketBy(n, "chunk")
+    rows.option("compression", "uncompressed").option("path", f"{scratch.root}/{name}").saveAsTable(name)
+    packed = spark.table(name)
     size = packed.agg(F.sum("bytes")).first()[0] or 0
     return Chunks(packed, names, [f.dataType for f in plain.schema.fields], 1 << max(_LEAST_SHARDS - 1, int(size) // _SHARD_BYTES).bit_length())
 

@@ -31,6 +31,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from threadline.llm import chunks as ch
@@ -45,6 +46,7 @@ _SLICE = 4096
 _LARGEST_LIGHT = 24
 _SIZES = 64
 _HASH = np.uint64((1 << 58) - 1)
+MARKS = 256  # bytes of a set's histogram, by which most unlinked candidates are told apart
 
 
 def needed(r: int, s: int) -> int:
@@ -120,6 +122,13 @@ def sets_of(column: pa.Array, ranks: np.ndarray, width: int) -> Sets:
     return Sets(elements[starts], np.searchsorted(docs[starts], np.arange(n + 1)))
 
 
+def _marks(sets: Sets) -> bytes:
+    """Elements of each set by the low bits of their hash, counted to 255."""
+    at = sets.owners() * MARKS + (sets.elements & np.uint64(MARKS - 1)).astype(np.int64)
+    counts = np.bincount(at, minlength=len(sets.sizes) * MARKS)
+    return zstandard.ZstdCompressor(level=1).compress(np.minimum(counts, 255).astype(np.uint8).tobytes())
+
+
 def _frequencies(chunks: ch.Chunks, at: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequency class of each bucket, and sets by size (shingles, repeats included) up to ``_SIZES``."""
     buckets = 1 << SKETCH_BITS
@@ -208,24 +217,32 @@ def _near(chunks: ch.Chunks, at_id: int, at_text: int, width: int, boundary: int
         at, _ = listed(sets)
         key, several, _, shards = keys(sets, at)
         if len(key):
-            yield ch.send(chunk, shards, key << np.uint64(1) | several.astype(np.uint64))
+            sent = ch.send(chunk, shards, key << np.uint64(1) | several.astype(np.uint64))
+            yield sent.append_column("marks", pa.nulls(sent.num_rows, pa.binary()))
         sums = [np.append(np.uint64(0), np.cumsum(mix(sets.elements ^ np.uint64(c)), dtype=np.uint64))[sets.first] for c in (0x51ED27, 0xA3C59A)]
         yield pa.record_batch({
             "chunk": pa.array([chunk], pa.int64()), "shard": pa.array([-1], pa.int32()), "keys": pa.array([pack_numbers(sets.sizes)], pa.binary()),
             "more": pa.array([pack_numbers(np.diff(sums[0]))], pa.binary()), "docs": pa.array([pack_numbers(np.diff(sums[1]))], pa.binary()),
+            "marks": pa.array([_marks(sets)], pa.binary()),
         })
 
-    described = scratch.save(ch.each_chunk(chunks.df.select("chunk", "payload"), describe, ch.KEYS), "sets")
-    shared = described.where("shard >= 0").repartition(chunks.shards, "shard").groupBy("shard").applyInArrow(ch.shared, ch.BITS)
+    described = scratch.save(ch.each_chunk(chunks.df.select("chunk", "payload"), describe, f"{ch.KEYS}, marks binary"), "sets")
+    sent = described.where("shard >= 0").drop("marks")
+    shared = sent.repartition(chunks.shards, "shard").groupBy("shard").applyInArrow(ch.shared, ch.BITS)
     shared = scratch.save(ch.gather_bits(shared, "shared"), "shared")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 n, a, b = (unpack_numbers(r[k]) for k in ("keys", "more", "docs"))
-                yield pa.record_batch({"row": pa.array(ch.row_of(r["chunk"], len(n))), "n": pa.array(n.astype(np.int64)), "a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
-
-    sets = described.where("shard < 0").select("chunk", "keys", "more", "docs").mapInArrow(rows, "row long, n long, a long, b long")
+                marks = zstandard.ZstdDecompressor().decompress(r["marks"], max_output_size=len(n) * MARKS)
+                marks = [marks[i : i + MARKS] for i in range(0, len(n) * MARKS, MARKS)]
+                yield pa.record_batch({
+                    "row": pa.array(ch.row_of(r["chunk"], len(n))), "n": pa.array(n.astype(np.int64)), "a": pa.array(a.view(np.int64)),
+                    "b": pa.array(b.view(np.int64)), "marks": pa.array(marks, pa.binary()),
+                })
+
+    sets = described.where("shard < 0").select("chunk", "keys", "more", "docs", "marks").mapInArrow(rows, "row long, n long, a long, b long, marks binary")
     sets = scratch.save(sets, "rows")
     classes = sets.where("n > 0").groupBy("a", "b", "n").agg(F.min("row").alias("class"))
     classes = scratch.save(classes, "classes")
@@ -255,7 +272,8 @@ def _near(chunks: ch.Chunks, at_id: int, at_text: int, width: int, boundary: int
 
     source = chunks.df.select("chunk", "payload").join(heads, "chunk").join(shared, "chunk", "left")
     index = scratch.save(ch.each_chunk(source.select("chunk", "payload", "shared", "heads"), entries, "key long, row long, n int, place int, light boolean"), "index")
-    links = _links(index, chunks, at_text, width, held, limit, scratch)
+    scratch.discard(described)
+    links = _links(index, sets.select("row", "n", "marks"), chunks, at_text, width, held, limit, scratch)
     return _labels(chunks, at_id, sets, members, links, scratch)
 
 
@@ -269,7 +287,7 @@ def _entries(keys: np.ndarray, row: np.ndarray, n: np.ndarray, place: np.ndarray
 _FIT = "4 * least(n, m) >= 3 * greatest(n, m)"
 
 
-def _links(index: DataFrame, chunks: ch.Chunks, at_text: int, width: int, held, limit: int, scratch: Scratch) -> DataFrame:
+def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, width: int, held, limit: int, scratch: Scratch) -> DataFrame:
     """(node, root) for the components of all links between classes."""
     on = ["light", "key"]
     # First round: each set with the first of the lists it shares most.
@@ -279,7 +297,7 @@ def _links(index: DataFrame, chunks: ch.Chunks, at_text: int, width: int, held,
     pairs = pairs.groupBy("row", "with").agg(F.count("*").alias("hits"), F.max("n").alias("n"))
     # A set that shares few of its entries waits for the second round, which leaves nothing out.
     pairs = pairs.where("8 * hits >= n div 4 + 1").groupBy("row").agg(F.max(F.struct("hits", -F.col("with"))).alias("best"))
-    pairs = scratch.save(pairs.select("row", (-F.col("best.col2")).alias("with")), "pairs")
+    pairs = _plausible(pairs.select("row", (-F.col("best.col2")).alias("with")), sets, scratch)
     tree = components(_checked(pairs, chunks, at_text, width, held, scratch), scratch)
     # Second round: every pair of different components that shares a list entry.
     label = index.join(tree.withColumnRenamed("node", "row"), "row", "left").withColumn("comp", F.coalesce("root", "row")).drop("root")
@@ -299,11 +317,29 @@ def _links(index: DataFrame, chunks: ch.Chunks, at_text: int, width: int, held,
     )
     # Elements beyond the last common entry: the sets cannot share more than what is left of either.
     cross = cross.where("light or 7 * (hits + least(n - px, m - py) - 1) >= 3 * (n + m)").select("row", "with")
-    more = _checked(scratch.save(cross, "cross"), chunks, at_text, width, held, scratch)
+    more = _checked(_plausible(cross, sets, scratch), chunks, at_text, width, held, scratch)
     both = more.unionByName(tree.select(F.col("node").alias("u"), F.col("root").alias("v")))
     return components(both, scratch)
 
 
+def _plausible(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (row, with) whose histograms leave room for enough common elements."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, MARKS) for c in ("marks", "others"))
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            room = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+            full = (a == 255).any(axis=1) | (b == 255).any(axis=1)  # counted to the end only: no bound
+            yield pa.record_batch({"row": batch.column("row"), "with": batch.column("with")}).filter(pa.array(full | (7 * room >= 3 * (n + m))))
+
+    other = sets.select(F.col("row").alias("with"), F.col("n").alias("m"), F.col("marks").alias("others"))
+    both = pairs.join(sets, "row").join(other, "with").select("row", "with", "n", "m", "marks", "others")
+    return scratch.save(both.mapInArrow(bound, "row long, with long"), "pairs")
+
+
 def _checked(pairs: DataFrame, chunks: ch.Chunks, at_text: int, width: int, held, scratch: Scratch) -> DataFrame:
     """Edges (u, v) of the pairs (row, with) that are linked, checked on their whole sets."""
     rows = pairs.select("row").union(pairs.select(F.col("with").alias("row"))).distinct()
@@ -332,7 +368,9 @@ def _checked(pairs: DataFrame, chunks: ch.Chunks, at_text: int, width: int, held
 
     mine = pairs.join(sets.withColumnRenamed("elements", "mine"), "row")
     theirs = sets.join(pairs.select(F.col("with").alias("row")).distinct(), "row", "left_semi").select(F.col("row").alias("with"), F.col("elements").alias("theirs"))
-    return scratch.save(mine.join(theirs, "with").select("row", "with", "mine", "theirs").mapInArrow(check, "u long, v long"), "links")
+    links = scratch.save(mine.join(theirs, "with").select("row", "with", "mine", "theirs").mapInArrow(check, "u long, v long"), "links")
+    scratch.discard(sets)
+    return links
 
 
 def _labels(chunks: ch.Chunks, at_id: int, sets: DataFrame, members: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
