@@ -46,7 +46,6 @@ _SLICE = 4096
 _LARGEST_LIGHT = 24
 _SIZES = 64
 _HASH = np.uint64((1 << 58) - 1)
-MARKS = 256  # bytes of a set's histogram, by which most unlinked candidates are told apart
 
 
 def needed(r: int, s: int) -> int:
@@ -122,11 +121,25 @@ def sets_of(column: pa.Array, ranks: np.ndarray, width: int) -> Sets:
     return Sets(elements[starts], np.searchsorted(docs[starts], np.arange(n + 1)))
 
 
-def _marks(sets: Sets) -> bytes:
-    """Elements of each set by the low bits of their hash, counted to 255."""
-    at = sets.owners() * MARKS + (sets.elements & np.uint64(MARKS - 1)).astype(np.int64)
-    counts = np.bincount(at, minlength=len(sets.sizes) * MARKS)
-    return zstandard.ZstdCompressor(level=1).compress(np.minimum(counts, 255).astype(np.uint8).tobytes())
+def _marks(sets: Sets) -> list[bytes]:
+    """A histogram of each set over about twice as many buckets as it has elements, counted to 255."""
+    press, out = zstandard.ZstdCompressor(level=1), []
+    for a, b in zip(sets.first, sets.first[1:]):
+        bits = max(8, int(2 * (b - a)).bit_length())
+        counts = np.bincount((sets.elements[a:b] & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+        out.append(press.compress(np.minimum(counts, 255).astype(np.uint8).tobytes()))
+    return out
+
+
+def _room(a: bytes, b: bytes) -> int | None:
+    """The most elements two sets can share by their histograms; None where one is not counted to the end."""
+    unpress = zstandard.ZstdDecompressor()
+    x, y = (np.frombuffer(unpress.decompress(v), dtype=np.uint8) for v in (a, b))
+    if x.max() == 255 or y.max() == 255:
+        return None
+    size = min(len(x), len(y))
+    x, y = (v.reshape(-1, size).sum(axis=0, dtype=np.int64) for v in (x, y))
+    return int(np.minimum(x, y).sum())
 
 
 def _frequencies(chunks: ch.Chunks, at: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,15 +231,15 @@ def _near(chunks: ch.Chunks, at_id: int, at_text: int, width: int, boundary: int
         key, several, _, shards = keys(sets, at)
         if len(key):
             sent = ch.send(chunk, shards, key << np.uint64(1) | several.astype(np.uint64))
-            yield sent.append_column("marks", pa.nulls(sent.num_rows, pa.binary()))
+            yield sent.append_column("marks", pa.nulls(sent.num_rows, pa.list_(pa.binary())))
         sums = [np.append(np.uint64(0), np.cumsum(mix(sets.elements ^ np.uint64(c)), dtype=np.uint64))[sets.first] for c in (0x51ED27, 0xA3C59A)]
         yield pa.record_batch({
             "chunk": pa.array([chunk], pa.int64()), "shard": pa.array([-1], pa.int32()), "keys": pa.array([pack_numbers(sets.sizes)], pa.binary()),
             "more": pa.array([pack_numbers(np.diff(sums[0]))], pa.binary()), "docs": pa.array([pack_numbers(np.diff(sums[1]))], pa.binary()),
-            "marks": pa.array([_marks(sets)], pa.binary()),
+            "marks": pa.array([_marks(sets)], pa.list_(pa.binary())),
         })
 
-    described = scratch.save(ch.each_chunk(chunks.df.select("chunk", "payload"), describe, f"{ch.KEYS}, marks binary"), "sets")
+    described = scratch.save(ch.each_chunk(chunks.df.select("chunk", "payload"), describe, f"{ch.KEYS}, marks array<binary>"), "sets")
     sent = described.where("shard >= 0").drop("marks")
     shared = sent.repartition(chunks.shards, "shard").groupBy("shard").applyInArrow(ch.shared, ch.BITS)
     shared = scratch.save(ch.gather_bits(shared, "shared"), "shared")
@@ -235,11 +248,9 @@ def _near(chunks: ch.Chunks, at_id: int, at_text: int, width: int, boundary: int
         for batch in batches:
             for r in batch.to_pylist():
                 n, a, b = (unpack_numbers(r[k]) for k in ("keys", "more", "docs"))
-                marks = zstandard.ZstdDecompressor().decompress(r["marks"], max_output_size=len(n) * MARKS)
-                marks = [marks[i : i + MARKS] for i in range(0, len(n) * MARKS, MARKS)]
                 yield pa.record_batch({
                     "row": pa.array(ch.row_of(r["chunk"], len(n))), "n": pa.array(n.astype(np.int64)), "a": pa.array(a.view(np.int64)),
-                    "b": pa.array(b.view(np.int64)), "marks": pa.array(marks, pa.binary()),
+                    "b": pa.array(b.view(np.int64)), "marks": pa.array(r["marks"], pa.binary()),
                 })
 
     sets = described.where("shard < 0").select("chunk", "keys", "more", "docs", "marks").mapInArrow(rows, "row long, n long, a long, b long, marks binary")
@@ -258,8 +269,9 @@ def _near(chunks: ch.Chunks, at_id: int, at_text: int, width: int, boundary: int
         _, _, number, shards = keys(sets, at)
         owner = sets.owners()[at]
         keep = ch.answers(shards, shared)[number] & head[owner]
-        row = (chunk << 16) + owner[keep]
-        yield _entries(sets.elements[at][keep], row, n[owner[keep]], place[keep], False)
+        owner, place = owner[keep], place[keep]
+        before = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        yield _entries(sets.elements[at][keep], (chunk << 16) + owner, n[owner], place, before, False)
         found: list[tuple[int, int, int]] = []
         for i in np.flatnonzero(head & (n <= limit)):
             mine = sets.elements[sets.first[i] : sets.first[i + 1]]
@@ -268,31 +280,33 @@ def _near(chunks: ch.Chunks, at_id: int, at_text: int, width: int, boundary: int
                     found.append((hash((r, s, *subset)), i, len(mine)))
         if found:
             key, i, size = (np.array(x, dtype=np.int64) for x in zip(*found))
-            yield _entries(key.view(np.uint64), (chunk << 16) + i, size, np.zeros(len(i), np.int64), True)
+            yield _entries(key.view(np.uint64), (chunk << 16) + i, size, np.zeros(len(i), np.int64), np.zeros(len(i), np.int64), True)
 
     source = chunks.df.select("chunk", "payload").join(heads, "chunk").join(shared, "chunk", "left")
-    index = scratch.save(ch.each_chunk(source.select("chunk", "payload", "shared", "heads"), entries, "key long, row long, n int, place int, light boolean"), "index")
+    index = scratch.save(ch.each_chunk(source.select("chunk", "payload", "shared", "heads"), entries, "key long, row long, n int, place int, before int, light boolean"), "index")
     scratch.discard(described)
     links = _links(index, sets.select("row", "n", "marks"), chunks, at_text, width, held, limit, scratch)
     return _labels(chunks, at_id, sets, members, links, scratch)
 
 
-def _entries(keys: np.ndarray, row: np.ndarray, n: np.ndarray, place: np.ndarray, light: bool) -> pa.RecordBatch:
+def _entries(keys: np.ndarray, row: np.ndarray, n: np.ndarray, place: np.ndarray, before: np.ndarray, light: bool) -> pa.RecordBatch:
     return pa.record_batch({
         "key": pa.array(keys.view(np.int64)), "row": pa.array(row.astype(np.int64)), "n": pa.array(n.astype(np.int32)),
-        "place": pa.array(place.astype(np.int32)), "light": pa.array(np.full(len(row), light)),
+        "place": pa.array(place.astype(np.int32)), "before": pa.array(before.astype(np.int32)), "light": pa.array(np.full(len(row), light)),
     })
 
 
-_FIT = "4 * least(n, m) >= 3 * greatest(n, m)"
+# What two sets with a common entry can share: of the elements before it those that others hold, and all after it.
+_FIT = "4 * least(n, m) >= 3 * greatest(n, m) and (light or 7 * (least(before, ahead) + least(n - place, m - at)) >= 3 * (n + m))"
 
 
 def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, width: int, held, limit: int, scratch: Scratch) -> DataFrame:
     """(node, root) for the components of all links between classes."""
     on = ["light", "key"]
     # First round: each set with the first of the lists it shares most.
-    first = index.groupBy(*on).agg(F.min(F.struct("row", "n")).alias("p"), F.max("row").alias("last")).where("last > p.row")
-    first = first.select(*on, F.col("p.row").alias("with"), F.col("p.n").alias("m"))
+    # "First" is where least comes before the common entry: the least altered of near copies.
+    first = index.groupBy(*on).agg(F.min(F.struct("place", "row", "n", "before")).alias("p"), F.count("*").alias("c")).where("c > 1")
+    first = first.select(*on, F.col("p.row").alias("with"), F.col("p.n").alias("m"), F.col("p.place").alias("at"), F.col("p.before").alias("ahead"))
     pairs = index.join(first, on).where(f"row <> with and {_FIT} and (light or greatest(n, m) > {limit})")
     pairs = pairs.groupBy("row", "with").agg(F.count("*").alias("hits"), F.max("n").alias("n"))
     # A set that shares few of its entries waits for the second round, which leaves nothing out.
@@ -306,8 +320,8 @@ def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, w
     mixed = scratch.save(label.join(several, on), "mixed")
     largest = mixed.groupBy(*on, "comp").agg(F.count("*").alias("c")).groupBy(*on).agg(F.max(F.struct("c", "comp")).alias("big")).select(*on, F.col("big.comp").alias("big"))
     # All pairs but those inside the largest component of a list: one side is never in it.
-    minor = mixed.join(largest, on).where("comp <> big").select(*on, "row", "n", "place", "comp", "big")
-    other = mixed.select(*on, F.col("row").alias("with"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("comp").alias("other"))
+    minor = mixed.join(largest, on).where("comp <> big").select(*on, "row", "n", "place", "before", "comp", "big")
+    other = mixed.select(*on, F.col("row").alias("with"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("before").alias("ahead"), F.col("comp").alias("other"))
     cross = minor.join(other, on).where(f"comp <> other and (other = big or row < with) and {_FIT} and (light or greatest(n, m) > {limit})")
     cross = cross.select("light", "n", "m", "place", "at", F.least("row", "with").alias("with"), F.greatest("row", "with").alias("row"), (F.col("row") < F.col("with")).alias("turned"))
     x, y = F.when(F.col("turned"), F.col("m")).otherwise(F.col("n")), F.when(F.col("turned"), F.col("n")).otherwise(F.col("m"))
@@ -327,13 +341,10 @@ def _plausible(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, MARKS) for c in ("marks", "others"))
-            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
-            room = np.minimum(a, b).sum(axis=1, dtype=np.int64)
-            full = (a == 255).any(axis=1) | (b == 255).any(axis=1)  # counted to the end only: no bound
-            yield pa.record_batch({"row": batch.column("row"), "with": batch.column("with")}).filter(pa.array(full | (7 * room >= 3 * (n + m))))
+            rooms = map(_room, batch.column("marks").to_pylist(), batch.column("others").to_pylist())
+            sizes = zip(batch.column("n").to_pylist(), batch.column("m").to_pylist())
+            ok = [room is None or 7 * room >= 3 * (n + m) for room, (n, m) in zip(rooms, sizes)]
+            yield pa.record_batch({"row": batch.column("row"), "with": batch.column("with")}).filter(pa.array(ok, pa.bool_()))
 
     other = sets.select(F.col("row").alias("with"), F.col("n").alias("m"), F.col("marks").alias("others"))
     both = pairs.join(sets, "row").join(other, "with").select("row", "with", "n", "m", "marks", "others")

@@ -117,6 +117,32 @@ def mix(
     return _allot(scratch, rows, weights, share, most)
 
 
+def mix_rows(df: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """All columns of the documents that the mix takes, each row as often as it is taken.
+
+    Rows and decisions meet by id, source, text and, among equal rows, by number:
+    equal rows are counted, not told apart.
+    """
+    mixed = mix(df, doc_id, text, source, **options)
+    takes = mixed.groupBy("doc_id", "source", "key").agg(F.sum("passes").alias("takes"), F.count("*").alias("rows"))
+    takes = scratch.save(takes.where("takes > 0"), "takes")
+    names = [f"c{i}" for i in range(len(df.columns))]
+    plain = df.toDF(*names)
+    at = {role: F.col(names[df.columns.index(c)]) for role, c in (("doc_id", doc_id), ("text", text), ("source", source))}
+    on = (
+        at["doc_id"].cast("long").eqNullSafe(F.col("t.doc_id")) & at["source"].cast("string").eqNullSafe(F.col("t.source"))
+        & (F.xxhash64(at["text"].cast("string")) == F.col("t.key"))
+    )
+    joined = plain.join(takes.alias("t"), on).select(*names, "takes", "rows")
+    # Rows that repeat an id, source and text share their takes; what does not divide evenly goes to one of them.
+    many = Window.partitionBy(*[at[r].cast("string") for r in ("doc_id", "source")], F.xxhash64(at["text"].cast("string"))).orderBy(*names)
+    single = joined.where("rows = 1").withColumn("n", F.col("takes"))
+    shared = joined.where("rows > 1").withColumn("i", F.row_number().over(many))
+    shared = shared.withColumn("n", F.expr("takes div rows + if(i <= takes % rows, 1, 0)")).drop("i")
+    out = single.unionByName(shared).where("n > 0")
+    return out.select(*names, F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("col").toDF(*df.columns)
+
+
 def _allot(scratch: Scratch, rows: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     spark = rows.sparkSession
     lengths = scratch.save(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "lengths")

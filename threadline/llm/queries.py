@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadline.llm import fingerprint, jaccard, language, mixture, quality, sharding, substring, token_files
+from threadline.llm import fingerprint, jaccard, language, mixture, pieces, quality, sharding, substring, token_files, topk
 from threadline.llm.inputs import table
 from threadline.plans.scratch import Scratch
 
@@ -46,6 +46,19 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), 20, F.col("vec_id") % 20 == 0)
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pieces.encode_and_decode(docs, tokenizer_file("piece_bpe_32k.model"))
+    return done.select(
+        "doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"), "pieces", F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("same"),
+    )
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -71,6 +84,8 @@ QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op3_mixture": op3_mixture,
     "op4_sharding": op4_sharding,
+    "op5_exact_topk": op5_exact_topk,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_fingerprints": op7_fingerprints,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
@@ -95,6 +110,16 @@ WITH RECURSIVE docs AS (
   least AS (SELECT doc_id, min(y) AS y FROM reach GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+""",
+    "op5_exact_topk": """
+WITH v AS (
+    SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum([x[1] * x[2] FOR x IN list_zip(q.e, c.e)])::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s) WHERE rank <= 20
 """,
     "op10_substring_dedup": f"""
 WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
