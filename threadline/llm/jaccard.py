@@ -331,7 +331,10 @@ def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, w
     )
     # Elements beyond the last common entry: the sets cannot share more than what is left of either.
     cross = cross.where("light or 7 * (hits + least(n - px, m - py) - 1) >= 3 * (n + m)").select("row", "with")
-    more = _checked(_plausible(cross, sets, scratch), chunks, at_text, width, held, scratch)
+    cross = _plausible(cross, sets, scratch)
+    for done in (index, label, mixed):
+        scratch.discard(done)
+    more = _checked(cross, chunks, at_text, width, held, scratch)
     both = more.unionByName(tree.select(F.col("node").alias("u"), F.col("root").alias("v")))
     return components(both, scratch)
 
