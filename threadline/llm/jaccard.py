@@ -15,9 +15,10 @@ least ``needed(r, s)`` elements.
 Elements are ordered by how often their bucket occurs in a sketch of fixed size
 that counts the whole corpus; any fixed order gives the same result, and this
 one keeps frequent passages out of the lists. Equal sets are one class and meet
-as one. Links are found in two rounds: first each set with the first member of
-the lists it shares most, then all pairs left between different components, so
-a large group of near copies costs its length, not its square. Every candidate
+as one. Links are found in rounds: each set with the first member of the lists
+it shares most, then the first members of different components of a list, then
+all pairs left between different components, so linked copies cost the length
+of their group, not its square. Every candidate
 is checked on the whole sets.
 """
 
@@ -44,6 +45,7 @@ SKETCH_BITS = 18  # buckets of the frequency sketch: what tasks receive is this
 SCAN_COST = 4  # cost of a list entry (listing, scanning, checking) in enumerated subsets
 _SLICE = 4096
 _LARGEST_LIGHT = 24
+PARITY = 512
 _SIZES = 64
 _HASH = np.uint64((1 << 58) - 1)
 
@@ -131,6 +133,13 @@ def _marks(sets: Sets) -> list[bytes]:
     return out
 
 
+def _parity(sets: Sets) -> np.ndarray:
+    """``PARITY`` bits of each set, 64 to a number: whether an odd number of elements has the bit's number."""
+    at = sets.owners() * PARITY + (sets.elements >> np.uint64(20) & np.uint64(PARITY - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=len(sets.sizes) * PARITY) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8").reshape(-1, PARITY // 64)
+
+
 def _room(a: bytes, b: bytes) -> int | None:
     """The most elements two sets can share by their histograms; None where one is not counted to the end."""
     unpress = zstandard.ZstdDecompressor()
@@ -231,16 +240,16 @@ def _near(chunks: ch.Chunks, at_id: int, at_text: int, width: int, boundary: int
         key, several, _, shards = keys(sets, at)
         if len(key):
             sent = ch.send(chunk, shards, key << np.uint64(1) | several.astype(np.uint64))
-            yield sent.append_column("marks", pa.nulls(sent.num_rows, pa.list_(pa.binary())))
+            yield sent.append_column("marks", pa.nulls(sent.num_rows, pa.list_(pa.binary()))).append_column("parity", pa.nulls(sent.num_rows, pa.binary()))
         sums = [np.append(np.uint64(0), np.cumsum(mix(sets.elements ^ np.uint64(c)), dtype=np.uint64))[sets.first] for c in (0x51ED27, 0xA3C59A)]
         yield pa.record_batch({
             "chunk": pa.array([chunk], pa.int64()), "shard": pa.array([-1], pa.int32()), "keys": pa.array([pack_numbers(sets.sizes)], pa.binary()),
             "more": pa.array([pack_numbers(np.diff(sums[0]))], pa.binary()), "docs": pa.array([pack_numbers(np.diff(sums[1]))], pa.binary()),
-            "marks": pa.array([_marks(sets)], pa.list_(pa.binary())),
+            "marks": pa.array([_marks(sets)], pa.list_(pa.binary())), "parity": pa.array([_parity(sets).tobytes()], pa.binary()),
         })
 
-    described = scratch.save(ch.each_chunk(chunks.df.select("chunk", "payload"), describe, f"{ch.KEYS}, marks array<binary>"), "sets")
-    sent = described.where("shard >= 0").drop("marks")
+    described = scratch.save(ch.each_chunk(chunks.df.select("chunk", "payload"), describe, f"{ch.KEYS}, marks array<binary>, parity binary"), "sets")
+    sent = described.where("shard >= 0").drop("marks", "parity")
     shared = sent.repartition(chunks.shards, "shard").groupBy("shard").applyInArrow(ch.shared, ch.BITS)
     shared = scratch.save(ch.gather_bits(shared, "shared"), "shared")
 
@@ -251,9 +260,12 @@ def _near(chunks: ch.Chunks, at_id: int, at_text: int, width: int, boundary: int
                 yield pa.record_batch({
                     "row": pa.array(ch.row_of(r["chunk"], len(n))), "n": pa.array(n.astype(np.int64)), "a": pa.array(a.view(np.int64)),
                     "b": pa.array(b.view(np.int64)), "marks": pa.array(r["marks"], pa.binary()),
+                    "parity": pa.array(np.frombuffer(r["parity"], dtype="<i8").reshape(len(n), -1).tolist(), pa.list_(pa.int64())),
                 })
 
-    sets = described.where("shard < 0").select("chunk", "keys", "more", "docs", "marks").mapInArrow(rows, "row long, n long, a long, b long, marks binary")
+    sets = described.where("shard < 0").select("chunk", "keys", "more", "docs", "marks", "parity").mapInArrow(
+        rows, "row long, n long, a long, b long, marks binary, parity array<long>"
+    )
     sets = scratch.save(sets, "rows")
     classes = sets.where("n > 0").groupBy("a", "b", "n").agg(F.min("row").alias("class"))
     classes = scratch.save(classes, "classes")
@@ -285,7 +297,7 @@ def _near(chunks: ch.Chunks, at_id: int, at_text: int, width: int, boundary: int
     source = chunks.df.select("chunk", "payload").join(heads, "chunk").join(shared, "chunk", "left")
     index = scratch.save(ch.each_chunk(source.select("chunk", "payload", "shared", "heads"), entries, "key long, row long, n int, place int, before int, light boolean"), "index")
     scratch.discard(described)
-    links = _links(index, sets.select("row", "n", "marks"), chunks, at_text, width, held, limit, scratch)
+    links = _links(index, sets.select("row", "n", "marks", "parity"), chunks, at_text, width, held, limit, scratch)
     return _labels(chunks, at_id, sets, members, links, scratch)
 
 
@@ -297,7 +309,11 @@ def _entries(keys: np.ndarray, row: np.ndarray, n: np.ndarray, place: np.ndarray
 
 
 # What two sets with a common entry can share: of the elements before it those that others hold, and all after it.
-_FIT = "4 * least(n, m) >= 3 * greatest(n, m) and (light or 7 * (least(before, ahead) + least(n - place, m - at)) >= 3 * (n + m))"
+# And their first common entry lies early enough in both to leave room for the needed number.
+_FIT = (
+    "4 * least(n, m) >= 3 * greatest(n, m) and (light or (7 * (least(before, ahead) + least(n - place, m - at)) >= 3 * (n + m)"
+    " and 7 * least(n - place, m - at) >= 3 * (n + m)))"
+)
 
 
 def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, width: int, held, limit: int, scratch: Scratch) -> DataFrame:
@@ -313,16 +329,32 @@ def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, w
     pairs = pairs.where("8 * hits >= n div 4 + 1").groupBy("row").agg(F.max(F.struct("hits", -F.col("with"))).alias("best"))
     pairs = _plausible(pairs.select("row", (-F.col("best.col2")).alias("with")), sets, scratch)
     tree = components(_checked(pairs, chunks, at_text, width, held, scratch), scratch)
-    # Second round: every pair of different components that shares a list entry.
-    label = index.join(tree.withColumnRenamed("node", "row"), "row", "left").withColumn("comp", F.coalesce("root", "row")).drop("root")
-    label = scratch.save(label, "labels")
+    # Then the first members of the components of a list with that of its largest one: components that belong together join.
+    label = _labelled(index, tree, scratch)
+    firsts = label.groupBy(*on, "comp").agg(F.count("*").alias("c"), F.min(F.struct("place", "row", "n", "before")).alias("p"))
+    firsts = scratch.save(firsts, "firsts")
+    big = firsts.groupBy(*on).agg(F.max(F.struct("c", "comp", "p")).alias("b"), F.count("*").alias("k")).where("k > 1")
+    big = big.select(*on, F.col("b.comp").alias("big"), F.col("b.p.row").alias("with"), F.col("b.p.n").alias("m"), F.col("b.p.place").alias("at"), F.col("b.p.before").alias("ahead"))
+    pairs = firsts.select(*on, "comp", "p.*").join(big, on).where(f"comp <> big and {_FIT} and (light or greatest(n, m) > {limit})")
+    pairs = pairs.groupBy("row", "with").agg(F.count("*").alias("hits")).groupBy("row").agg(F.max(F.struct("hits", -F.col("with"))).alias("best"))
+    pairs = _plausible(pairs.select("row", (-F.col("best.col2")).alias("with")), sets, scratch)
+    joined = _checked(pairs, chunks, at_text, width, held, scratch).unionByName(tree.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    tree = components(joined, scratch)
+    for done in (label, firsts):
+        scratch.discard(done)
+    # Last, every pair of different components that shares a list entry.
+    label = _labelled(index, tree, scratch)
     several = label.groupBy(*on).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select(*on)
-    mixed = scratch.save(label.join(several, on), "mixed")
+    mixed = scratch.save(label.join(several, on).join(sets.select("row", "parity"), "row"), "mixed")
     largest = mixed.groupBy(*on, "comp").agg(F.count("*").alias("c")).groupBy(*on).agg(F.max(F.struct("c", "comp")).alias("big")).select(*on, F.col("big.comp").alias("big"))
     # All pairs but those inside the largest component of a list: one side is never in it.
-    minor = mixed.join(largest, on).where("comp <> big").select(*on, "row", "n", "place", "before", "comp", "big")
-    other = mixed.select(*on, F.col("row").alias("with"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("before").alias("ahead"), F.col("comp").alias("other"))
-    cross = minor.join(other, on).where(f"comp <> other and (other = big or row < with) and {_FIT} and (light or greatest(n, m) > {limit})")
+    minor = mixed.join(largest, on).where("comp <> big").select(*on, "row", "n", "place", "before", "comp", "big", "parity")
+    other = mixed.select(*on, F.col("row").alias("with"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("before").alias("ahead"), F.col("comp").alias("other"), F.col("parity").alias("theirs"))
+    # Bits that differ are elements that only one of the two has; linked sets have at most (n + m) / 7 of those.
+    apart = " + ".join(f"bit_count(parity[{i}] ^ theirs[{i}])" for i in range(PARITY // 64))
+    cross = minor.join(other, on).where(
+        f"comp <> other and (other = big or row < with) and {_FIT} and (light or greatest(n, m) > {limit}) and 7 * ({apart}) <= n + m"
+    )
     cross = cross.select("light", "n", "m", "place", "at", F.least("row", "with").alias("with"), F.greatest("row", "with").alias("row"), (F.col("row") < F.col("with")).alias("turned"))
     x, y = F.when(F.col("turned"), F.col("m")).otherwise(F.col("n")), F.when(F.col("turned"), F.col("n")).otherwise(F.col("m"))
     px, py = F.when(F.col("turned"), F.col("at")).otherwise(F.col("place")), F.when(F.col("turned"), F.col("place")).otherwise(F.col("at"))
@@ -339,6 +371,11 @@ def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, w
     return components(both, scratch)
 
 
+def _labelled(index: DataFrame, tree: DataFrame, scratch: Scratch) -> DataFrame:
+    label = index.join(tree.withColumnRenamed("node", "row"), "row", "left").withColumn("comp", F.coalesce("root", "row")).drop("root")
+    return scratch.save(label, "labels")
+
+
 def _plausible(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs (row, with) whose histograms leave room for enough common elements."""
 
@@ -349,6 +386,7 @@ def _plausible(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame
             ok = [room is None or 7 * room >= 3 * (n + m) for room, (n, m) in zip(rooms, sizes)]
             yield pa.record_batch({"row": batch.column("row"), "with": batch.column("with")}).filter(pa.array(ok, pa.bool_()))
 
+    sets = sets.drop("parity")
     other = sets.select(F.col("row").alias("with"), F.col("n").alias("m"), F.col("marks").alias("others"))
     both = pairs.join(sets, "row").join(other, "with").select("row", "with", "n", "m", "marks", "others")
     return scratch.save(both.mapInArrow(bound, "row long, with long"), "pairs")
