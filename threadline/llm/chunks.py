@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from threadline.llm.arrow import pack_numbers, pack_sorted, unpack_sorted
 from threadline.plans.scratch import Scratch
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1_000_000
 _ROW_BITS = 16  # rows in a chunk, at most 2**16
 _SHARD_BYTES = 16 << 20  # text behind one shard of the key space, about
 _LEAST_SHARDS = 64
@@ -67,7 +68,7 @@ def pack(df: DataFrame, text: str, scratch: Scratch) -> Chunks:
         number = TaskContext.get().partitionId() << 24
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            lengths = np.fromiter((len(t) if t is not None else 0 for t in batch.column(at).cast(pa.large_binary()).to_pylist()), np.int64, batch.num_rows)
+            lengths = pc.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False)
             lo, size = 0, 0
             for i in range(batch.num_rows + 1):
                 full = i == batch.num_rows or size and size + lengths[i] > CHUNK_BYTES or i - lo >= 1 << _ROW_BITS
@@ -164,7 +165,7 @@ def reply(group: pa.Table, blocks: list[np.ndarray], bit: np.ndarray) -> pa.Tabl
     bounds = np.cumsum([0, *map(len, blocks)])
     packed = [np.packbits(bit[a:b]).tobytes() if bit[a:b].any() else None for a, b in zip(bounds, bounds[1:])]
     out = pa.table({"chunk": group.column("chunk"), "shard": group.column("shard"), "bits": pa.array(packed, pa.binary())})
-    return out.filter(pa.compute.is_valid(out.column("bits")))
+    return out.filter(pc.is_valid(out.column("bits")))
 
 
 def shared(group: pa.Table) -> pa.Table:

@@ -60,7 +60,7 @@ def _buckets(texts: list[str], bits: int, orders: int) -> tuple[np.ndarray, np.n
     return np.concatenate(found), np.concatenate(owner)
 
 
-def _slices(texts: list[str], step: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str], step: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``step`` characters, so that arrays stay small; a long text is a run."""
     lo, size = 0, 0
     for i, t in enumerate(texts):
@@ -80,20 +80,22 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", bits: int = 16,
         tables: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
         for batch in batches:
-            texts, langs = texts_of(batch.column(0)), batch.column(1).to_pylist()
-            names = sorted(set(langs))
-            number = {name: i for i, name in enumerate(names)}
-            row = np.array([number[x] for x in langs], dtype=np.int64)
-            for name in langs:
-                docs[name] = docs.get(name, 0) + 1
-            for lo, hi in _slices(texts):
-                bucket, doc = _buckets(texts[lo:hi], bits, orders)
-                both = np.bincount(row[lo + doc] * size + bucket, minlength=len(names) * size)
-                for name in names:
-                    part = both[number[name] * size : (number[name] + 1) * size]
-                    if name not in tables:
-                        tables[name] = np.zeros(size, dtype=np.int64)
-                    tables[name] += part
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                texts, langs = texts_of(part.column(0)), part.column(1).to_pylist()
+                names = sorted(set(langs))
+                number = {name: i for i, name in enumerate(names)}
+                row = np.array([number[x] for x in langs], dtype=np.int64)
+                for name in langs:
+                    docs[name] = docs.get(name, 0) + 1
+                for lo, hi in _slices(texts):
+                    bucket, doc = _buckets(texts[lo:hi], bits, orders)
+                    both = np.bincount(row[lo + doc] * size + bucket, minlength=len(names) * size)
+                    for name in names:
+                        counted = both[number[name] * size : (number[name] + 1) * size]
+                        if name not in tables:
+                            tables[name] = np.zeros(size, dtype=np.int64)
+                        tables[name] += counted
         for name, counts in tables.items():
             where = np.flatnonzero(counts)
             yield pa.record_batch(
@@ -154,15 +156,19 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang_pred: str = "l
     if taken:
         raise ValueError(f"columns exist already: {sorted(taken)}")
 
-    held_model = df.sparkSession.sparkContext.broadcast(model)  # languages * 2**bits floats
+    held = df.sparkSession.sparkContext.broadcast(model)  # languages * 2**bits floats
+    names = df.columns
 
-    @F.pandas_udf("lang string, score double")
-    def apply(column):
-        import pandas as pd
-
-        names, values = score([t if isinstance(t, str) else None for t in column], held_model.value)
-        return pd.DataFrame({"lang": names, "score": values})
-
-    held = "_held" + "_" * max(map(len, df.columns))
-    out = df.withColumn(held, apply(F.col(f"`{text}`").cast("string")))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"{held}.lang").alias(lang_pred), F.col(f"{held}.score").alias(score_col))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                found, values = score(part.column(len(names)).to_pylist(), held.value)
+                columns = [*part.columns[: len(names)], pa.array(found, pa.string()), pa.array(values, pa.float64())]
+                fields = [*[part.schema.field(i) for i in range(len(names))], pa.field("lang", pa.string()), pa.field("score", pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
+
+    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(plain.schema.fields))
+    out = plain.withColumn("t", F.col(f"c{names.index(text)}").cast("string")).mapInArrow(run, f"{schema}, lang string, score double")
+    return out.toDF(*names, lang_pred, score_col)

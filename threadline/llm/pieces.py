@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_CACHE = 250_000  # words whose pieces a worker keeps; the older half goes when it is full
+_CACHE = 150_000  # words whose pieces a worker keeps; the older half goes when it is full
 
 
 class PieceModel:
@@ -80,7 +80,7 @@ class PieceModel:
         """Do the two pieces stay as they are when they stand together?"""
         known = self._apart.get((left, right))
         if known is None:
-            if len(self._apart) > 1_000_000:
+            if len(self._apart) > 300_000:
                 self._apart.clear()
             a, b = self.text[left], self.text[right]
             known = self._apart[left, right] = self.merge(list(a + b)) == [a, b]

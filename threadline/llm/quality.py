@@ -86,9 +86,10 @@ def with_statistics(df: DataFrame, text: str, key: str = "doc_id") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.rint(np.array(statistics(t)) * _MILLION).astype(np.int64) for t in texts_of(batch.column(1))]
-            if rows:
-                yield pa.record_batch({"doc_id": batch.column(0), "stats": pa.array(rows, pa.list_(pa.int64()))})
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                rows = [np.rint(np.array(statistics(t)) * _MILLION).astype(np.int64) for t in texts_of(part.column(1))]
+                yield pa.record_batch({"doc_id": part.column(0), "stats": pa.array(rows, pa.list_(pa.int64()))})
 
     return df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(
         run, "doc_id long, stats array<long>"

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BLOCK = 1 << 14  # ids in a block
 CHUNK = 1 << 18  # a chunk ends with the first document that brings it to so many ids
-_CACHE = 200_000  # words whose ids a worker keeps; the oldest go first
+_CACHE = 150_000  # words whose ids a worker keeps; the oldest go first
 SCHEMA = (
     "part int, chunk int, first long, n_ids long, width int, planes binary, plane_sizes array<int>, "
     "doc_ids array<long>, doc_starts array<long>, doc_sizes array<long>"
