@@ -177,3 +177,21 @@ def test_scratch_uses_the_named_folder(spark):
     saved, rows = scratch.Scratch(spark, "t").save_counted(spark.range(5), "five", F.col("id") > 1)
     assert rows == 3 and saved.count() == 5
     assert all(f"{folder}/t-" in f for f in saved.inputFiles())
+
+
+def test_paths_are_as_on_disk(spark, tmp_path):
+    folder = tmp_path / "my lib"
+    folder.mkdir()
+    (folder / "b c+d%20.sas").write_text("data a;\nrun;\n")
+    from threadline.sources.files import scan_code_files
+
+    row = scan_code_files(spark, str(folder)).first()
+    assert row["file_name"] == "b c+d%20.sas" and row["file_path"].endswith("/my lib/b c+d%20.sas")
+
+
+def test_resolution_of_an_empty_table_is_validated(spark):
+    from threadline.operators.validate import validate_resolution
+
+    none = spark.createDataFrame([], "resolution_confidence double, resolution_notes string")
+    row = validate_resolution(none).first()
+    assert row["total_rows"] == 0 and row["low_confidence_share"] == 0

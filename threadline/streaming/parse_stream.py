@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from threadline.config import ParseOptions
 from threadline.operators.dependencies import raw_dependencies
+from threadline.sources.files import decoded
 from threadline.sources.tables import Tables
 
 
@@ -23,8 +24,8 @@ def code_file_stream(spark: SparkSession, path: str, options: ParseOptions = Par
     if options.recursive:
         reader = reader.option("recursiveFileLookup", "true")
     return reader.load(path).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
+        decoded("_metadata.file_path").alias("file_path"),
+        decoded("_metadata.file_name").alias("file_name"),
         F.col("value").alias("code"),
     )
 
