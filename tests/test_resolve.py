@@ -138,3 +138,28 @@ def test_dynamic_filter_reaches_the_scan(spark, tmp_path):
     assert [r[0] for r in dynamic.collect()] == ["a.sas"]
     plan = dynamic._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(has_dynamic_deps,true)" in plan and "input_datasets" not in plan
+
+
+@pytest.mark.parametrize(
+    ("code", "inputs"),
+    [
+        ("%let root=prod;\n%let lib=&root;\nset &lib..t;\n", ["prod.t"]),
+        ("%let lib=&root;\n%let root=prod;\nset &lib..t;\n", ["prod.t"]),
+        ("%let a=1;\n%let a=&a.2;\nset x&a;\n", ["x12"]),
+        ("%let a=1;\n%let b=&a;\n%let a=2;\nset x&b y&a;\n", ["x1", "y2"]),
+        ("%let ds1=p;\n%let ds2=q;\n%let i=2;\nset &&ds&i;\n", ["q"]),
+        ("".join(f"%let v{i}=x&v{i - 1};\n" for i in range(9, 0, -1)) + "%let v0=z;\nset &v9;\n", ["xxxxxxxxxz"]),
+    ],
+)
+def test_values_settle_in_any_order_and_depth(spark, code, inputs):
+    row = resolved(spark, code)
+    assert row["resolved_inputs"] == inputs
+    assert (row["resolution_confidence"], row["resolution_notes"]) == (1.0, None)
+
+
+def test_open_values_keep_their_dot(spark):
+    row = resolved(spark, "%let lib=&root;\nset &lib..t;\n")
+    assert row["resolved_inputs"] == [] and row["resolution_notes"] == "unresolved: lib, root"
+    circle = "%let a=&b.&b.;\n%let b=&a.&a.;\n" + "".join(f"%let n{i}=1;\n" for i in range(40)) + "set &a;\nset c&n1;\n"
+    row = resolved(spark, circle)
+    assert "c1" in row["resolved_inputs"] and row["resolution_notes"] == "unresolved: a, b"

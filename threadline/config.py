@@ -99,6 +99,5 @@ class Config:
     location: Location = field(default_factory=Location)
     parse: ParseOptions = field(default_factory=ParseOptions)
     table_format: str = "parquet"
-    substitution_rounds: int = 3
     max_edits: int = 2
     pagerank_rounds: int = 10

@@ -28,7 +28,6 @@ def dynamic_files(raw: DataFrame) -> DataFrame:
 
 def resolved_dependencies(
     files: DataFrame,
-    rounds: int = 3,
     options: ParseOptions = ParseOptions(),
     loaded_at: Column | None = None,
 ) -> DataFrame:
@@ -43,8 +42,10 @@ def resolved_dependencies(
         "definitions", macros.last_definitions(macros.let_definitions(F.col("code")))
     ).withColumn("refs", macros.references(F.col("code")))
     replaced = defined.withColumn(
-        "text", macros.substitute(F.col("code"), F.col("definitions"), rounds)
-    ).withColumn("values", macros.resolved_references(F.col("refs"), F.col("definitions"), rounds))
+        "settled", macros.settled_values(macros.let_definitions(F.col("code")))
+    ).withColumn("text", macros.substitute(F.col("code"), F.col("settled"))).withColumn(
+        "values", macros.resolved_references(F.col("refs"), F.col("settled"))
+    )
     total = F.size("refs")
     open_refs = F.filter(
         F.arrays_zip("refs", "values"), lambda z: F.rlike(z["values"], F.lit(macros.REFERENCE))

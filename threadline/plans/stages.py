@@ -53,7 +53,7 @@ class LineageRun:
     def resolve(self) -> dict[str, Any]:
         now = F.current_timestamp()
         resolved = resolve.resolved_dependencies(
-            self.files, self.config.substitution_rounds, self.config.parse, now
+            self.files, self.config.parse, now
         )
         self.tables.write(resolved, "resolved_dependencies", mode="overwrite")
         expanded = resolve.expanded_includes(self.files, self._links(), loaded_at=now)
