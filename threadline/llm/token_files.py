@@ -14,18 +14,24 @@ Spark needs to reach the store.
 
 from __future__ import annotations
 
+import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BLOCK = 1 << 14  # ids in a block
 CHUNK = 1 << 18  # a chunk ends with the first document that brings it to so many ids
-_CACHE = 150_000  # words whose ids a worker keeps; the oldest go first
+_CACHE = 400_000  # words whose ids a worker keeps; those not met for long go first
+_GROUP = 1_000  # new words handed to the tokenizer at once
+_BETWEEN = "0"  # stands between them
+_SLICE = 4_000_000  # a slice of a batch ends with the first text that brings it to so many bytes
 SCHEMA = (
     "part int, chunk int, first long, n_ids long, width int, planes binary, plane_sizes array<int>, "
     "doc_ids array<long>, doc_starts array<long>, doc_sizes array<long>"
@@ -34,6 +40,8 @@ SCHEMA = (
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    # A task has one core; the library's own threads would compete with other tasks.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -45,31 +53,64 @@ class Encoder:
     Words (split at spaces and line breaks) are encoded apart and remembered.
     The tokenizer drops white space before it merges, so that is the same as
     encoding whole texts; ``split=False`` encodes whole texts for tokenizers
-    that do not.
+    that do not. Words not yet known are handed over a few hundred at a time
+    with a digit between them, whose id cuts the result again.
     """
 
     def __init__(self, path: str, split: bool = True) -> None:
         self._tokenizer, self._split = _tokenizer(path), split
-        self._known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+        # Words are remembered in two generations: what is met again moves to the newer one.
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        mark = self._apart([_BETWEEN])[0]
+        self._mark = int.from_bytes(mark, "little") if len(mark) == 4 else None
+
+    def _apart(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _fresh(self, words: list[str]) -> list[bytes]:
+        """Ids of words; those that hold the digit between are encoded alone."""
+        plain = [w for w in words if _BETWEEN not in w] if self._mark is not None else []
+        groups = [plain[lo : lo + _GROUP] for lo in range(0, len(plain), _GROUP)]
+        found: dict[str, bytes] = {}
+        for group, e in zip(groups, self._tokenizer.encode_batch_fast([f" {_BETWEEN} ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self._mark)
+            if len(cuts) == len(group) - 1:
+                raw = ids.tobytes()
+                starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)]
+                found |= {w: raw[a:b] for w, a, b in zip(group, starts, ends)}
+        rest = [w for w in words if w not in found]
+        found |= zip(rest, self._apart(rest))
+        return [found[w] for w in words]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        out = list(map(self._new.get, words))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        for i in missing:
+            out[i] = self._old.get(words[i])
+        fresh = [i for i in missing if out[i] is None]
+        for i, ids in zip(fresh, self._fresh([words[i] for i in fresh])):
+            out[i] = ids
+        if len(self._new) + len(missing) > _CACHE // 2:
+            self._old, self._new = self._new, {}
+        if len(missing) <= _CACHE // 2:
+            self._new |= {words[i]: out[i] for i in missing}
+        return out
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Little-endian 32-bit ids of each text; there are no nulls."""
+        column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         if not self._split:
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        known = self._known
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = list({w for words in cut for w in words if w not in known})
-        while len(known) + len(fresh) > _CACHE and known:
-            for w in list(known)[: len(known) // 2 + 1]:
-                del known[w]
-            fresh = list({w for words in cut for w in words if w not in known})
-            if len(fresh) >= _CACHE:
-                break
-        for lo in range(0, len(fresh), 20_000):
-            part = fresh[lo : lo + 20_000]
-            for w, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+            return self._apart(column.to_pylist())
+        cut = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        coded = cut.values.dictionary_encode()
+        ids = pa.array(self._words(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        _, ends, data = ids.buffers()
+        raw = data.to_pybytes() if data else b""
+        bounds = np.frombuffer(ends, dtype=np.int64)[cut.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(column) + 1)
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -111,6 +152,16 @@ _ARROW = pa.schema([
 ])
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of at most about ``_SLICE`` bytes of text, the second column; a longer text is one alone."""
+    size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + _SLICE, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int | None = 1, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encode every whole text and write the ids in ascending order of doc_id (null last, equal ids by text).
 
@@ -127,9 +178,8 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int | None =
         part, chunk, first, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
         encode = encoder(tokenizer).encode
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo in range(0, len(texts), 256):
-                for key, ids in zip(keys[lo : lo + 256], encode(texts[lo : lo + 256])):
+            for part_of in _slices(batch):
+                for key, ids in zip(part_of.column(0).to_pylist(), encode(part_of.column(1))):
                     held.append((key, ids + end))
                     size += len(ids) // 4 + len(end) // 4
                     if size >= CHUNK:
