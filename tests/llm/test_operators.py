@@ -117,6 +117,26 @@ def test_token_files(spark, documents):
         start += r["n_tokens"]
 
 
+
+def test_encoder_equals_the_library(monkeypatch):
+    """Odd words, the digit between words, and a cache that is far too small."""
+    from tokenizers import Tokenizer
+
+    name = tokenizer_file("word_bpe_49k.json")
+    library = Tokenizer.from_file(name)
+    rng = np.random.default_rng(5)
+    letters = list("abcdeEÉßΣжİ0123.,'-$") + ["e\u0301", "\u0301", "\uff10", "\t", "\n"]
+    words = ["".join(rng.choice(letters, rng.integers(0, 9))) for _ in range(3000)]
+    texts = ["", "0", " 0 0 ", "a0b", "<|endoftext|>x<|STARTOFTEXT|>", "it's 're", "x" * 5000, *(" ".join(rng.choice(words, 40)) for _ in range(200))]
+    for cache, group in ((400_000, 1000), (50, 7)):
+        monkeypatch.setattr(token_files, "_CACHE", cache)
+        monkeypatch.setattr(token_files, "_GROUP", group)
+        encoder = token_files.Encoder(name)
+        found = [ids for lo in range(0, len(texts), 30) for ids in encoder.encode(texts[lo : lo + 30])]
+        assert found == [np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert encoder.encode([]) == []
+
+
 def test_blocks_round_trip():
     for ids in (np.zeros(0), np.arange(5), np.array([2**32 - 1, 0, 77] * 9)):
         ids = ids.astype("<u4")
