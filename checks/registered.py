@@ -262,7 +262,7 @@ def wf_load_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wf_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = runlog.latest_status(Inputs(spark, sf_dir).log())
+    latest = runlog.latest_status(Inputs(spark, sf_dir).log(), ["event_id"])
     return latest.withColumn("created_at", time_text("created_at"))
 
 
@@ -280,7 +280,7 @@ def wf_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wf_resume_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runlog.resume_points(Inputs(spark, sf_dir).log())
+    return runlog.resume_points(Inputs(spark, sf_dir).log(), ["event_id"])
 
 
 def wf_rows_of_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:

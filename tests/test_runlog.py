@@ -116,3 +116,11 @@ def test_stage_durations(spark, chunk):
     found = runlog.stage_durations(log_of(spark, rows), ["event_id"], chunk).collect()
     assert {r["event_id"]: (r["seconds"], r["end_status"]) for r in found} == want
     assert len(found) == len(want)
+
+
+def test_latest_status_at_equal_times(spark):
+    log = log_of(spark, [("v", "PARSE", "FAILED", 5, None, "x: y"), ("v", "PARSE", "STARTED", 5, None, None), ("v", "BUILD", "STARTED", 5, None, None), ("v", "BUILD", "SUCCESS", 5, None, None)])
+    found = {r["stage"]: r["status"] for r in runlog.latest_status(log).collect()}
+    assert found == {"PARSE": "FAILED", "BUILD": "SUCCESS"}
+    found = {r["stage"]: r["status"] for r in runlog.latest_status(log, ["event_id"]).collect()}
+    assert found == {"PARSE": "STARTED", "BUILD": "SUCCESS"}

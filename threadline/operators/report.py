@@ -64,7 +64,7 @@ def dependency_analysis(edges: DataFrame) -> DataFrame:
 
 def stage_report(log: DataFrame, checks: dict[str, DataFrame], tie_breakers: list[str] | None = None) -> DataFrame:
     """(section, item, measure, value) rows: stage states, stage times, check figures."""
-    states = latest_status(log).groupBy("stage", "status").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    states = latest_status(log, tie_breakers).groupBy("stage", "status").agg(F.count(F.lit(1)).cast("double").alias("value"))
     times = stage_durations(log, tie_breakers).groupBy("stage").agg(
         F.count(F.lit(1)).cast("double").alias("runs"),
         F.count("end_time").cast("double").alias("finished"),

@@ -133,10 +133,16 @@ def latest_checkpoints(log: DataFrame) -> DataFrame:
     )
 
 
-def latest_status(log: DataFrame) -> DataFrame:
-    """Newest row per (workflow, stage) that is not a CHECKPOINT row."""
-    rest = [c for c in log.columns if c not in ("workflow_id", "stage", "created_at", "checkpoint_data")]
-    newest = F.max(F.struct("created_at", *rest)).alias("newest")
+def latest_status(log: DataFrame, tie_breakers: list[str] | None = None) -> DataFrame:
+    """Newest row per (workflow, stage) that is not a CHECKPOINT row.
+
+    Of rows of the same time, ``tie_breakers`` decide, then an end status comes
+    after STARTED.
+    """
+    first = ["created_at", *(tie_breakers or [])]
+    rest = [c for c in log.columns if c not in ("workflow_id", "stage", "checkpoint_data", *first)]
+    ended = F.col("status").isin(*END_STATUSES).alias("ended")
+    newest = F.max(F.struct(*first, ended, *rest)).alias("newest")
     return (
         log.filter(F.col("status") != CHECKPOINT)
         .groupBy("workflow_id", "stage")
@@ -208,14 +214,14 @@ def failures(log: DataFrame) -> DataFrame:
     )
 
 
-def resume_points(log: DataFrame) -> DataFrame:
+def resume_points(log: DataFrame, tie_breakers: list[str] | None = None) -> DataFrame:
     """First stage without SUCCESS per workflow; null when all have it."""
     done = [
         F.bool_or((F.col("stage") == s) & (F.col("status") == "SUCCESS")).alias(s) for s in STAGES
     ]
     first_open = F.coalesce(*[F.when(~F.col(s), F.lit(s)) for s in STAGES])
     return (
-        latest_status(log)
+        latest_status(log, tie_breakers)
         .groupBy("workflow_id")
         .agg(*done)
         .select("workflow_id", first_open.alias("resume_stage"))
