@@ -69,6 +69,52 @@ def test_match_without_edits_or_tables(spark):
         enrich.match_catalog(names, tables, 3)
 
 
+def best_ratio(name, tables, floor):
+    near = sorted((levenshtein(name, t) / max(len(name), len(t), 1), t) for t in tables)
+    if not near or 1 - near[0][0] < floor:
+        return None, None
+    return near[0][1], 1 - near[0][0]
+
+
+def edited(rng, word, edits, letters="abcdefgh_0123456789"):
+    for _ in range(edits):
+        i = rng.randrange(len(word) + 1)
+        kind = rng.randrange(3)
+        word = word[:i] + (rng.choice(letters) if kind else "") + word[i + (kind != 1):]
+    return word
+
+
+@pytest.mark.parametrize("floor", [0.5, 0.7])
+def test_match_at_any_number_of_edits(spark, floor):
+    rng = random.Random(str(floor))
+    tables = words(rng, 40, "abcdefgh_01", 2, 30) + numbered(rng, 20)
+    names = [edited(rng, t, rng.randint(0, 9)) for t in tables for _ in range(2)]
+    names += words(rng, 20, "ab1", 0, 6)
+    # The best ratio is not the fewest edits: 3 of 10 against 4 of 14.
+    names.append("qrstuvwxyz")
+    tables += ["qrs+++wxyz", "q-r-stuvw-xy-z"]
+    names, tables = sorted(set(names)), sorted(set(tables))
+    found = enrich.match_catalog(
+        spark.createDataFrame([(n,) for n in names], "dataset_name string"),
+        spark.createDataFrame([(t,) for t in tables], "table_name string"),
+        min_confidence=floor,
+    ).collect()
+    assert sorted(r["dataset_name"] for r in found) == names
+    for r in found:
+        table, score = best_ratio(r["dataset_name"], tables, floor)
+        assert r["unity_catalog_match"] == table, r
+        assert r["match_confidence"] == (None if score is None else pytest.approx(score))
+
+
+def test_match_beyond_two_edits(spark, salted):
+    name, table = "warehouse.customer_transactions", "warehouse.customer_transact"
+    found = enrich.match_catalog(
+        spark.createDataFrame([(name,)], "dataset_name string"),
+        spark.createDataFrame([(table,), ("warehouse.customer_trans",), ("other",)], "table_name string"),
+    ).collect()
+    assert [(r[0], r[1], round(r[2], 2)) for r in found] == [(name, table, 0.87)]
+
+
 RULES = [
     (2, "raw.%", "Sales", "Reference", "Internal"),
     (1, "raw.cust%", "Sales", "Master", "PII"),

@@ -99,5 +99,6 @@ class Config:
     location: Location = field(default_factory=Location)
     parse: ParseOptions = field(default_factory=ParseOptions)
     table_format: str = "parquet"
-    max_edits: int = 2
+    # None: as many as the least confidence admits.
+    max_edits: int | None = None
     pagerank_rounds: int = 10

@@ -189,20 +189,194 @@ def _near_shapes(
     )
 
 
+# Rounding of quotients must not shut out a pair; the confidence itself is compared exactly at the end.
+_SLACK = 1e-9
+
+
+# Up to so many edits the match with fewest edits has the best ratio as well.
+_LOW = 1
+
+
+def _allowed(left: str, right: str, share: float) -> str:
+    """Edits within a share of the longer length."""
+    return f"int(floor(greatest({left}, {right}) * {share!r}D + {_SLACK!r}D))"
+
+
+def _meet(
+    names: DataFrame, tables: DataFrame, share: float, scratch: Scratch
+) -> DataFrame:
+    """A superset of the pairs whose edits are within the share of the longer length.
+
+    Both sides have an ``id``, a ``text`` and a ``size``, the length that the share
+    refers to. The table's text is cut into one piece more than the edits allowed
+    for a pair of sizes. Some piece i is then whole, with i edits before it and no
+    more than the others behind it, so the name has it moved by at most i places
+    from the left and by at most the others from the right. A pair comes once per
+    piece it shares.
+    """
+    spans = [tuple(r) for r in (side.agg(F.min("size"), F.max("size")).first() for side in (names, tables))]
+    if any(s[0] is None for s in spans):
+        return names.select(F.col("id").alias("name_id")).crossJoin(tables.select(F.col("id").alias("table_id"))).limit(0)
+    keep = 1 - share
+    (least_n, most_n), (least_m, most_m) = spans
+
+    def sizes(own: str, least: int, most: int) -> str:
+        """Sizes of the other side within the share."""
+        upper = f"least({most}, int(ceil({own} / {keep!r}D)) + 1)" if keep > 0 else f"{most}"
+        lower = f"greatest({least}, int(floor({own} * {keep!r}D)) - 1)"
+        k = _allowed(own, "o", share)
+        spread = f"CASE WHEN {lower} <= {upper} THEN sequence({lower}, {upper}) ELSE array() END"
+        return f"filter({spread}, o -> abs({own} - o) <= {k} AND {k} > {_LOW})"
+
+    cut = "int(i * l div (k + 1))"
+    end = "int((i + 1) * l div (k + 1))"
+    owned = tables.withColumn("sizes", F.expr(sizes("size", least_n, most_n))).select(
+        F.col("id").alias("table_id"),
+        "text",
+        F.length("text").alias("l"),
+        "size",
+        F.explode(F.expr(f"array_distinct(transform(sizes, o -> {_allowed('size', 'o', share)}))")).alias("k"),
+    )
+    pieces = owned.select(
+        "table_id", "text", "size", "l", "k", F.explode(F.expr("sequence(0, k)")).alias("i")
+    ).select("table_id", F.expr(f"concat_ws(':', size, l, k, i, substr(text, {cut} + 1, {end} - {cut}))").alias("key"))
+    # Texts may be shorter than sizes; their lengths differ by kind of the text.
+    lengths = scratch.save(tables.select(F.col("size").alias("o"), F.length("text").alias("l")).distinct(), "lengths")
+    probing = (
+        names.select("id", "text", "size", F.explode(F.expr(sizes("size", least_m, most_m))).alias("o"))
+        .join(lengths, "o")
+        .select("id", "text", "o", "l", F.expr(_allowed("size", "o", share)).alias("k"))
+        .select("*", F.explode(F.expr("sequence(0, k)")).alias("i"))
+    )
+    moved = "length(text) - l"
+    fits = (
+        f"filter(sequence(-i, i), s -> abs({moved} - s) <= k - i AND {cut} + s >= 0 AND {end} + s <= length(text))"
+    )
+    probes = probing.select(
+        F.col("id").alias("name_id"),
+        F.explode(F.expr(
+            f"array_distinct(transform({fits}, s -> concat_ws(':', o, l, k, i, substr(text, {cut} + s + 1, {end} - {cut}))))"
+        )).alias("key"),
+    )
+    pieces, n_pieces = scratch.save_counted(pieces, "pieces")
+    # What no table has is left out before anything is counted or moved.
+    probes, n_probes = scratch.save_counted(
+        probes.join(pieces.select("key").distinct(), "key", "left_semi"), "probes"
+    )
+    return skew_join(
+        probes,
+        pieces,
+        "key",
+        hot_left=find_hot_keys(probes, "key", total=n_probes),
+        hot_right=find_hot_keys(pieces, "key", total=n_pieces),
+        by_left=["name_id"],
+        by_right=["table_id"],
+    ).select("name_id", "table_id")
+
+
+def _within_share(
+    names: DataFrame, tables: DataFrame, share: float, scratch: Scratch
+) -> DataFrame:
+    """Best table (least edits per length, then name) of each name.
+
+    Texts without digits meet first, one row per text and length, because leaving
+    characters of one kind out never adds edits. Only what is near there is cut
+    into pieces with its digits.
+    """
+    left = scratch.save(names.select("dataset_name", _shape("dataset_name"), F.length("dataset_name").alias("size")), "left")
+    right = scratch.save(tables.select("table_name", _shape("table_name"), F.length("table_name").alias("size")), "right")
+
+    def shapes(side: DataFrame) -> DataFrame:
+        kinds = side.select("shape", "size").distinct()
+        return scratch.save(kinds.select(F.struct("shape", "size").alias("id"), F.col("shape").alias("text"), "size"), "kinds")
+
+    kinds = _meet(shapes(left), shapes(right), share, scratch)
+    allowed = _allowed("name_id.size", "table_id.size", share)
+    near = scratch.save(
+        kinds.filter(F.expr(f"levenshtein(name_id.shape, table_id.shape, {allowed}) >= 0")).distinct(), "nearkinds"
+    )
+
+    def kept(side: DataFrame, kind: str, name: str) -> DataFrame:
+        mine = near.select(f"{kind}.shape", f"{kind}.size").distinct()
+        # Kinds are few against names, or about one name has each: the kind with its size is no hot key of the join.
+        found = side.withColumn("kind", F.concat_ws(":", "size", "shape"))
+        hot = find_hot_keys(found, "kind")
+        found = skew_join(
+            found, mine.select(F.concat_ws(":", "size", "shape").alias("kind")), "kind", "left_semi",
+            hot_left=hot, by_left=[name],
+        )
+        return scratch.save(found.select(F.col(name).alias("id"), F.col(name).alias("text"), "size"), "close")
+
+    pairs = _meet(kept(left, "name_id", "dataset_name"), kept(right, "table_id", "table_name"), share, scratch)
+    allowed = _allowed("length(name_id)", "length(table_id)", share)
+    return (
+        pairs.withColumn("edits", F.expr(f"levenshtein(name_id, table_id, {allowed})"))
+        .filter("edits >= 0")
+        .groupBy(F.col("name_id").alias("dataset_name"))
+        .agg(F.min(_rank("name_id", "table_id")).alias("found"))
+    )
+
+
+def _rank(name: str, table: str) -> Column:
+    """Orders matches: the best ratio first, then the smaller name."""
+    longest = F.greatest(F.length(name), F.length(table), F.lit(1))
+    return F.struct(
+        (F.col("edits") / longest).alias("share"), F.col(table).alias("table_name"), F.col("edits").cast("int").alias("edits")
+    )
+
+
+def _match_by_share(best: DataFrame, tables: DataFrame, min_confidence: float, scratch: Scratch) -> DataFrame:
+    """Matches at any number of edits that the confidence admits.
+
+    ``best`` has a row per name with its match so far or nulls. A name keeps it
+    when no table further away could be as good: at e edits the ratio is at best
+    1 - e / (length + e).
+    """
+    share = 1 - min_confidence
+    longest = F.lit(tables.agg(F.max(F.length("table_name"))).first()[0]).cast("int")
+    length = F.length("dataset_name")
+    next_share = F.lit(_LOW + 1) / (length + _LOW + 1)
+    so_far = F.col("edits") / F.greatest(length, F.length("table_name"), F.lit(1))
+    could = (
+        longest.isNotNull()
+        & (next_share <= share + _SLACK)
+        & (F.greatest(length, longest) * share + _SLACK >= _LOW + 1)
+        & (F.col("edits").isNull() | (next_share <= so_far + _SLACK))
+    )
+    could = F.coalesce(could, F.lit(False))
+    still, n = scratch.save_counted(best.filter(could), "open")
+    if n == 0:
+        return best
+    found = _within_share(still.select("dataset_name"), tables, share, scratch)
+    before = F.when(F.col("table_name").isNotNull(), _rank("dataset_name", "table_name"))
+    chosen = F.least(before, F.col("found"))
+    wider = still.join(found, "dataset_name", "left").select("dataset_name", chosen.alias("m"))
+    return best.filter(~could).unionByName(
+        scratch.save(wider.select("dataset_name", "m.table_name", "m.edits"), "wider")
+    )
+
+
 def match_catalog(
-    datasets: DataFrame, catalog: DataFrame, max_edits: int = 2, min_confidence: float = 0.7
+    datasets: DataFrame, catalog: DataFrame, max_edits: int | None = None, min_confidence: float = 0.7
 ) -> DataFrame:
-    """Best catalogue table per dataset: fewest edits, then confidence, then name.
-
-    Confidence is 1 - edits / length of the longer name. Equal names match
-    first. The rest meet through edit keys, an exact blocking: the catalogue
-    keeps one (the smallest) table name per key, because all names behind a key
-    are equally far away, so a crowded neighbourhood costs one row per key and
-    no pairs. Names far from every table are set aside before keys are formed,
-    and names matched at one edit do not enter the second step.
+    """Best catalogue table per dataset: highest confidence, then name.
+
+    Confidence is 1 - edits / length of the longer name, and what it admits
+    decides how many edits a match may have; ``max_edits`` (0, 1 or 2) asks for
+    fewer, and then fewest edits come before confidence. Equal names match
+    first. Up to two edits meet through edit keys, an exact blocking: the
+    catalogue keeps one (the smallest) table name per key, because all names
+    behind a key are equally far away, so a crowded neighbourhood costs one row
+    per key and no pairs. Names far from every table are set aside before keys
+    are formed, and names matched at one edit do not enter the second step.
+    Names for which more edits could do better meet the tables by whole pieces,
+    and every pair is checked.
     """
+    by_share = max_edits is None
+    if by_share:
+        max_edits = 2
     if max_edits not in (0, 1, 2):
-        raise ValueError("max_edits must be 0, 1 or 2")
+        raise ValueError("max_edits must be 0, 1 or 2, or None for what min_confidence admits")
     scratch = Scratch(datasets.sparkSession, "match")
     names = scratch.save(datasets.select("dataset_name").distinct(), "names")
     tables = scratch.save(catalog.select("table_name").distinct(), "tables")
@@ -231,23 +405,21 @@ def match_catalog(
         step = scratch.save(step.select("dataset_name", "table_name"), f"edits{edits}")
         matches.append(step.filter(F.col("table_name").isNotNull()).withColumn("edits", F.lit(edits)))
         rest = step.filter(F.col("table_name").isNull()).select("dataset_name")
+    matched = reduce(DataFrame.unionByName, matches)
+    unmatched = reduce(DataFrame.unionByName, far, rest).select(
+        "dataset_name", F.lit(None).cast("string").alias("table_name"), F.lit(None).cast("int").alias("edits")
+    )
+    best = matched.unionByName(unmatched)
+    if by_share:
+        best = _match_by_share(scratch.save(best, "near"), tables, min_confidence, scratch)
     longest = F.greatest(F.length("dataset_name"), F.length("table_name"), F.lit(1))
     confidence = 1.0 - F.col("edits") / longest
-    matched = (
-        reduce(DataFrame.unionByName, matches)
-        .select("dataset_name", F.col("table_name").alias("unity_catalog_match"), confidence.alias("match_confidence"))
-    )
-    good = F.col("match_confidence") >= min_confidence
-    unmatched = reduce(DataFrame.unionByName, far, rest).select(
+    good = confidence >= min_confidence
+    return best.select(
         "dataset_name",
-        F.lit(None).cast("string").alias("unity_catalog_match"),
-        F.lit(None).cast("double").alias("match_confidence"),
+        F.when(good, F.col("table_name")).alias("unity_catalog_match"),
+        F.when(good, confidence).alias("match_confidence"),
     )
-    return matched.select(
-        "dataset_name",
-        F.when(good, F.col("unity_catalog_match")).alias("unity_catalog_match"),
-        F.when(good, F.col("match_confidence")).alias("match_confidence"),
-    ).unionByName(unmatched)
 
 
 def dataset_classifications(
