@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadline.llm import fingerprint, jaccard, language, mixture, pieces, quality, sharding, substring, token_files, topk
+from threadline.llm import fingerprint, jaccard, language, mixture, pieces, quality, runs, sharding, substring, token_files, topk, trie
 from threadline.llm.inputs import table
 from threadline.plans.scratch import Scratch
 
@@ -79,6 +79,44 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # The rows that are to repeat from some word on are built first.
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    docs = docs.withColumn("g", g).withColumn("words", words).withColumn("n", F.size("words").cast("long"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    built = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.element_at("words", (at(i) + 1).cast("int")))
+    docs = docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(built, " ")).otherwise(F.col("text")).alias("text"))
+    found = runs.find_runs(docs)
+    better = lambda x, y: (
+        F.when(x["length"] * y["period"] > y["length"] * x["period"], -1).when(x["length"] * y["period"] < y["length"] * x["period"], 1)
+        .when(x["start"] != y["start"], F.signum(x["start"] - y["start"]).cast("int")).otherwise(F.signum(x["period"] - y["period"]).cast("int"))
+    )
+    best = F.try_element_at(F.array_sort("runs", better), F.lit(1))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    lines = F.array_join(F.transform("runs", line), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "trie")
+    said = scratch.save(trie.sequences(table(spark, sf_dir, "conversations")), "said")
+    # Each conversation begins with turns of the first of its group of five.
+    heads = said.where("conv_id % 5 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    own = F.slice("turns", h + 1, F.size("turns"))
+    turns = F.when(F.col("head").isNull(), own).otherwise(F.concat(F.slice("head", F.lit(1), h), own))
+    rebuilt = said.withColumn("base", F.expr("conv_id - conv_id % 5")).join(heads, "base", "left").select("conv_id", turns.alias("turns"))
+    return trie.prefix_trie(rebuilt, scratch)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_files": op2_token_files,
@@ -90,9 +128,19 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+# CRC-32 of a text of ASCII characters, from its definition.
+_CRC_TABLE = (
+    "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+)
+_CRC_IDS = """SELECT id, xor(list_reduce(list_concat([4294967295::BIGINT], [ascii(c)::BIGINT FOR c IN string_split(id::VARCHAR, '')]),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS h FROM ids, crc"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": f"""
 WITH RECURSIVE docs AS (
@@ -131,5 +179,57 @@ WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
   sha256(array_to_string([w[j] FOR j IN range(1, len(w) + 1) IF NOT list_contains(coalesce(gone, []), j)], ' ')) AS kept_sha256
 FROM docs LEFT JOIN lists USING (doc_id)
+""",
+    "op12_periodic_runs": f"""
+WITH crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t), ids AS (SELECT DISTINCT doc_id AS id FROM documents),
+  hashed AS MATERIALIZED ({_CRC_IDS}),
+  given AS (SELECT doc_id, h, h // 10 AS g, {_WORDS} AS w, len({_WORDS}) AS n FROM documents JOIN hashed ON id = doc_id),
+  cut AS (SELECT *, CASE WHEN n > 0 THEN g % n ELSE 0 END AS a FROM given),
+  docs AS MATERIALIZED (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+      THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] FOR i IN range(n)] ELSE w END AS w FROM cut),
+  fives AS MATERIALIZED (
+    SELECT doc_id, n, i, array_to_string(w[i + 1:i + 5], ' ') AS five FROM (SELECT doc_id, n, w, unnest(range(n - 4)) AS i FROM docs WHERE n >= 6)),
+  pairs AS (
+    SELECT y.doc_id, y.i, y.i - x.i AS q, y.i - row_number() OVER (PARTITION BY y.doc_id, y.i - x.i ORDER BY y.i) AS island
+    FROM fives x JOIN fives y ON x.doc_id = y.doc_id AND x.five = y.five AND x.i < y.i AND 4 * (y.i - x.i) <= y.n),
+  stretches AS (SELECT doc_id, q, min(i) - q AS start, max(i) + 5 AS stop FROM pairs GROUP BY doc_id, q, island),
+  found AS MATERIALIZED (
+    SELECT doc_id, start, stop - start AS length, min(q) AS period FROM stretches WHERE stop - start >= greatest(6, 4 * q) GROUP BY doc_id, start, stop),
+  best AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY (length // period) DESC, (length % period)::DOUBLE / period DESC, start, period) AS rn FROM found)
+    WHERE rn = 1),
+  lists AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM found GROUP BY doc_id),
+  gone AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(start + period, start + length)) AS i FROM found) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+  (length * 1000 // period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE array_to_string([w[j + 1] FOR j IN range(n) IF NOT list_contains(gone, j)], ' ') END) AS collapsed_sha256
+FROM docs d LEFT JOIN best USING (doc_id) LEFT JOIN lists USING (doc_id) LEFT JOIN gone USING (doc_id)
+""",
+    "op13_prefix_trie": f"""
+WITH crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t), ids AS (SELECT DISTINCT conv_id AS id FROM conversations WHERE conv_id IS NOT NULL),
+  hashed AS MATERIALIZED ({_CRC_IDS}),
+  said AS MATERIALIZED (
+    SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS s
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+  built AS MATERIALIZED (
+    SELECT c.conv_id, list_concat(coalesce(b.s, [])[1:h % 9], c.s[h % 9 + 1:]) AS s
+    FROM said c JOIN hashed ON id = c.conv_id LEFT JOIN said b ON b.conv_id = c.conv_id - c.conv_id % 5),
+  prefixes AS (SELECT conv_id, len(s) AS own, s, unnest(range(len(s) + 1)) AS depth FROM built),
+  nodes AS MATERIALIZED (
+    SELECT s[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+      coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (own = depth), '') AS ends FROM prefixes GROUP BY ALL),
+  kids AS (SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+  full_nodes AS MATERIALIZED (
+    SELECT n.*, coalesce(k.n_children, 0) AS n_children, CASE WHEN n.depth > 0 THEN strlen(n.prefix[n.depth].t) ELSE 0 END AS bytes
+    FROM nodes n LEFT JOIN kids k ON k.prefix = n.prefix AND k.depth = n.depth),
+  below AS (
+    SELECT prefix[1:d] AS prefix, d AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+    FROM (SELECT *, unnest(range(depth + 1)) AS d FROM full_nodes) GROUP BY ALL)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children,
+  b.n_leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM full_nodes n JOIN below b ON b.prefix = n.prefix AND b.depth = n.depth
+LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
 """,
 }
