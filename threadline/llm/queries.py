@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadline.llm import fingerprint, jaccard, language, mixture, pieces, quality, runs, sharding, substring, token_files, topk, trie
+from threadline.llm import bottomk, fingerprint, jaccard, language, mixture, pieces, quality, runs, sharding, substring, token_files, topk, trie
 from threadline.llm.inputs import table
 from threadline.plans.scratch import Scratch
 
@@ -79,6 +79,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # The rows that are to repeat from some word on are built first.
@@ -128,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_minhash_near_dedup": op11_minhash_near_dedup,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_prefix_trie": op13_prefix_trie,
 }
@@ -141,10 +146,9 @@ _CRC_TABLE = (
 _CRC_IDS = """SELECT id, xor(list_reduce(list_concat([4294967295::BIGINT], [ascii(c)::BIGINT FOR c IN string_split(id::VARCHAR, '')]),
     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS h FROM ids, crc"""
 
-ORACLES: dict[str, str] = {
-    "op1_ngram_jaccard_join": f"""
+_COMPONENTS = """
 WITH RECURSIVE docs AS (
-    SELECT doc_id, [translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR x IN {_WORDS}] AS w FROM documents),
+    SELECT doc_id, [translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR x IN {words}] AS w FROM documents),
   shingles AS (
     SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
     FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
@@ -152,13 +156,16 @@ WITH RECURSIVE docs AS (
   common AS (
     SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
   links AS MATERIALIZED (
-    SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+    SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared >= {like} * (p.n + q.n - shared)),
   reach AS (
     SELECT x AS doc_id, y FROM links UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.y),
   least AS (SELECT doc_id, min(y) AS y FROM reach GROUP BY doc_id)
-SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id{more}
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
-""",
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": _COMPONENTS.format(words=_WORDS, like=75, more=""),
     "op5_exact_topk": """
 WITH v AS (
     SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
@@ -180,6 +187,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_re
   sha256(array_to_string([w[j] FOR j IN range(1, len(w) + 1) IF NOT list_contains(coalesce(gone, []), j)], ' ')) AS kept_sha256
 FROM docs LEFT JOIN lists USING (doc_id)
 """,
+    "op11_minhash_near_dedup": _COMPONENTS.format(words=_WORDS, like=85, more=", component_id = doc_id AS kept"),
     "op12_periodic_runs": f"""
 WITH crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t), ids AS (SELECT DISTINCT doc_id AS id FROM documents),
   hashed AS MATERIALIZED ({_CRC_IDS}),
