@@ -75,8 +75,10 @@ def test_components(spark, rows, k):
     assert sorted(found, key=str) == brute(rows)
 
 
-def test_both_join_sides_shuffled(spark, rows, monkeypatch):
+@pytest.mark.parametrize("crowd", [2, 8])
+def test_crowds_and_shuffled_joins(spark, rows, monkeypatch, crowd):
     monkeypatch.setattr(bottomk, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(bottomk, "CROWD", crowd)
     df = spark.createDataFrame([(i, t, 1, "x", 2) for i, t in rows], SCHEMA)
     assert sorted((tuple(r) for r in bottomk.near_duplicates(df).collect()), key=str) == brute(rows)
 

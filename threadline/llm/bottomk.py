@@ -18,9 +18,11 @@ Above, ``need`` is the number of shared values that a pair of exactly 0.85 falls
 short of with a probability below ``TAIL``, about one in 10^9 such pairs.
 
 Lists of near copies are as long as their group, so pairs are formed in rounds:
-twice each component of a list with the first member of its largest one, and
+twice each component of a list with the least altered member of its largest one, and
 last, between different components, each pair once, at its first common value.
-The work on a group of copies is its length, not its square.
+Sets in a crowded list first count the elements they share with any other of
+the crowd, which bounds what any two share. The work on a group of copies is its
+length, not its square.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ K = 96
 LIKE = 85  # per cent
 TAIL = 1e-9
 ODD_BITS = 512
+CROWD = 32  # from so many sets in a list on, whole sets are compared with the list's others before pairs are formed
 BROADCAST_ROWS = 500_000  # a side of so many rows of a few numbers at most is broadcast; beyond, both are shuffled
 _SLICE_BYTES = 1 << 20
 
@@ -211,32 +214,65 @@ def _labelled(index: DataFrame, tree: DataFrame | None) -> DataFrame:
 
 
 def _star(index: DataFrame, tree: DataFrame | None) -> DataFrame:
-    """Pairs (row, with): the first member of each component of a list with that of its largest one, best shared."""
-    firsts = _labelled(index, tree).groupBy("key", "comp").agg(F.count("*").alias("c"), F.min(F.struct("place", "row", "n")).alias("p"))
-    rank = F.struct("c", -F.col("p.place"), -F.col("p.row"), "comp", F.col("p.row").alias("with"), F.col("p.n").alias("m"))
+    """Pairs (row, with): the least altered member of each component of a list with that of its largest one, best shared.
+
+    Least altered is the set with the fewest values of its own: of copies of a
+    text with edits, the text itself, to which the others are nearest.
+    """
+    firsts = _labelled(index, tree).groupBy("key", "comp").agg(F.count("*").alias("c"), F.min(F.struct("own", "row", "n")).alias("p"))
+    rank = F.struct("c", -F.col("p.own"), -F.col("p.row"), "comp", F.col("p.row").alias("with"), F.col("p.n").alias("m"))
     hubs = firsts.groupBy("key").agg(F.max(rank).alias("h"), F.count("*").alias("k")).where("k > 1").select("key", F.col("h.comp").alias("hub"), "h.with", "h.m")
     met = firsts.select("key", "comp", "p.row", "p.n").join(hubs, "key").where(f"comp <> hub and {_ALIKE}")
     hits = met.groupBy("row", "with").agg(F.count("*").alias("hits"))
     return hits.groupBy("row").agg(F.max(F.struct("hits", -F.col("with"))).alias("best")).select("row", (-F.col("best.col2")).alias("with"))
 
 
-def _rest(index: DataFrame, tree: DataFrame, sketches: DataFrame, k: int, scratch: Scratch) -> DataFrame:
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, element) of packed sets."""
+    for batch in batches:
+        for row, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+            values = unpack_sorted(blob.as_py()).view(np.int64)
+            yield pa.record_batch({"row": pa.array(np.full(len(values), row)), "element": pa.array(values)})
+
+
+def _room(rows: DataFrame, elements: DataFrame) -> DataFrame:
+    """(row, room): how many elements of its set each row shares with any other of the rows.
+
+    Two of them cannot share more than the smaller of their rooms. Copies with
+    edits of their own, none of which are near enough to each other, are told
+    apart by this without looking at their pairs.
+    """
+    listed = elements.join(rows, "row", "left_semi").select("row", "elements").mapInArrow(_unpacked, "row long, element long")
+    common = listed.groupBy("element").agg(F.count("*").alias("c")).where("c > 1").select("element")
+    return listed.join(common, "element").groupBy("row").agg(F.count("*").alias("room"))
+
+
+def _rest(index: DataFrame, tree: DataFrame, corpus: _Corpus) -> DataFrame:
     """Pairs of different components that share a list, each at its first common value."""
+    scratch, k = corpus.scratch, corpus.k
     label = scratch.save(_labelled(index, tree), "labels")
-    several = label.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-    mixed = scratch.save(label.join(several, "key").join(sketches.select("row", "odd", "listed"), "row"), "mixed")
+    several = label.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("crowd")).where("low < high")
+    mixed = scratch.save(label.join(several.select("key", "crowd"), "key"), "lists")
+    crowded = mixed.groupBy("row").agg(F.max("crowd").alias("crowd")).where(f"crowd >= {CROWD}").select("row")
+    room = scratch.save(_room(scratch.save(crowded, "crowded"), corpus.elements), "room")
+    mixed = mixed.drop("crowd").join(corpus.sketches.select("row", "odd", "listed"), "row").join(room, "row", "left")
+    mixed = scratch.save(mixed, "mixed")
     sizes = mixed.groupBy("key", "comp").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("h")).select("key", F.col("h.comp").alias("hub"))
     before = F.slice("listed", F.lit(1), F.col("place"))
-    minor = mixed.join(largest, "key").where("comp <> hub").select("key", "row", "n", "comp", "hub", "odd", before.alias("before"))
-    other = mixed.select("key", F.col("row").alias("with"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("odd").alias("odd2"), before.alias("before2"))
+    minor = mixed.join(largest, "key").where("comp <> hub").select("key", "row", "n", "comp", "hub", "odd", "room", before.alias("before"))
+    other = mixed.select(
+        "key", F.col("row").alias("with"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("odd").alias("odd2"), F.col("room").alias("room2"), before.alias("before2")
+    )
     # Bits that differ are values that only one of the two retains.
     apart = " + ".join(f"bit_count(odd[{i}] ^ odd2[{i}])" for i in range(ODD_BITS // 64))
-    room = f"least(n, {k}) + least(m, {k}) - 2 * {least_overlap(k)}"
+    bound = f"least(n, {k}) + least(m, {k}) - 2 * {least_overlap(k)}"
+    # Rooms count only where both rows have one: then both were looked at together.
+    fit = f"(room is null or room2 is null or {100 + LIKE} * least(room, room2) >= {LIKE} * (n + m))"
     exact = f"n + m - 2 * (({LIKE} * (n + m) + {99 + LIKE}) div {100 + LIKE})"
     met = minor.join(other, "key").where(
         f"comp <> other and (other = hub or row < with) and {_ALIKE}"
-        f" and {apart} <= if(100 * greatest(n, m) < {LIKE} * {k}, {exact}, {room}) and not arrays_overlap(before, before2)"
+        f" and {apart} <= if(100 * greatest(n, m) < {LIKE} * {k}, {exact}, {bound}) and {fit} and not arrays_overlap(before, before2)"
     )
     return met.select(F.least("row", "with").alias("with"), F.greatest("row", "with").alias("row")).select("row", "with")
 
@@ -266,8 +302,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     shared = entries.join(counts, "key").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("c", "key"))).alias("shared"))
     shared = first.select("row", "n").join(shared, "row").withColumn("need", needed(F.col("n"), k)).where("size(shared) >= need")
     rarest = F.slice("shared", F.lit(1), (F.size("shared") - F.col("need") + 1).cast("int"))
-    listed, rows = scratch.save_counted(shared.select("row", "n", F.transform(rarest, lambda s: s["key"]).alias("listed")), "listed")
-    index = scratch.save(listed.select("row", "n", F.posexplode("listed").alias("place", "key")), "index")
+    own = F.least(F.col("n"), F.lit(k)) - F.size("shared")
+    listed, rows = scratch.save_counted(shared.select("row", "n", own.alias("own"), F.transform(rarest, lambda s: s["key"]).alias("listed")), "listed")
+    index = scratch.save(listed.select("row", "n", "own", F.posexplode("listed").alias("place", "key")), "index")
     # Sketches and whole sets of the listed rows; texts are read again for the latter.
     sketches = scratch.save(first.select("row", "sketch", "odd").join(listed.select("row", "listed"), "row"), "sketches")
     wanted = scratch.save(classes.join(_small(listed.select("row"), rows), "row"), "wanted")
@@ -277,7 +314,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     elements = elements.join(_small(wanted.select("a", "b", "n", "row"), rows), ["a", "b", "n"]).groupBy("row").agg(F.first("elements").alias("elements"))
     corpus = _Corpus(sketches, scratch.save(elements, "elements"), k, scratch)
     tree = None
-    for pairs in (_star, _star, lambda i, t: _rest(i, t, sketches, k, scratch)):
+    for pairs in (_star, _star, lambda i, t: _rest(i, t, corpus)):
         links = corpus.links(pairs(index, tree))
         if tree is not None:
             links = links.unionByName(tree.select(F.col("node").alias("u"), F.col("root").alias("v")))
