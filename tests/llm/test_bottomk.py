@@ -79,6 +79,7 @@ def test_components(spark, rows, k):
 def test_crowds_and_shuffled_joins(spark, rows, monkeypatch, crowd):
     monkeypatch.setattr(bottomk, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(bottomk, "CROWD", crowd)
+    monkeypatch.setattr(bottomk, "SMALL", 50 * crowd)
     df = spark.createDataFrame([(i, t, 1, "x", 2) for i, t in rows], SCHEMA)
     assert sorted((tuple(r) for r in bottomk.near_duplicates(df).collect()), key=str) == brute(rows)
 

@@ -44,6 +44,7 @@ K = 96
 LIKE = 85  # per cent
 TAIL = 1e-9
 ODD_BITS = 512
+SMALL = 1000  # up to so many elements the bits of a set are those of all its elements, beyond those of its sketch
 CROWD = 32  # from so many sets in a list on, whole sets are compared with the list's others before pairs are formed
 BROADCAST_ROWS = 500_000  # a side of so many rows of a few numbers at most is broadcast; beyond, both are shuffled
 _SLICE_BYTES = 1 << 20
@@ -106,8 +107,19 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
+def _odd(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Bits of each set, 64 to a number: whether an odd number of its values has the bit's number.
+
+    Bits that differ between two sets are values that only one of them has, at least.
+    """
+    bits = ODD_BITS
+    at = np.repeat(np.arange(len(sizes)), sizes) * bits + (values % np.uint64(bits)).astype(np.int64)
+    odd = np.packbits((np.bincount(at, minlength=len(sizes) * bits) & 1).astype(np.uint8)).view("<u8")
+    return _lists(odd, np.arange(len(sizes) + 1) * (bits // 64))
+
+
 def _sketches(width: int, k: int):
-    """doc_id, n, signatures, sketch, and bits of the sketch: whether an odd number of its values has the bit's number."""
+    """doc_id, n, signatures, sketch, and bits: of the whole set if it is small, else of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _sliced(batches):
@@ -117,12 +129,11 @@ def _sketches(width: int, k: int):
             place = np.arange(len(elements)) - np.repeat(first[:-1], n)
             kept = place < k
             size = np.minimum(n, k)
-            at = np.repeat(np.arange(len(n)), size) * ODD_BITS + (elements[kept] % np.uint64(ODD_BITS)).astype(np.int64)
-            odd = np.packbits((np.bincount(at, minlength=len(n) * ODD_BITS) & 1).astype(np.uint8)).view("<u8")
+            counted = kept | np.repeat(n <= SMALL, n)
             yield pa.record_batch({
                 "doc_id": part.column(0), "n": pa.array(n.astype(np.int64)), "a": pa.array(a), "b": pa.array(b),
                 "sketch": _lists(elements[kept], np.append(0, np.cumsum(size))),
-                "odd": _lists(odd, np.arange(len(n) + 1) * (ODD_BITS // 64)),
+                "odd": _odd(elements[counted], np.where(n <= SMALL, n, size)),
             })
 
     return run
@@ -262,17 +273,18 @@ def _rest(index: DataFrame, tree: DataFrame, corpus: _Corpus) -> DataFrame:
     before = F.slice("listed", F.lit(1), F.col("place"))
     minor = mixed.join(largest, "key").where("comp <> hub").select("key", "row", "n", "comp", "hub", "odd", "room", before.alias("before"))
     other = mixed.select(
-        "key", F.col("row").alias("with"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("odd").alias("odd2"), F.col("room").alias("room2"), before.alias("before2")
+        "key", F.col("row").alias("with"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("odd").alias("odd2"),
+        F.col("room").alias("room2"), before.alias("before2"),
     )
-    # Bits that differ are values that only one of the two retains.
     apart = " + ".join(f"bit_count(odd[{i}] ^ odd2[{i}])" for i in range(ODD_BITS // 64))
     bound = f"least(n, {k}) + least(m, {k}) - 2 * {least_overlap(k)}"
     # Rooms count only where both rows have one: then both were looked at together.
     fit = f"(room is null or room2 is null or {100 + LIKE} * least(room, room2) >= {LIKE} * (n + m))"
     exact = f"n + m - 2 * (({LIKE} * (n + m) + {99 + LIKE}) div {100 + LIKE})"
     met = minor.join(other, "key").where(
-        f"comp <> other and (other = hub or row < with) and {_ALIKE}"
-        f" and {apart} <= if(100 * greatest(n, m) < {LIKE} * {k}, {exact}, {bound}) and {fit} and not arrays_overlap(before, before2)"
+        f"comp <> other and (other = hub or row < with) and {_ALIKE} and {fit}"
+        f" and case when greatest(n, m) <= {SMALL} then {apart} <= {exact} when least(n, m) > {SMALL} then {apart} <= {bound} else true end"
+        " and not arrays_overlap(before, before2)"
     )
     return met.select(F.least("row", "with").alias("with"), F.greatest("row", "with").alias("row")).select("row", "with")
 
