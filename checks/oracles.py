@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from threadline.config import STAGES
+from threadline.config import STAGES, TABLES
 from threadline.corpus import CATALOG_TABLES, CLASS_RULES, CODE_FILES, RUN_LOG
 
 _NAME_LIST = r"([\w.]+(?:\s+[\w.]+)*)\s*;"
@@ -79,55 +79,136 @@ CTES = {
   {_ARRAYS} FROM code_files""",
 }
 
-# -- macro substitution, three rounds -----------------------------------------
+# -- macro statements: a machine that reads each program statement by statement --
+#
+# A stack of texts: the program, an include it reads (only its definitions count)
+# or the body of a macro it calls. A step takes the text up to the next statement
+# with a meaning of its own, replaces references by the values known there, and
+# acts on the statement. Includes that are being read already are skipped.
 
-CTES["lets"] = r"""SELECT file_path, code,
-  list_transform(regexp_extract_all(code, '(?i)%let\s+(\w+\s*=[^;]*);', 1),
-    lambda p: {'name': lower(regexp_extract(p, '^\w+')), 'value': trim(substr(p, instr(p, '=') + 1))}) AS defs,
-  list_transform(regexp_extract_all(code, '(?i)&(\w+)', 1), lambda r: lower(r)) AS refs
-FROM code_files WHERE contains(code, '&')"""
+_EVENT = r"(?is)^(.*?)(%let\s+\w+\s*=[^;]*;|%macro\s.*?%mend[^;]*;?|%include\s+[\"''][^\"'']+[\"'']|%\w+\s*\([^()]*\))"
+_MACRO = r"(?is)%macro\s+(\w+)\s*(?:\(([^)]*)\))?[^;]*;(.*?)%mend"
 
 
-def _replaced(text: str, rounds: int = 3) -> str:
-    for _ in range(rounds):
-        text = (
-            f"list_reduce(list_transform(defs, lambda d: d.name || chr(31) || d.value), "
-            f"lambda acc, d: regexp_replace(acc, '(?i)&' || split_part(d, chr(31), 1) || '\\b\\.?', "
-            f"split_part(d, chr(31), 2), 'g'), {text})"
-        )
-    return text
+def _subst(text: str, env: str, masked: str = "[]") -> str:
+    part = (
+        f"CASE WHEN {env}[lower(regexp_extract(p, '^\\w+'))] IS NOT NULL AND NOT list_contains({masked}, lower(regexp_extract(p, '^\\w+'))) "
+        f"THEN {env}[lower(regexp_extract(p, '^\\w+'))] || regexp_replace(regexp_replace(p, '^\\w+', ''), '^\\.', '') ELSE '&' || p END"
+    )
+    return f"array_to_string(list_concat([string_split({text}, '&')[1]], list_transform(string_split({text}, '&')[2:], lambda p: {part})), '')"
+
+
+def _refs(text: str, masked: str = "[]") -> str:
+    return f"list_filter(list_transform(regexp_extract_all({text}, '&(\\w+)', 1), lambda r: lower(r)), lambda r: NOT list_contains({masked}, r))"
+
+
+def _params(text: str) -> str:
+    return f"[lower(trim(split_part(x, '=', 1))) FOR x IN string_split({text}, ',')]"
+
+
+CTES["macro_texts"] = f"""SELECT file_path, lower(regexp_extract(t, '{_MACRO}', 1)) AS name, regexp_extract(t, '{_MACRO}', 2) AS params, regexp_extract(t, '{_MACRO}', 3) AS body
+FROM (SELECT file_path, unnest(regexp_extract_all(code, '(?is)%macro\\s.*?%mend', 0)) AS t FROM code_files)"""
+CTES["common_macros"] = """SELECT name, min(params) AS params, min(body) AS body FROM macro_texts GROUP BY name HAVING count(DISTINCT file_path) = 1"""
+CTES["base_names"] = """SELECT regexp_extract(file_path, '[^/]*$') AS file_name, min(file_path) AS base_path FROM code_files
+GROUP BY ALL HAVING count(DISTINCT file_path) = 1"""
+CTES["callers"] = """SELECT DISTINCT file_path FROM (
+  SELECT file_path, lower(unnest(regexp_extract_all(code, '%(\\w+)', 1))) AS name FROM code_files) c
+JOIN common_macros USING (name) WHERE NOT EXISTS (SELECT 1 FROM macro_texts m WHERE m.file_path = c.file_path AND m.name = c.name)"""
+_NO_VALUES = "MAP {}::MAP(VARCHAR, VARCHAR)"
+_ITEMS = "string_split({0}, ',')"
+
+
+def _pairs(items: str, key: str, value: str, keep: str = "true") -> str:
+    return f"map_from_entries([{{'k': lower(trim({key})), 'v': trim({value})}} FOR x IN {items} IF {keep}])"
+
+
+_DEFAULTS = _pairs(_ITEMS.format("called.params"), "split_part(x, '=', 1)", "split_part(x, '=', 2)")
+_BY_PLACE = _pairs(
+    f"list_zip({_ITEMS.format('called.params')}[1:len([y FOR y IN {_ITEMS.format('val')} IF NOT contains(y, '=')])], [y FOR y IN {_ITEMS.format('val')} IF NOT contains(y, '=')])",
+    "split_part(x[1], '=', 1)", "x[2]", "x[1] IS NOT NULL",
+)
+_BY_NAME = _pairs(_ITEMS.format("val"), "split_part(x, '=', 1)", "split_part(x, '=', 2)", "contains(x, '=')")
+CTES["machine"] = f"""SELECT file_path AS root, [{{'file': file_path, 'rest': code, 'kind': 'own', 'known': {_NO_VALUES}}}] AS stack,
+  {_NO_VALUES} AS env, '' AS text, '' AS extra, []::STRUCT(include_file VARCHAR, path VARCHAR)[] AS sites, 0::BIGINT AS total, []::VARCHAR[] AS left_open
+FROM code_files WHERE contains(code, '&') OR regexp_matches(code, '(?i)%include') OR file_path IN (SELECT file_path FROM callers)
+UNION ALL
+SELECT root,
+  CASE WHEN kind = 'end' THEN stack[:-2]
+    WHEN kind = 'include' AND place <> 'call' AND target.file_path IS NOT NULL AND NOT list_contains([x.file FOR x IN stack], target.file_path)
+      THEN list_concat(stack[:-2], [after, {{'file': target.file_path, 'rest': target.code, 'kind': 'silent', 'known': {_NO_VALUES}}}])
+    WHEN kind = 'call' AND place <> 'silent' AND called.body IS NOT NULL
+      THEN list_concat(stack[:-2], [after, {{'file': '%' || word, 'rest': called.body, 'kind': 'call',
+        'known': map_concat(known, {_DEFAULTS}, {_BY_PLACE}, {_BY_NAME})}}])
+    ELSE list_concat(stack[:-2], [after]) END,
+  CASE WHEN kind = 'let' THEN map_concat(env, map_from_entries([{{'k': lower(name), 'v': val}}])) ELSE env END,
+  text || CASE WHEN place = 'own' THEN shown ELSE '' END,
+  extra || CASE WHEN place = 'call' THEN chr(10) || shown ELSE '' END,
+  CASE WHEN kind = 'include' AND place = 'own' THEN list_append(sites, {{'include_file': arg, 'path': val}}) ELSE sites END,
+  total + CASE WHEN place = 'silent' THEN 0 ELSE len(seen) END,
+  CASE WHEN place = 'silent' THEN left_open ELSE list_concat(left_open, list_filter(seen, lambda r: known[r] IS NULL)) END
+FROM (
+  SELECT m.*, CASE WHEN e.name IS NOT NULL THEN {{'params': e.params, 'body': e.body}} ELSE {{'params': c.params, 'body': c.body}} END AS called,
+    {{'file': top.file, 'rest': substr(top.rest, len(pre) + len(event) + 1), 'kind': place, 'known': top.known}} AS after,
+    {_subst('pre', 'known')} || CASE WHEN kind = 'macro' THEN {_subst('event', 'known', 'masked')} ELSE replace(event, arg, val) END AS shown,
+    list_concat({_refs('pre')}, {_refs('event', 'masked')}) AS seen
+  FROM (
+    SELECT *, top.kind AS place, map_concat(env, top.known) AS known,
+      CASE WHEN event = '' THEN top.rest ELSE regexp_extract(top.rest, '{_EVENT}', 1) END AS pre,
+      lower(regexp_extract(event, '^%(\\w+)', 1)) AS word, regexp_extract(event, '(?i)^%let\\s+(\\w+)', 1) AS name,
+      CASE WHEN event = '' THEN 'end' WHEN word IN ('let', 'include', 'macro') THEN word ELSE 'call' END AS kind,
+      CASE kind WHEN 'let' THEN regexp_extract(event, '(?s)=([^;]*);', 1) WHEN 'include' THEN regexp_extract(event, '[\"'']([^\"'']+)[\"'']', 1)
+        WHEN 'call' THEN regexp_extract(event, '(?s)\\((.*)\\)', 1) ELSE '' END AS arg,
+      trim({_subst('arg', 'known')}) AS val,
+      CASE WHEN kind = 'macro' THEN {_params("regexp_extract(event, '(?is)^%macro\\s+\\w+\\s*\\(([^)]*)\\)', 1)")} ELSE []::VARCHAR[] END AS masked,
+      CASE WHEN kind <> 'include' OR contains(val, '&') THEN NULL WHEN replace(val, chr(92), '/') LIKE '/%' THEN replace(val, chr(92), '/')
+        ELSE regexp_replace(top.file, '[^/]*$', '') || replace(val, chr(92), '/') END AS wanted
+    FROM (SELECT *, stack[-1] AS top, regexp_extract(stack[-1].rest, '{_EVENT}', 2) AS event FROM machine WHERE len(stack) > 0)
+  ) m
+  LEFT JOIN macro_texts e ON e.file_path = m.root AND e.name = m.word AND m.kind = 'call'
+  LEFT JOIN common_macros c ON c.name = m.word AND m.kind = 'call'
+) s
+LEFT JOIN code_files exact ON exact.file_path = s.wanted
+LEFT JOIN base_names b ON b.file_name = regexp_extract(s.wanted, '[^/]*$') AND exact.file_path IS NULL
+LEFT JOIN code_files target ON target.file_path = coalesce(exact.file_path, b.base_path)"""
+CTES["machine_end"] = "SELECT root AS file_path, text || extra AS text, sites, total, left_open FROM machine WHERE len(stack) = 0"
+
+
+def _whole(found: str) -> str:
+    """Names that no reference continues."""
+    return f"list_filter({found}, lambda n: n NOT LIKE '%&')"
+
+
+def outputs_as_resolved(code: str) -> str:
+    out = _whole(_matches(code, r"(?i)\bout\s*=\s*([\w.]+&?)"))
+    data = _whole(_matches(code, r"(?i)\bdata\s*=\s*([\w.]+&?)"))
+    return _names(f"list_concat({_listed(code, 'data')}, list_concat({out}, {data}))")
 
 
-CTES["replaced"] = f"""SELECT file_path, code, refs, {_replaced('code')} AS text,
-  list_transform(refs, lambda r: {_replaced("'&' || r || '.'")}) AS vals FROM lets"""
 CTES["resolved"] = f"""SELECT file_path,
   {inputs_of('code')} AS original_inputs, {outputs_of('code')} AS original_outputs,
-  {inputs_of('text')} AS resolved_inputs, {outputs_of('text')} AS resolved_outputs,
-  CAST(CASE WHEN len(refs) = 0 THEN 1.0 ELSE
-    CAST(len(list_filter(vals, lambda v: NOT regexp_matches(v, '&\\w'))) AS DOUBLE) / len(refs) END AS FLOAT) AS score,
-  list_sort(list_distinct(list_transform(list_filter(list_zip(refs, vals),
-    lambda z: regexp_matches(z[2], '&\\w')), lambda z: z[1]))) AS left_open
-FROM replaced"""
+  {inputs_of('text')} AS resolved_inputs, {outputs_as_resolved('text')} AS resolved_outputs,
+  CAST(CASE WHEN total = 0 THEN 1.0 ELSE CAST(total - len(left_open) AS DOUBLE) / total END AS FLOAT) AS score,
+  list_sort(list_distinct(left_open)) AS left_open
+FROM machine_end JOIN code_files USING (file_path) WHERE contains(code, '&') OR file_path IN (SELECT file_path FROM callers)"""
 CTES["resolved_table"] = """SELECT *, CASE WHEN len(left_open) > 0
   THEN 'unresolved: ' || array_to_string(left_open, ', ') END AS notes FROM resolved"""
 
 # -- includes -----------------------------------------------------------------
 
-CTES["include_texts"] = """SELECT file_path, include_file,
-  CASE WHEN replace(include_file, chr(92), '/') LIKE '/%' THEN replace(include_file, chr(92), '/')
-    ELSE regexp_replace(file_path, '[^/]*$', '') || replace(include_file, chr(92), '/') END AS candidate
-FROM (SELECT file_path, unnest(include_files) AS include_file FROM raw)"""
-CTES["base_names"] = """SELECT file_name, min(file_path) AS base_path FROM raw
-GROUP BY file_name HAVING count(DISTINCT file_path) = 1"""
+CTES["include_texts"] = """SELECT DISTINCT file_path, include_file,
+  CASE WHEN replace(path, chr(92), '/') LIKE '/%' THEN replace(path, chr(92), '/')
+    ELSE regexp_replace(file_path, '[^/]*$', '') || replace(path, chr(92), '/') END AS candidate
+FROM (SELECT file_path, unnest(sites, recursive := true) FROM machine_end)"""
 CTES["links"] = """SELECT t.file_path, t.include_file, t.candidate, coalesce(f.file_path, b.base_path) AS resolved_path
 FROM include_texts t LEFT JOIN code_files f ON f.file_path = t.candidate
-LEFT JOIN base_names b ON b.file_name = regexp_extract(t.candidate, '[^/]*$')"""
+LEFT JOIN base_names b ON b.file_name = regexp_extract(t.candidate, '[^/]*$') AND NOT contains(t.candidate, '&')"""
 CTES["include_walk"] = """SELECT file_path AS root, coalesce(resolved_path, '?' || include_file) AS node, resolved_path, 1 AS level FROM links
 UNION
 SELECT w.root, coalesce(l.resolved_path, '?' || l.include_file), l.resolved_path, w.level + 1
-FROM include_walk w JOIN links l ON l.file_path = w.resolved_path WHERE w.level < 12"""
-CTES["include_levels"] = """SELECT root, node, resolved_path, min(level) AS level FROM include_walk
-WHERE node <> root GROUP BY root, node, resolved_path"""
+FROM include_walk w JOIN links l ON l.file_path = w.resolved_path
+WHERE coalesce(l.resolved_path, '?' || l.include_file) <> w.root
+  AND NOT EXISTS (SELECT 1 FROM recurring.include_walk k WHERE k.root = w.root AND k.node = coalesce(l.resolved_path, '?' || l.include_file))"""
+CTES["include_levels"] = "SELECT root, node, resolved_path, level FROM include_walk WHERE node <> root"
 CTES["expanded"] = """SELECT v.root AS file_path, min(l.include_file) AS include_file, v.resolved_path, v.level AS expansion_level
 FROM include_levels v
 JOIN links l ON coalesce(l.resolved_path, '?' || l.include_file) = v.node
@@ -137,16 +218,17 @@ GROUP BY v.root, v.node, v.resolved_path, v.level"""
 
 # -- graph --------------------------------------------------------------------
 
-CTES["dep_edges"] = """SELECT 'dataset:' || d AS source_node, 'file:' || file_path AS target_node, 'READS' AS edge_type, CAST(1 AS FLOAT) AS confidence, file_path
-  FROM (SELECT file_path, unnest(input_datasets) AS d FROM raw)
+_SURE = "CASE WHEN list_contains(original_{0}, d) THEN CAST(1 AS FLOAT) ELSE score END"
+CTES["dep_edges"] = f"""SELECT 'dataset:' || d AS source_node, 'file:' || file_path AS target_node, 'READS' AS edge_type, CAST(1 AS FLOAT) AS confidence, file_path
+  FROM (SELECT file_path, unnest(input_datasets) AS d FROM raw WHERE file_path NOT IN (SELECT file_path FROM resolved))
 UNION ALL SELECT 'file:' || file_path, 'dataset:' || d, 'WRITES', CAST(1 AS FLOAT), file_path
-  FROM (SELECT file_path, unnest(output_datasets) AS d FROM raw)
+  FROM (SELECT file_path, unnest(output_datasets) AS d FROM raw WHERE file_path NOT IN (SELECT file_path FROM resolved))
 UNION ALL SELECT 'macro:' || d, 'file:' || file_path, 'CALLS', CAST(1 AS FLOAT), file_path
   FROM (SELECT file_path, unnest(macro_calls) AS d FROM raw)
-UNION ALL SELECT 'dataset:' || d, 'file:' || file_path, 'READS', score, file_path
-  FROM (SELECT file_path, score, original_inputs, unnest(resolved_inputs) AS d FROM resolved) WHERE NOT list_contains(original_inputs, d)
-UNION ALL SELECT 'file:' || file_path, 'dataset:' || d, 'WRITES', score, file_path
-  FROM (SELECT file_path, score, original_outputs, unnest(resolved_outputs) AS d FROM resolved) WHERE NOT list_contains(original_outputs, d)"""
+UNION ALL SELECT 'dataset:' || d, 'file:' || file_path, 'READS', {_SURE.format('inputs')}, file_path
+  FROM (SELECT file_path, score, original_inputs, unnest(resolved_inputs) AS d FROM resolved)
+UNION ALL SELECT 'file:' || file_path, 'dataset:' || d, 'WRITES', {_SURE.format('outputs')}, file_path
+  FROM (SELECT file_path, score, original_outputs, unnest(resolved_outputs) AS d FROM resolved)"""
 CTES["edges"] = """SELECT * FROM dep_edges
 UNION ALL SELECT DISTINCT 'file:' || coalesce(resolved_path, candidate), 'file:' || file_path, 'INCLUDES', CAST(1 AS FLOAT), file_path FROM links"""
 CTES["degrees"] = """SELECT node_id, CAST(sum(i) AS INTEGER) AS in_degree, CAST(sum(o) AS INTEGER) AS out_degree FROM (
@@ -171,35 +253,55 @@ CTES["graph_check"] = """SELECT (SELECT count(*) FROM degrees) AS nodes, CAST(0
   (SELECT count(*) - count(DISTINCT (source_node, target_node, edge_type, file_path)) FROM edges) AS duplicate_edges,
   (SELECT count(DISTINCT component) FROM graph_cycles) AS cycles, (SELECT count(*) FROM graph_cycles) AS cycle_members"""
 
-# PageRank, ten rounds.
+# PageRank: residuals are pushed until they add up to the tolerance.
+TOLERANCE = 1e-4
 CTES["pairs"] = "SELECT DISTINCT source_node AS src, target_node AS dst FROM edges"
 CTES["outs"] = """SELECT n.node_id, count(p.dst) AS o FROM degrees n LEFT JOIN pairs p ON p.src = n.node_id GROUP BY n.node_id"""
 CTES["total_nodes"] = "SELECT CAST(count(*) AS DOUBLE) AS n FROM outs"
-CTES["pr0"] = "SELECT node_id, o, 1.0 / n AS rank FROM outs, total_nodes"
-for _i in range(1, 11):
-    CTES[f"pr{_i}"] = f"""SELECT s.node_id, s.o, 0.15 / n + 0.85 * (dead / n + coalesce(got, 0)) AS rank
-FROM pr{_i - 1} s, total_nodes, (SELECT coalesce(sum(rank) FILTER (o = 0), 0) AS dead FROM pr{_i - 1})
-LEFT JOIN (SELECT p.dst, sum(q.rank / q.o) AS got FROM pairs p JOIN pr{_i - 1} q ON q.node_id = p.src GROUP BY p.dst) g ON g.dst = s.node_id"""
-
-# Betweenness: distances first, then path counts up and dependencies down, per level.
-LEVELS = 9
+CTES["pushes"] = f"""SELECT 0 AS k, node_id, o, CAST(0 AS DOUBLE) AS rank, 0.15 / n AS r, {TOLERANCE} / (10 * n) AS least FROM outs, total_nodes
+UNION ALL
+SELECT s.k + 1, s.node_id, s.o, s.rank + CASE WHEN s.r > s.least THEN s.r ELSE 0 END,
+  CASE WHEN s.r > s.least THEN 0 ELSE s.r END + coalesce(g.got, 0), s.least
+FROM pushes s LEFT JOIN (
+  SELECT p.dst, sum(0.85 * q.r / q.o) AS got FROM pairs p JOIN pushes q ON q.node_id = p.src WHERE q.r > q.least GROUP BY p.dst) g ON g.dst = s.node_id
+WHERE (SELECT sum(r) FROM pushes) > {TOLERANCE}"""
+CTES["ranks"] = """SELECT node_id, (rank + r) / (sum(rank + r) OVER ()) AS rank FROM pushes WHERE k = (SELECT max(k) FROM pushes)"""
+
+# Betweenness: distances first, then path counts up and dependencies down, level by level.
 CTES["steps"] = "SELECT source_dataset AS u, target_dataset AS v FROM flow WHERE source_dataset <> target_dataset"
-CTES["walk"] = f"""SELECT DISTINCT u AS s, v, 1 AS d FROM steps
-UNION SELECT w.s, e.v, w.d + 1 FROM walk w JOIN steps e ON e.u = w.v WHERE w.d < {LEVELS}"""
-CTES["dist"] = """SELECT s, v, min(d) AS d FROM walk WHERE s <> v GROUP BY s, v
+CTES["walk"] = """SELECT u AS s, v, 1 AS d FROM steps
+UNION SELECT w.s, e.v, w.d + 1 FROM walk w JOIN steps e ON e.u = w.v
+WHERE NOT EXISTS (SELECT 1 FROM recurring.walk k WHERE k.s = w.s AND k.v = e.v)"""
+CTES["dist"] = """SELECT s, v, d FROM walk WHERE s <> v
 UNION ALL SELECT DISTINCT u, u, 0 FROM steps"""
 CTES["sp"] = """SELECT a.s, e.u, e.v, a.d FROM dist a JOIN steps e ON e.u = a.v
 JOIN dist b ON b.s = a.s AND b.v = e.v AND b.d = a.d + 1"""
-CTES["sig0"] = "SELECT s, v, CAST(1 AS DOUBLE) AS n FROM dist WHERE d = 0"
-for _i in range(1, LEVELS + 1):
-    CTES[f"sig{_i}"] = f"""SELECT p.s, p.v, sum(q.n) AS n FROM sp p JOIN sig{_i - 1} q ON q.s = p.s AND q.v = p.u
-WHERE p.d = {_i - 1} GROUP BY p.s, p.v"""
-CTES[f"dep{LEVELS}"] = f"SELECT s, v, n, CAST(0 AS DOUBLE) AS delta FROM sig{LEVELS}"
-for _i in range(LEVELS - 1, 0, -1):
-    CTES[f"dep{_i}"] = f"""SELECT g.s, g.v, g.n, coalesce(sum(g.n / b.n * (1 + b.delta)), 0) AS delta
-FROM sig{_i} g LEFT JOIN (sp p JOIN dep{_i + 1} b ON b.s = p.s AND b.v = p.v AND p.d = {_i}) ON p.s = g.s AND p.u = g.v
-GROUP BY g.s, g.v, g.n"""
-CTES["all_deps"] = " UNION ALL ".join(f"SELECT v, delta FROM dep{i}" for i in range(1, LEVELS + 1))
+CTES["paths"] = """SELECT s, v, d, CAST(1 AS DOUBLE) AS n FROM dist WHERE d = 0
+UNION ALL SELECT p.s, p.v, p.d + 1, sum(q.n) FROM sp p JOIN paths q ON q.s = p.s AND q.v = p.u AND q.d = p.d GROUP BY ALL"""
+CTES["deps"] = """SELECT s, v, d, n, CAST(0 AS DOUBLE) AS delta FROM paths WHERE d = (SELECT max(d) FROM paths)
+UNION ALL
+SELECT g.s, g.v, g.d, g.n, coalesce(sum(g.n / b.n * (1 + b.delta)), 0)
+FROM paths g LEFT JOIN sp p ON p.s = g.s AND p.u = g.v LEFT JOIN deps b ON b.s = p.s AND b.v = p.v
+WHERE g.d = (SELECT max(d) - 1 FROM deps) AND g.d >= 1 GROUP BY g.s, g.v, g.d, g.n"""
+CTES["all_deps"] = "SELECT v, delta FROM deps WHERE d >= 1"
+CTES["flow_betweenness"] = """SELECT n.dataset_name, coalesce(sum(a.delta), 0) AS betweenness
+FROM (SELECT source_dataset AS dataset_name FROM flow UNION SELECT target_dataset FROM flow) n
+LEFT JOIN all_deps a ON a.v = n.dataset_name GROUP BY n.dataset_name"""
+
+# A shortest cycle through the first member of each component of the whole graph.
+CTES["cycle_edges"] = """SELECT DISTINCT m.component, e.source_node AS u, e.target_node AS v
+FROM core_edges e JOIN graph_cycles m ON m.member = e.source_node JOIN graph_cycles n ON n.member = e.target_node AND n.component = m.component"""
+CTES["cycle_walk"] = """SELECT component, component AS node, 0 AS d FROM (SELECT DISTINCT component FROM graph_cycles)
+UNION SELECT w.component, e.v, w.d + 1 FROM cycle_walk w JOIN cycle_edges e ON e.component = w.component AND e.u = w.node
+WHERE NOT EXISTS (SELECT 1 FROM recurring.cycle_walk k WHERE k.component = w.component AND k.node = e.v)"""
+CTES["cycle_parents"] = """SELECT e.component, e.v AS node, min(e.u) AS parent
+FROM cycle_edges e JOIN cycle_walk a ON a.component = e.component AND a.node = e.u JOIN cycle_walk b ON b.component = e.component AND b.node = e.v
+WHERE b.d = a.d + 1 GROUP BY ALL"""
+CTES["cycle_ends"] = """SELECT component, min(node) AS member, d AS position FROM (
+  SELECT w.component, w.node, w.d, min(w.d) OVER (PARTITION BY w.component) AS least
+  FROM cycle_walk w JOIN cycle_edges e ON e.component = w.component AND e.u = w.node AND e.v = w.component) WHERE d = least GROUP BY component, d"""
+CTES["cycle_path"] = """SELECT component, position, member FROM cycle_ends
+UNION ALL SELECT p.component, p.position - 1, q.parent FROM cycle_path p JOIN cycle_parents q ON q.component = p.component AND q.node = p.member WHERE p.position > 0"""
 
 # -- enrichment ---------------------------------------------------------------
 
@@ -210,10 +312,11 @@ CTES["classes"] = """SELECT dataset_name, business_domain, data_category, sensit
   FROM datasets d LEFT JOIN class_rules r ON d.dataset_name LIKE r.pattern) WHERE rn = 1"""
 CTES["close_pairs"] = """SELECT dataset_name, table_name, levenshtein(dataset_name, table_name) AS edits
 FROM datasets JOIN (SELECT DISTINCT table_name FROM catalog_tables)
-  ON length(table_name) BETWEEN length(dataset_name) - 2 AND length(dataset_name) + 2
-WHERE levenshtein(dataset_name, table_name) <= 2"""
+  ON length(table_name) BETWEEN 0.7 * length(dataset_name) AND length(dataset_name) / 0.7
+WHERE 1.0 - CAST(levenshtein(dataset_name, table_name) AS DOUBLE) / greatest(length(dataset_name), length(table_name)) >= 0.7"""
 CTES["best_pairs"] = """SELECT *, 1.0 - CAST(edits AS DOUBLE) / greatest(length(dataset_name), length(table_name)) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY dataset_name ORDER BY edits, length(table_name) DESC, table_name) AS rn FROM close_pairs) WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY dataset_name
+    ORDER BY 1.0 - CAST(edits AS DOUBLE) / greatest(length(dataset_name), length(table_name)) DESC, table_name) AS rn FROM close_pairs) WHERE rn = 1"""
 CTES["matches"] = """SELECT d.dataset_name, CASE WHEN score >= 0.7 THEN table_name END AS unity_catalog_match,
   CASE WHEN score >= 0.7 THEN score END AS match_confidence FROM datasets d LEFT JOIN best_pairs b ON b.dataset_name = d.dataset_name"""
 
@@ -241,6 +344,11 @@ CTES["resolution_check"] = """SELECT count(*) AS total_rows, avg(CAST(score AS D
   count(*) FILTER (len(left_open) > 0) AS files_with_open_names, CAST(sum(len(left_open)) AS BIGINT) AS open_names FROM resolved"""
 
 
+# Walks that keep the first visit of each key.
+KEYED = {"walk": "s, v", "cycle_walk": "component, node", "include_walk": "root, node"}
+_COLUMNS = {"walk": "s, v, d", "cycle_walk": "component, node, d", "include_walk": "root, node, resolved_path, level"}
+
+
 def _needed(sql: str, names: list[str]) -> set[str]:
     outside_literals = re.sub(r"'[^']*'", "", sql)
     return set(re.findall(r"\w+", outside_literals)) & set(names)
@@ -258,7 +366,10 @@ def with_ctes(body: str) -> str:
 
     visit(body, ())
     recursive = {n for n in order if n in _needed(CTES[n], [n])}
-    parts = [f"{n} AS {'' if n in recursive else 'MATERIALIZED '}({CTES[n].strip()})" for n in order]
+    parts = []
+    for n in order:
+        head = f"{n}({_COLUMNS[n]}) USING KEY ({KEYED[n]}) AS " if n in KEYED else f"{n} AS " if n in recursive else f"{n} AS MATERIALIZED "
+        parts.append(f"{head}({CTES[n].strip()})")
     return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
@@ -274,7 +385,23 @@ _CHECK_ROWS = " UNION ALL ".join(
 )
 _STAGE_ORDER = ", ".join(f"({i}, '{s}')" for i, s in enumerate(STAGES))
 
+# A scanned file ends with a line feed that the writer adds.
+CTES["programs"] = """SELECT replace(regexp_replace(file_path, '/[^/]*$', ''), '/', '_') AS folder, code || chr(10) AS code FROM code_files"""
+_SCANNED = f"SELECT folder, md5(code) AS content, true AS named, array_to_string({inputs_of('code')}, '|') AS input_datasets FROM programs"
+_COLUMN_COUNTS = ", ".join(f"('{t}', {len(columns.split(', '))})" for t, columns in TABLES.items() if "MAP<" not in columns)
+
 BODIES: dict[str, str] = {
+    "scan_code_files": _SCANNED,
+    "scan_code_files_recursive": _SCANNED,
+    "scan_file_list": _SCANNED,
+    "scan_by_line": """SELECT folder, md5(line) AS content, true AS named, count(*) AS lines
+FROM (SELECT folder, unnest(string_split(code, chr(10))[:-2]) AS line FROM programs) GROUP BY ALL""",
+    "table_write": f"""SELECT file_path, {_JOINED}, CASE WHEN len(include_files) > 0 THEN 2 ELSE 1 END::BIGINT AS copies FROM raw""",
+    "table_lifecycle": f"""SELECT t.name AS table_name, false AS before, true AS created, CAST(t.columns AS INTEGER) AS columns,
+  CASE t.name WHEN 'raw_dependencies' THEN (SELECT count(*) FROM raw) WHEN 'workflow_state' THEN (SELECT count(*) FROM run_log) ELSE 0 END AS rows_written, false AS after
+FROM (VALUES {_COLUMN_COUNTS}, ('resolved_dependencies', 9)) AS t(name, columns)""",
+    "wf_append": """SELECT workflow_id, stage, status, status = 'STARTED' AS starts, status IN ('SUCCESS', 'FAILED') AS ends, error_message, checkpoint_data, true AS stamped FROM run_log
+UNION ALL SELECT DISTINCT workflow_id, 'INIT', 'CREATED', true, false, NULL, NULL, true FROM run_log""",
     **{
         name: f"SELECT file_path, array_to_string({make('code')}, '|') AS {name} FROM code_files"
         for name, make in EXTRACTED.items()
@@ -294,8 +421,9 @@ FROM (SELECT file_path, unnest(lines) AS line, generate_subscripts(lines, 1) AS
 FROM (SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY created_at DESC) AS rn FROM (
   SELECT file_path, input_datasets, proc_types, '2024-01-01 00:00:00.000000' AS created_at FROM raw
   UNION ALL SELECT file_path, input_datasets, ['rerun'], '2024-01-02 00:00:00.000000' FROM raw WHERE len(include_files) > 0)) WHERE rn = 1""",
-    "export_graph_json": """SELECT kind, count(*) AS rows, min(id) AS first_id FROM (
-  SELECT split_part(node_id, ':', 1) AS kind, node_id AS id FROM degrees UNION ALL SELECT edge_type, source_node FROM edges) GROUP BY kind""",
+    "export_graph_json": """SELECT split_part(node_id, ':', 1) AS kind, node_id AS id, substr(node_id, instr(node_id, ':') + 1) AS other, in_degree, out_degree,
+  CAST(NULL AS DOUBLE) AS confidence, CAST(NULL AS VARCHAR) AS file_path FROM degrees
+UNION ALL SELECT edge_type, source_node, target_node, NULL, NULL, round(CAST(confidence AS DOUBLE), 6), file_path FROM edges""",
     "wf_load_checkpoint": """SELECT workflow_id, stage, CASE WHEN json_valid(checkpoint_data) THEN checkpoint_data END AS checkpoint_data FROM (
   SELECT *, row_number() OVER (PARTITION BY workflow_id, stage
     ORDER BY created_at DESC, CASE WHEN checkpoint_data IS NULL THEN 1 ELSE 0 END, checkpoint_data DESC) AS rn
@@ -310,10 +438,10 @@ FROM (SELECT DISTINCT workflow_id FROM latest) w CROSS JOIN (VALUES {_STAGE_ORDE
 LEFT JOIN latest l ON l.workflow_id = w.workflow_id AND l.stage = o.stage GROUP BY w.workflow_id""",
     "wf_rows_of_workflow": """SELECT workflow_id, count(*) AS rows, string_agg(DISTINCT status, '|' ORDER BY status) AS statuses FROM run_log GROUP BY workflow_id""",
     "macro_definitions": r"""SELECT file_path,
-  array_to_string(list_sort(list_transform(regexp_extract_all(code, '(?i)%let\s+(\w+\s*=[^;]*);', 1),
-    lambda p: lower(regexp_extract(p, '^\w+')) || '=' || trim(substr(p, instr(p, '=') + 1)))), '|') AS macro_definitions,
+  array_to_string(list_sort(list_filter(list_transform(lets, lambda p, i: CASE WHEN NOT list_contains([lower(regexp_extract(q, '^\w+')) FOR q IN lets[i + 1:]], lower(regexp_extract(p, '^\w+')))
+    THEN lower(regexp_extract(p, '^\w+')) || '=' || trim(substr(p, instr(p, '=') + 1)) END), lambda v: v IS NOT NULL)), '|') AS macro_definitions,
   array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(code, '(?i)%macro\s+(\w+)', 1), lambda m: lower(m)))), '|') AS macros_defined
-FROM code_files""",
+FROM (SELECT *, regexp_extract_all(code, '(?i)%let\s+(\w+\s*=[^;]*);', 1) AS lets FROM code_files)""",
     "dynamic_files": "SELECT file_path FROM code_files WHERE contains(code, '&')",
     "resolved_dependencies": "SELECT file_path, "
     + ", ".join(
@@ -331,16 +459,18 @@ FROM expanded e LEFT JOIN code_files f ON f.file_path = e.resolved_path""",
     "catalog_match": "SELECT dataset_name, unity_catalog_match, round(match_confidence, 6) AS match_confidence FROM matches",
     "lineage_edges": "SELECT source_node, target_node, edge_type, round(CAST(confidence AS DOUBLE), 6) AS confidence, file_path FROM edges",
     "lineage_nodes": """SELECT d.node_id, split_part(d.node_id, ':', 1) AS node_type, substr(d.node_id, instr(d.node_id, ':') + 1) AS node_name,
-  in_degree, out_degree, round(CAST(CAST(rank AS FLOAT) AS DOUBLE), 9) AS pagerank FROM degrees d JOIN pr10 p ON p.node_id = d.node_id""",
+  in_degree, out_degree, round(CAST(CAST(rank AS FLOAT) AS DOUBLE), 9) AS pagerank, round(b.betweenness, 6) AS betweenness_centrality
+FROM degrees d JOIN ranks p ON p.node_id = d.node_id LEFT JOIN flow_betweenness b ON d.node_id = 'dataset:' || b.dataset_name""",
     "node_degree": "SELECT node_id, in_degree, out_degree FROM degrees",
-    "pagerank": "SELECT node_id, round(rank, 9) AS pagerank FROM pr10",
-    "betweenness": """SELECT n.dataset_name, round(coalesce(sum(a.delta), 0), 6) AS betweenness_centrality
-FROM (SELECT source_dataset AS dataset_name FROM flow UNION SELECT target_dataset FROM flow) n
-LEFT JOIN all_deps a ON a.v = n.dataset_name GROUP BY n.dataset_name""",
+    "pagerank": "SELECT node_id, round(rank, 9) AS pagerank FROM ranks",
+    "betweenness": "SELECT dataset_name, round(betweenness, 6) AS betweenness_centrality FROM flow_betweenness",
     "detect_cycles": """SELECT component, member, count(*) OVER (PARTITION BY component) AS size FROM flow_cycles""",
+    "cycle_paths": "SELECT component, CAST(position AS INTEGER) AS position, member FROM cycle_path",
     "dataset_flow": "SELECT source_dataset, target_dataset FROM flow",
     "lineage_closure": f"""SELECT s AS ancestor, v AS descendant, CAST(min(d) AS INTEGER) AS distance FROM (
   SELECT s, v, d FROM walk UNION ALL SELECT source_dataset, source_dataset, 1 FROM flow WHERE source_dataset = target_dataset) GROUP BY s, v""",
+    "reach_counts": """SELECT n.dataset_name, count(r.b) AS reached
+FROM (SELECT source_dataset AS dataset_name FROM flow UNION SELECT target_dataset FROM flow) n LEFT JOIN reach r ON r.a = n.dataset_name GROUP BY n.dataset_name""",
     "catalog_integration": """SELECT node_id, split_part(node_id, ':', 1) AS node_type, unity_catalog_match, round(match_confidence, 6) AS match_confidence
 FROM degrees LEFT JOIN matches ON node_id = 'dataset:' || dataset_name""",
     "validate_parsing": "SELECT * REPLACE (round(dynamic_share, 6) AS dynamic_share) FROM parse_check",
@@ -351,7 +481,7 @@ FROM degrees LEFT JOIN matches ON node_id = 'dataset:' || dataset_name""",
   (SELECT count(*) FROM datasets) AS datasets, (SELECT count(*) FROM degrees) AS lineage_nodes,
   (SELECT count(*) FROM edges) AS lineage_edges, (SELECT count(*) FROM run_log) AS workflow_state""",
     "top_critical_files": """SELECT d.node_id, substr(d.node_id, 6) AS node_name, in_degree + out_degree AS degree,
-  round(CAST(CAST(rank AS FLOAT) AS DOUBLE), 9) AS pagerank FROM degrees d JOIN pr10 p ON p.node_id = d.node_id
+  round(CAST(CAST(rank AS FLOAT) AS DOUBLE), 9) AS pagerank FROM degrees d JOIN ranks p ON p.node_id = d.node_id
 WHERE d.node_id LIKE 'file:%' ORDER BY round(CAST(CAST(rank AS FLOAT) AS DOUBLE), 12) DESC, degree DESC, d.node_id LIMIT 20""",
     "domain_breakdown": """SELECT business_domain, sensitivity_level, CAST(grouping(business_domain, sensitivity_level) AS BIGINT) AS rollup_level, count(*) AS datasets
 FROM classes GROUP BY ROLLUP (business_domain, sensitivity_level)""",

@@ -6,16 +6,21 @@ by value. Load times are left out.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadline import corpus
+from threadline.config import TABLES, Config, Location, ParseOptions
 from threadline.functions import extract
-from threadline.operators import centrality, dependencies, enrich, graph, reach, report, resolve, runlog, validate
+from threadline.operators import centrality, dependencies, enrich, graph, reach, reach_index, report, resolve, runlog, validate
 from threadline.plans.scratch import Scratch
+from threadline.sources import files as files_source
 from threadline.sources.export import export_graph_json
 from threadline.sources.files import text_metadata
+from threadline.sources.tables import Tables, raise_first
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +40,9 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self.scratch = Scratch(spark, "query")
+        self._resolution: resolve.Resolution | None = None
+        self._edges: DataFrame | None = None
+        self._raw: DataFrame | None = None
 
     def load(self, name: str) -> DataFrame:
         return corpus.load(self.spark, self.sf_dir, name)
@@ -43,21 +51,30 @@ class Inputs:
         return self.load("code_files")
 
     def raw(self) -> DataFrame:
-        return dependencies.raw_dependencies(self.files())
+        """Raw dependencies, extracted once for a query however often it reads them."""
+        if self._raw is None:
+            self._raw = self.scratch.save(dependencies.raw_dependencies(self.files()), "raw")
+        return self._raw
+
+    def resolution(self) -> resolve.Resolution:
+        if self._resolution is None:
+            self._resolution = resolve.read_corpus(self.files(), self.scratch)
+        return self._resolution
 
     def resolved(self) -> DataFrame:
-        return resolve.resolved_dependencies(self.files())
+        return resolve.resolved_dependencies(self.files(), resolution=self.resolution())
 
     def links(self) -> DataFrame:
-        return resolve.include_links(self.raw(), self.files().select("file_path"))
+        return self.resolution().links
 
     def edges(self) -> DataFrame:
-        edges = graph.lineage_edges(self.raw(), self.resolved(), self.links())
-        return self.scratch.save(edges, "edges")
+        if self._edges is None:
+            edges = graph.lineage_edges(self.raw(), self.resolved(), self.links())
+            self._edges = self.scratch.save(edges, "edges")
+        return self._edges
 
     def flow(self) -> DataFrame:
-        edges = graph.lineage_edges(self.raw(), self.resolved())
-        flow = graph.dataset_flow(self.scratch.save(edges, "edges"))
+        flow = graph.dataset_flow(self.edges())
         return self.scratch.save(flow, "flow")
 
     def datasets(self) -> DataFrame:
@@ -108,7 +125,7 @@ _LISTS = ("input_datasets", "output_datasets", "macro_calls", "include_files", "
 
 
 def raw_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = Inputs(spark, sf_dir).raw()
+    raw = dependencies.raw_dependencies(Inputs(spark, sf_dir).files())
     return raw.select("file_path", "file_name", "has_dynamic_deps", *[joined(c) for c in _LISTS])
 
 
@@ -118,7 +135,7 @@ def raw_dependencies_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def num_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dependencies.num_files(Inputs(spark, sf_dir).raw())
+    return dependencies.num_files(Inputs(spark, sf_dir).files())
 
 
 def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,18 +155,127 @@ def latest_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the exported graph, read back from the JSON files, per kind."""
+    """Rows of the exported graph, read back from the JSON files."""
     inputs = Inputs(spark, sf_dir)
     edges = inputs.edges()
     nodes = graph.lineage_nodes(edges)
     path = f"{inputs.scratch.root}/export"
     export_graph_json(nodes, edges, path)
     read = lambda kind, df: spark.read.schema(df.schema).json(f"{path}/{kind}")
-    kinds = read("nodes", nodes).select(F.col("node_type").alias("kind"), F.col("node_id").alias("id"))
-    kinds = kinds.unionByName(
-        read("edges", edges).select(F.col("edge_type").alias("kind"), F.col("source_node").alias("id"))
+    kinds = read("nodes", nodes).select(
+        F.col("node_type").alias("kind"), F.col("node_id").alias("id"), F.col("node_name").alias("other"), "in_degree", "out_degree",
+        F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("string").alias("file_path"),
+    )
+    return kinds.unionByName(
+        read("edges", edges).select(
+            F.col("edge_type").alias("kind"), F.col("source_node").alias("id"), F.col("target_node").alias("other"),
+            F.lit(None).cast("int").alias("in_degree"), F.lit(None).cast("int").alias("out_degree"),
+            F.round(F.col("confidence").cast("double"), 6).alias("confidence"), "file_path",
+        )
+    )
+
+
+class Written:
+    """The corpus as program files in a folder of the job, one file each, by the folder they had."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.inputs = Inputs(spark, sf_dir)
+        self.path = f"{self.inputs.scratch.root}/programs"
+        folder = F.regexp_replace(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1), "/", "_")
+        rows = self.inputs.files().select(folder.alias("folder"), "code")
+        # One row, and so one program, to a file.
+        rows.write.option("maxRecordsPerFile", 1).option("compression", "none").partitionBy("folder").text(self.path)
+        self.options = ParseOptions(file_pattern="part-*", recursive=True)
+
+
+def _scanned(files: DataFrame) -> DataFrame:
+    """What a scan gives of each file that does not depend on the job's own names."""
+    return files.select(
+        F.regexp_extract("file_path", "folder=([^/]*)/", 1).alias("folder"), F.md5("code").alias("content"),
+        F.endswith(F.col("file_path"), F.concat(F.lit("/"), F.col("file_name"))).alias("named"),
+        F.array_join(extract.input_datasets(F.col("code")), "|").alias("input_datasets"),
+    )
+
+
+def scan_code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folders scanned flat, without what may lie below them."""
+    written = Written(spark, sf_dir)
+    flat = ParseOptions(file_pattern=written.options.file_pattern)
+    return _scanned(files_source.scan_code_files(spark, f"{written.path}/folder=*", flat))
+
+
+def scan_code_files_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = Written(spark, sf_dir)
+    return _scanned(files_source.scan_code_files(spark, written.path, written.options))
+
+
+def scan_file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = Written(spark, sf_dir)
+    paths = spark.read.option("recursiveFileLookup", "true").text(written.path).inputFiles()
+    return _scanned(files_source.scan_file_list(spark, [unquote(p) for p in paths], written.options))
+
+
+def scan_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-line form of the scan, with the path of each line's file."""
+    written = Written(spark, sf_dir)
+    lines = files_source.scan_code_files(spark, written.path, written.options, wholetext=False)
+    return _scanned(lines).groupBy("folder", "content", "named").agg(F.count("*").alias("lines"))
+
+
+def _with_tables(spark: SparkSession, use: Callable[[Tables], DataFrame]) -> DataFrame:
+    """The result of work on tables of a schema of its own, which is gone afterwards."""
+    tables = Tables(spark, Config(location=Location(None, f"threadline_{uuid.uuid4().hex}")))
+    tables.create_schema()
+    try:
+        return Scratch(spark, "tables").save(use(tables), "result")
+    finally:
+        tables.drop_all()
+        spark.sql(f"DROP SCHEMA IF EXISTS {tables.location.full_schema}")
+
+
+def table_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw dependencies appended twice, the second time files with includes only, and read back."""
+    raw = Inputs(spark, sf_dir).raw()
+
+    def use(tables: Tables) -> DataFrame:
+        tables.write(raw.withColumn("extra", F.lit(1)), "raw_dependencies")
+        tables.write(raw.filter(F.size("include_files") > 0), "raw_dependencies")
+        back = tables.read("raw_dependencies")
+        return back.groupBy("file_path", *[joined(c) for c in _LISTS]).agg(F.count("*").alias("copies"))
+
+    return _with_tables(spark, use)
+
+
+def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared table before, while and after it exists, with the rows written to two of them."""
+    inputs = Inputs(spark, sf_dir)
+
+    def use(tables: Tables) -> DataFrame:
+        steps = [{"table_name": t, "before": tables.exists(t)} for t in TABLES]
+        raise_first(tables.create_all())
+        tables.write(inputs.raw(), "raw_dependencies")
+        tables.write(inputs.log(), "workflow_state")
+        for s in steps:
+            s |= {"created": tables.exists(s["table_name"]), "columns": len(tables.read(s["table_name"]).columns), "rows_written": tables.read(s["table_name"]).count()}
+        raise_first(tables.drop_all())
+        for s in steps:
+            s["after"] = tables.exists(s["table_name"])
+        return spark.createDataFrame([tuple(s.values()) for s in steps], "table_name string, before boolean, created boolean, columns int, rows_written long, after boolean")
+
+    return _with_tables(spark, use)
+
+
+def wf_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the log as the writer makes them for every event of the run log, by kind of row."""
+    log = Inputs(spark, sf_dir).log()
+    rows = runlog.log_rows(log.select("workflow_id", "stage", "status", "error_message", "checkpoint_data"))
+    firsts = runlog.log_rows(
+        log.select("workflow_id").distinct().select("workflow_id", F.lit("INIT").alias("stage"), F.lit("CREATED").alias("status"), F.lit(None).alias("error_message"), F.lit(None).alias("checkpoint_data"))
+    )
+    return rows.unionByName(firsts).select(
+        "workflow_id", "stage", "status", F.col("start_time").isNotNull().alias("starts"), F.col("end_time").isNotNull().alias("ends"),
+        "error_message", "checkpoint_data", F.col("created_at").isNotNull().alias("stamped"),
     )
-    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("first_id"))
 
 
 def macro_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,12 +309,14 @@ def resolution_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expanded_includes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = Inputs(spark, sf_dir)
-    return resolve.expanded_includes(inputs.files(), inputs.links()).drop("created_at")
+    files = Inputs(spark, sf_dir).files()
+    links, _ = resolve.program_links(files)
+    return resolve.expanded_includes(files, links).drop("created_at")
 
 
 def include_path_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Inputs(spark, sf_dir).links().select("file_path", "include_file", "resolved_path")
+    links, _ = resolve.program_links(Inputs(spark, sf_dir).files())
+    return links.select("file_path", "include_file", "resolved_path").distinct()
 
 
 def unique_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,11 +342,16 @@ def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineage_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = Inputs(spark, sf_dir).nodes()
+    inputs = Inputs(spark, sf_dir)
+    nodes = inputs.nodes()
+    # Betweenness of the dataset graph, in double precision.
+    scores = centrality.betweenness(inputs.flow(), "source_dataset", "target_dataset").select(
+        graph.node_id(graph.DATASET, F.col("node_id")).alias("node_id"), F.round("betweenness_centrality", 6).alias("betweenness_centrality")
+    )
     return nodes.select(
         "node_id", "node_type", "node_name", "in_degree", "out_degree",
         F.round(F.col("pagerank").cast("double"), 9).alias("pagerank"),
-    )
+    ).join(scores, "node_id", "left")
 
 
 def node_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,6 +374,12 @@ def detect_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reach.strong_components(Inputs(spark, sf_dir).flow())
 
 
+def cycle_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = Inputs(spark, sf_dir).edges()
+    ends = ("source_node", "target_node")
+    return reach.cycle_paths(edges, reach.strong_components(edges, *ends), *ends)
+
+
 def dataset_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Inputs(spark, sf_dir).flow()
 
@@ -249,6 +388,12 @@ def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reach.lineage_closure(Inputs(spark, sf_dir).flow())
 
 
+def reach_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many datasets each one reaches, from the reach index, without a table of pairs."""
+    index = reach_index.reach_index(Inputs(spark, sf_dir).flow())
+    return index.counts().select(F.col("node").alias("dataset_name"), "reached")
+
+
 def catalog_integration(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
     tied = graph.nodes_with_catalog(graph.lineage_nodes(inputs.edges()), inputs.matches())
@@ -362,6 +507,13 @@ QUERIES: dict[str, Query] = {
     "raw_dependencies": raw_dependencies,
     "raw_dependencies_by_line": raw_dependencies_by_line,
     "num_files": num_files,
+    "scan_code_files": scan_code_files,
+    "scan_code_files_recursive": scan_code_files_recursive,
+    "scan_file_list": scan_file_list,
+    "scan_by_line": scan_by_line,
+    "table_write": table_write,
+    "table_lifecycle": table_lifecycle,
+    "wf_append": wf_append,
     "file_metadata": file_metadata,
     "latest_per_file": latest_per_file,
     "export_graph_json": export_graph,
@@ -386,8 +538,10 @@ QUERIES: dict[str, Query] = {
     "pagerank": pagerank,
     "betweenness": betweenness,
     "detect_cycles": detect_cycles,
+    "cycle_paths": cycle_paths,
     "dataset_flow": dataset_flow,
     "lineage_closure": lineage_closure,
+    "reach_counts": reach_counts,
     "catalog_integration": catalog_integration,
     "validate_parsing": validate_parsing,
     "validate_resolution": validate_resolution,

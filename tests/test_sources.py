@@ -10,7 +10,7 @@ from threadline.config import TABLES, Config, Location, ParseOptions, table_sche
 from threadline.operators import dependencies, runlog
 from threadline.plans import scratch, stages
 from threadline.sources import export, files
-from threadline.sources.tables import Tables
+from threadline.sources.tables import Tables, raise_first
 from threadline.streaming.parse_stream import append_new_files
 
 
@@ -78,17 +78,15 @@ def test_file_metadata(spark, programs):
 
 
 def test_locations():
-    assert Location().volume_path == "/Volumes/demo/lineage_data/sas_files"
     assert Location().full_schema == "demo.lineage_data"
-    other = Location("c", "s", "v")
-    assert (other.volume_path, other.full_schema, other.table("x")) == ("/Volumes/c/s/v", "c.s", "c.s.x")
+    other = Location("c", "s")
+    assert (other.full_schema, other.table("x")) == ("c.s", "c.s.x")
     assert Location(None, "s").table("x") == "s.x"
 
 
 def test_tables(spark, tables):
     assert not tables.exists("raw_dependencies")
-    done = tables.create_all()
-    assert done["overall_status"] == "success" and set(TABLES) <= set(done)
+    assert [(a.table, a.error) for a in tables.create_all()] == [(t, None) for t in TABLES]
     for name in TABLES:
         assert [(f.name, f.dataType) for f in tables.read(name).schema] == [
             (f.name, f.dataType) for f in table_schema(name)
@@ -97,10 +95,23 @@ def test_tables(spark, tables):
         tables.create("unknown")
     with pytest.raises(ValueError):
         tables.write(spark.range(1), "unknown")
-    assert tables.drop_all()["overall_status"] == "success"
+    assert all(a.error is None for a in tables.drop_all())
     assert not tables.exists("lineage_nodes")
 
 
+def test_one_failing_table_does_not_keep_the_others(spark, tables):
+    def action(table):
+        if table == "lineage_edges":
+            raise OSError("no room")
+        tables.create(table)
+
+    attempts = tables.for_all(action)
+    assert [a.table for a in attempts if a.error is not None] == ["lineage_edges"]
+    assert tables.exists("workflow_state") and not tables.exists("lineage_edges")
+    with pytest.raises(OSError):
+        raise_first(attempts)
+
+
 def test_write_appends_declared_columns(spark, tables):
     code = spark.createDataFrame([("x.sas", "set a;")], "file_path string, code string")
     raw = dependencies.raw_dependencies(code).withColumn("extra", F.lit(1))
@@ -133,7 +144,7 @@ def test_stream_appends_each_file_once(spark, tables, programs, tmp_path):
     assert sorted(r["file_name"] for r in rows) == ["B.SAS", "a.sas", "new.sas"]
 
 
-def test_whole_run_and_resume(spark, tables, programs):
+def test_whole_run_and_resume(spark, tables, programs, tmp_path):
     tables.setup_all()
     config = Config(location=tables.location, parse=ParseOptions(recursive=True))
     code = files.scan_code_files(spark, str(programs), config.parse)
@@ -146,20 +157,26 @@ def test_whole_run_and_resume(spark, tables, programs):
 
     run.enrich = fail
     first = run.run()
-    assert first["status"] == "error" and first["stages"]["ENRICH"]["error_message"] == "no rules"
+    assert first.failed_stage == "ENRICH" and str(first.stages["ENRICH"].failure) == "no rules"
     log = tables.read("workflow_state")
     assert runlog.resume_points(runlog.rows_of_workflow(log, "w1").filter("stage <> 'INIT'")).first()[1] == "ENRICH"
     assert runlog.failures(log).first()["error_type"] == "RuntimeError"
     run.enrich = broken
+    run.export_path = str(tmp_path / "export")
     second = run.run(resume=True)
-    assert second["status"] == "success" and list(second["stages"]) == ["ENRICH", "BUILD", "VALIDATE"]
-    assert run.run(resume=True)["stages"] == {}
+    assert second.failed_stage is None and list(second.stages) == ["ENRICH", "BUILD", "VALIDATE"]
+    assert run.run(resume=True).stages == {}
     assert run.log.load_checkpoint("w1", "PARSE") == {"num_files": 3}
-    assert tables.read("expanded_includes").first()["include_content"] == "data a\n b;\nset c;\n"
-    match = tables.read("dataset_classifications").filter("unity_catalog_match = 'c'").first()
+    assert tables.current("expanded_includes").first()["include_content"] == "data a\n b;\nset c;\n"
+    match = tables.current("dataset_classifications").filter("unity_catalog_match = 'c'").first()
     assert match["dataset_name"] == "c" and match["match_confidence"] == 1.0
-    checks = second["stages"]["VALIDATE"]["details"]
+    checks = second.stages["VALIDATE"].figures
     assert checks["graph"]["dangling_ends"] == 0 and checks["parsing"]["distinct_files"] == 3
+    assert second.stages["BUILD"].figures["nodes_in_catalog"] == 1
+    exported = spark.read.json(f"{tmp_path}/export/edges")
+    assert exported.count() == second.stages["BUILD"].figures["edges"] == tables.current("lineage_edges").count()
+    report = {(r["section"], r["item"], r["measure"]) for r in run.report().collect()}
+    assert ("check", "graph", "edges") in report and ("status", "BUILD", "SUCCESS") in report
     nodes = tables.read("lineage_nodes")
     assert nodes.agg(F.sum("pagerank")).first()[0] == pytest.approx(1.0, abs=1e-5)
 
@@ -195,3 +212,46 @@ def test_resolution_of_an_empty_table_is_validated(spark):
     none = spark.createDataFrame([], "resolution_confidence double, resolution_notes string")
     row = validate_resolution(none).first()
     assert row["total_rows"] == 0 and row["low_confidence_share"] == 0
+
+
+def edges_of(tables):
+    return {(r["source_node"], r["target_node"]) for r in tables.current("lineage_edges").collect()}
+
+
+def test_runs_add_up(spark, tables):
+    """A second run keeps the first one's lineage; only what is new is taken up."""
+    tables.setup_all()
+
+    def run(name, programs, **how):
+        files = spark.createDataFrame(list(programs.items()), "file_path string, code string")
+        result = stages.LineageRun(tables, name, files).run(**how)
+        assert result.failed_stage is None, result.stages[result.failed_stage].failure
+        return result.stages
+
+    done = run("w1", {"a.sas": "data one;\nset two;\n", "i.sas": "%let lib=old;"})
+    assert done["PARSE"].figures == {"num_files": 2}
+    done = run("w2", {"b.sas": "data three;\nset one;\nset &lib..t;\n%include 'i.sas';", "i.sas": "%let lib=old;"})
+    assert done["PARSE"].figures == {"num_files": 2}
+    first = {("dataset:two", "file:a.sas"), ("file:a.sas", "dataset:one")}
+    second = {("dataset:one", "file:b.sas"), ("file:b.sas", "dataset:three"), ("file:i.sas", "file:b.sas")}
+    assert edges_of(tables) == first | second | {("dataset:old.t", "file:b.sas")}
+    # i.sas was parsed once, and its rows are not written again.
+    assert tables.read("raw_dependencies").filter("file_path = 'i.sas'").count() == 1
+    written = tables.read("lineage_edges").count()
+    run("w3", {"a.sas": "data one;\nset two;\n"})
+    assert tables.read("lineage_edges").count() == written
+    # The include changes: b.sas is resolved anew although its text is the same.
+    run("w4", {"b.sas": "data three;\nset one;\nset &lib..t;\n%include 'i.sas';", "i.sas": "%let lib=new;"})
+    assert edges_of(tables) == first | second | {("dataset:new.t", "file:b.sas")}
+    # A program that names nothing any more has no edges.
+    run("w5", {"a.sas": "run;"})
+    assert edges_of(tables) == second | {("dataset:new.t", "file:b.sas")}
+    nodes = {r["node_id"] for r in tables.read("lineage_nodes").collect()}
+    assert "dataset:three" in nodes and "dataset:two" not in nodes
+    names = {r["dataset_name"] for r in tables.current("dataset_classifications").collect()}
+    assert {"one", "two", "three", "old.t", "new.t"} == names
+    tables.compact()
+    assert tables.read("lineage_edges").count() == 4 and edges_of(tables) == second | {("dataset:new.t", "file:b.sas")}
+    assert list(run("w6", {"a.sas": "run;"}, start="BUILD")) == ["BUILD", "VALIDATE"]
+    with pytest.raises(ValueError):
+        run("w7", {"a.sas": "run;"}, start="NOWHERE")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Location:
-    """Where tables and program files live.
+    """Where tables live.
 
     ``catalog_name=None`` leaves the catalog out of table names, for sessions
     with the built-in session catalog only.
@@ -18,12 +18,6 @@ class Location:
     # The defaults of the data model.
     catalog_name: str | None = "demo"
     schema_name: str = "lineage_data"
-    volume_name: str = "sas_files"
-
-    @property
-    def volume_path(self) -> str:
-        parts = [p for p in (self.catalog_name, self.schema_name, self.volume_name) if p]
-        return "/Volumes/" + "/".join(parts)
 
     @property
     def full_schema(self) -> str:
@@ -73,11 +67,17 @@ TABLES: dict[str, str] = {
     ),
 }
 
+# Which content of a file each stage has written rows for; not one of the declared tables.
+DONE = "stage_contents"
+_DONE_COLUMNS = "file_path STRING, content STRING, stage STRING, created_at TIMESTAMP"
+
 # Stages of a run, in order.
 STAGES = ("PARSE", "RESOLVE", "ENRICH", "BUILD", "VALIDATE")
 
 
 def table_schema(name: str) -> T.StructType:
+    if name == DONE:
+        return T.StructType.fromDDL(_DONE_COLUMNS)
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return T.StructType.fromDDL(TABLES[name])
@@ -101,4 +101,7 @@ class Config:
     table_format: str = "parquet"
     # None: as many as the least confidence admits.
     max_edits: int | None = None
-    pagerank_rounds: int = 10
+    # Summed change of all ranks at which the rounds end.
+    pagerank_tolerance: float = 1e-4
+    # None: exact. A number of sources gives an estimate.
+    betweenness_pivots: int | None = None

@@ -1,7 +1,8 @@
 """Program corpus, run log, rules and catalogue derived from the given tables.
 
 The statements run unchanged in Spark SQL and in other ANSI engines, over the
-whole of each table. The dataset graph grows with ``orders`` and ``customer``:
+whole of each table. Values come from the program itself, from includes (nested,
+and named by values), and from arguments of macros. The dataset graph grows with ``orders`` and ``customer``:
 staging datasets per order and per customer, hubs (priority tables, work and
 mart datasets) that a large share of the programs touch, and feedback programs
 that close a cycle per customer.
@@ -19,6 +20,22 @@ SELECT 'repo/d' || (o_orderkey % 7) || '/job_' || o_orderkey || '.sas' AS file_p
           || '  set &envx..src;' || chr(10) || 'run;' || chr(10) ELSE '' END)
   || (CASE WHEN o_custkey % 21 = 0
         THEN 'data &undef..q;' || chr(10) || 'run;' || chr(10) ELSE '' END)
+  || (CASE WHEN o_custkey % 13 = 0
+        THEN '%include "/inc/env_' || (o_custkey % 5) || '.sas";' || chr(10)
+          || 'proc sort data=&lib..q_' || (o_orderkey % 30) || ' out=&lib..sorted;' || chr(10) || 'run;' || chr(10)
+          || 'data &full..t;' || chr(10) || 'run;' || chr(10) ELSE '' END)
+  || (CASE WHEN o_custkey % 17 = 0
+        THEN '%let m=a;' || chr(10) || 'data out.&m.x;' || chr(10) || ' set lib.&m.x;' || chr(10) || 'run;' || chr(10)
+          || '%let m=b_' || (o_custkey % 6) || ';' || chr(10) || 'data out.&m.x;' || chr(10) || ' set lib.&m.x;' || chr(10) || 'run;' || chr(10) ELSE '' END)
+  || (CASE WHEN o_custkey % 19 = 0
+        THEN '%let base=/inc;' || chr(10) || '%include "&base./env_' || (o_custkey % 5) || '.sas";' || chr(10)
+          || '%include "&area./u.sas";' || chr(10) || 'data &unit..z_' || (o_orderkey % 30) || ';' || chr(10) || 'run;' || chr(10) ELSE '' END)
+  || (CASE WHEN o_custkey % 23 = 0
+        THEN '%load(cust_' || (o_custkey % 40) || ');' || chr(10) || '%twice(c_' || (o_custkey % 7) || ', t=x);' || chr(10) ELSE '' END)
+  || (CASE WHEN o_custkey % 29 = 0
+        THEN '%macro mine(lib);' || chr(10) || ' set &lib..x;' || chr(10) || '%mend;' || chr(10) || '%mine(prod);' || chr(10) ELSE '' END)
+  || (CASE WHEN o_custkey % 31 = 0
+        THEN 'proc sort data=lib.&nowhere out=fine;' || chr(10) || 'run;' || chr(10) ELSE '' END)
   || (CASE WHEN o_orderkey % 10 = 3
         THEN 'data raw.cust_' || o_custkey || ';' || chr(10)
           || ' merge stg.c_' || o_custkey || ';' || chr(10) || 'run;' || chr(10)
@@ -50,6 +67,23 @@ UNION ALL
 SELECT 'repo/d' || r_regionkey || '/lib/util_' || r_regionkey || '.sas' AS file_path,
   '%macro util_' || r_regionkey || '(p);' || chr(10) || ' proc print data=inc.d_' || r_regionkey || ';' || chr(10) || 'run;' || chr(10) || '%mend;' || chr(10) AS code
 FROM region
+UNION ALL
+SELECT '/inc/env_' || r_regionkey || '.sas' AS file_path,
+  '%let lib=prod_' || r_regionkey || ';' || chr(10) || '%include "/inc/roots_' || r_regionkey || '.sas";' || chr(10) || '%let full=&root._f;' || chr(10) AS code
+FROM region
+UNION ALL
+SELECT '/inc/roots_' || r_regionkey || '.sas' AS file_path,
+  '%let root=base_' || r_regionkey || ';' || chr(10) || '%let area=/lib/area_' || r_regionkey || ';' || chr(10) AS code
+FROM region
+UNION ALL
+SELECT '/lib/area_' || r_regionkey || '/u.sas' AS file_path, '%let unit=u_' || r_regionkey || ';' || chr(10) AS code
+FROM region
+UNION ALL
+SELECT '/inc/macros.sas' AS file_path,
+  '%macro load(src, t=def);' || chr(10) || 'data stage.&t;' || chr(10) || ' set raw.&src;' || chr(10) || 'run;' || chr(10) || '%mend;' || chr(10)
+  || '%macro twice(a, t=none);' || chr(10) || '%load(&a.1);' || chr(10) || '%load(&a.2, t=&t);' || chr(10) || 'proc print data=seen.&a.;' || chr(10) || 'run;' || chr(10) || '%mend;' || chr(10) AS code
+FROM region
+WHERE r_regionkey = 0
 """
 
 RUN_LOG = """

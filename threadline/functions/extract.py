@@ -80,7 +80,12 @@ def _listed(text: Column, pattern: str) -> Column:
     return F.flatten(F.transform(all_matches(text, pattern), split_space))
 
 
-def input_datasets(code: Column, proc_data_as: str = "output") -> Column:
+def _option_names(code: Column, pattern: str, whole_names: bool) -> Column:
+    """Names given to an option; ``whole_names`` leaves out those that a reference continues."""
+    return all_matches(code, f"{pattern}(?!&)" if whole_names else pattern)
+
+
+def input_datasets(code: Column, proc_data_as: str = "output", whole_names: bool = False) -> Column:
     """Datasets read by SET or MERGE (plus ``DATA=`` when it counts as input).
 
     SET and MERGE share one pass: when either keyword opens a line inside the
@@ -88,15 +93,15 @@ def input_datasets(code: Column, proc_data_as: str = "output") -> Column:
     """
     tokens = _listed(code, READ_STATEMENT)
     if _data_option_side(proc_data_as) == "input":
-        tokens = F.concat(tokens, all_matches(code, DATA_OPTION))
+        tokens = F.concat(tokens, _option_names(code, DATA_OPTION, whole_names))
     return _dataset_set(tokens)
 
 
-def output_datasets(code: Column, proc_data_as: str = "output") -> Column:
+def output_datasets(code: Column, proc_data_as: str = "output", whole_names: bool = False) -> Column:
     """DATA targets, every ``OUT=`` and, by default, every ``DATA=``."""
-    tokens = F.concat(_listed(code, DATA_STATEMENT), all_matches(code, OUT_OPTION))
+    tokens = F.concat(_listed(code, DATA_STATEMENT), _option_names(code, OUT_OPTION, whole_names))
     if _data_option_side(proc_data_as) == "output":
-        tokens = F.concat(tokens, all_matches(code, DATA_OPTION))
+        tokens = F.concat(tokens, _option_names(code, DATA_OPTION, whole_names))
     return _dataset_set(tokens)
 
 

@@ -1,4 +1,4 @@
-"""Macro variables: definitions, references and substitution, per program."""
+"""Macro variables and macros that a program defines."""
 
 from __future__ import annotations
 
@@ -7,12 +7,6 @@ from pyspark.sql import Column, functions as F
 from threadline.functions.extract import FLAGS, MACRO_DEFINITION, SPACE, WORD, all_matches, sorted_set
 
 LET_STATEMENT = f"{FLAGS}%let[{SPACE}]++([{WORD}]++[{SPACE}]*+=[^;]*+);"
-REFERENCE = f"{FLAGS}&([{WORD}]++)"
-# One reference as written; ``&&ds&i`` is one, since its parts only count together.
-_TOKEN = f"{FLAGS}(&&++[{WORD}]++(?:&[{WORD}]++)*+|&[{WORD}]++)"
-
-# Fixed value: the longest text a macro variable can hold.
-LONGEST_VALUE = 65_534
 
 
 def let_definitions(code: Column) -> Column:
@@ -34,12 +28,16 @@ def let_definitions(code: Column) -> Column:
 
 
 def last_definitions(definitions: Column) -> Column:
-    """One struct per name, the last one in text order, names in first-seen order."""
-    names = F.array_distinct(F.transform(definitions, lambda d: d["name"]))
-    newest_first = F.reverse(definitions)
-    return F.transform(
-        names, lambda n: F.element_at(F.filter(newest_first, lambda d: d["name"] == n), 1)
-    )
+    """One struct per name, the last one in text order, by name.
+
+    Definitions are sorted by name and place, so the last of a name is the one
+    before another name.
+    """
+    placed = F.array_sort(F.transform(definitions, lambda d, i: F.struct(d["name"].alias("name"), i.alias("i"), d["value"].alias("value"))))
+    # The sorted array is bound once, as the only element of another.
+    last = lambda s: F.filter(s, lambda d, i: (i + 1 == F.size(s)) | (F.get(s, i + 1)["name"] != d["name"]))
+    kept = F.element_at(F.transform(F.array(placed), last), 1)
+    return F.transform(kept, lambda d: F.struct(d["name"].alias("name"), d["value"].alias("value")))
 
 
 def definition_map(definitions: Column) -> Column:
@@ -49,82 +47,3 @@ def definition_map(definitions: Column) -> Column:
 def macro_names(code: Column) -> Column:
     """Names defined by ``%macro``, lower-cased."""
     return sorted_set(F.transform(all_matches(code, MACRO_DEFINITION), F.lower))
-
-
-def references(code: Column) -> Column:
-    """References in text order, repeats kept, lower-cased, without the first ``&``.
-
-    ``&&ds&i`` gives one entry, ``&ds&i``.
-    """
-    return F.transform(all_matches(code, _TOKEN), lambda t: F.lower(F.substr(t, F.lit(2))))
-
-
-def _scan(text: Column, values: Column) -> Column:
-    """One scan of the text: known references replaced, ``&&`` halved.
-
-    The text is cut before each run of ``&`` and every name is looked up once.
-    A value that ends in an open reference is closed by a dot, so that the dot
-    or letters that follow it in the text stay apart from it.
-    """
-
-    def one(piece: Column) -> Column:
-        run = F.length(F.regexp_extract(piece, "^&*+", 0))
-        after = F.substr(piece, run + 1)
-        name = F.regexp_extract(after, f"{FLAGS}^[{WORD}]++", 0)
-        value = F.when(run % 2 == 1, F.try_element_at(values, F.lower(name)))
-        closed = F.concat(value, F.when(F.rlike(value, F.lit(f"{FLAGS}&[{WORD}]++\\z")), F.lit(".")).otherwise(F.lit("")))
-        rest = F.regexp_replace(F.substr(after, F.length(name) + 1), "^\\.", "")
-        half = F.repeat(F.lit("&"), F.floor(run / 2).cast("int"))
-        return (
-            F.when(name == "", piece)
-            .when(value.isNotNull(), F.concat(half, closed, rest))
-            .otherwise(F.concat(F.repeat(F.lit("&"), F.ceil(run / 2).cast("int")), after))
-        )
-
-    pieces = F.split(text, "(?<!&)(?=&)")
-    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, one), "")).otherwise(text)
-
-
-def settled_values(definitions: Column) -> Column:
-    """The value of each name, references inside values replaced.
-
-    Definitions are taken in text order: a value sees what is defined above it,
-    its own name included. References to names defined further down follow
-    afterwards; a pass replaces values by values, so each doubles the depth
-    reached and the logarithm of the number of names is enough. Names that refer
-    to each other in a circle stay open, and so does what would grow beyond the
-    longest value the language allows.
-    """
-
-    def grown(value: Column, values: Column) -> Column:
-        new = _scan(value, values)
-        return F.when(F.length(new) <= LONGEST_VALUE, new).otherwise(value)
-
-    def define(values: Column, d: Column) -> Column:
-        others = F.map_filter(values, lambda k, _: k != d["name"])
-        return F.map_concat(others, F.map_from_arrays(F.array(d["name"]), F.array(grown(d["value"], values))))
-
-    in_order = F.aggregate(definitions, F.expr("CAST(map() AS map<string,string>)"), define)
-    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.size(definitions) + 1)).cast("int"))
-
-    def settle(values: Column, _: Column) -> Column:
-        open_left = F.exists(F.map_values(values), lambda v: F.contains(v, F.lit("&")))
-        return F.when(open_left, F.transform_values(values, lambda k, v: grown(v, values))).otherwise(values)
-
-    return F.aggregate(passes, in_order, settle)
-
-
-def substitute(text: Column, values: Column) -> Column:
-    """Replace ``&name`` and ``&name.`` by settled values.
-
-    A text without ``&&`` is scanned once; otherwise as often as its longest run
-    of ``&`` can need. What has no value stays in the text.
-    """
-    runs = F.transform(F.regexp_extract_all(text, F.lit("(&&++)"), 1), lambda r: F.length(r))
-    scans = F.sequence(F.lit(1), F.coalesce(F.array_max(runs), F.lit(1)))
-    return F.aggregate(scans, text, lambda t, _: _scan(t, values))
-
-
-def resolved_references(refs: Column, values: Column) -> Column:
-    """For each reference, the text it stands for after substitution."""
-    return F.transform(refs, lambda r: substitute(F.concat(F.lit("&"), r, F.lit(".")), values))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from threadline.plans.scratch import Scratch
-from threadline.plans.skew import find_hot_keys, partitioned
+from threadline.plans.skew import Partitioned, find_hot_keys, partitioned, skew_join
 
 
 def simple_graph(edges: DataFrame, source: str, target: str) -> DataFrame:
@@ -13,24 +15,30 @@ def simple_graph(edges: DataFrame, source: str, target: str) -> DataFrame:
     return edges.select(F.col(source).alias("src"), F.col(target).alias("dst")).distinct()
 
 
+_MERGE = 16  # pushed residuals are summed into one table after so many rounds
+
+
 def pagerank(
     edges: DataFrame,
     source: str = "source_node",
     target: str = "target_node",
-    rounds: int = 10,
+    tolerance: float = 1e-4,
     damping: float = 0.85,
 ) -> DataFrame:
-    """PageRank after a fixed number of rounds; mass of dead ends is spread evenly.
+    """PageRank until what is still to come adds up to ``tolerance``; mass of dead ends is spread evenly.
 
-    A round is one join of ranks with edges and one aggregation. The state rows
-    take part in that aggregation as zero contributions, which saves a second
-    join, and the dead-end mass is observed while the state is written.
+    Ranks are pushed: each node starts with the even share as residual, a node
+    that sends adds its residual to its rank and passes it on, damped. Only
+    nodes whose residual is above a share of the tolerance send in a round, the
+    others wait for more, so a round costs the edges of the nodes that still
+    change. Even shares and the mass of dead ends differ by a factor only, which
+    the last division takes out; it need not be gathered in each round. The sum
+    of residuals is observed while they are written, and what is left is added
+    in the end.
     """
     scratch = Scratch(edges.sparkSession, "pagerank")
-    graph, n_edges = scratch.save_counted(simple_graph(edges, source, target), "edges")
-    hot = find_hot_keys(graph, "src", total=n_edges)
-    out = F.sum("o").cast("double").alias("out")
-    ends = graph.select(
+    plain = scratch.save(simple_graph(edges, source, target), "plain")
+    ends = plain.select(
         F.inline(
             F.array(
                 F.struct(F.col("src").alias("node_id"), F.lit(1).alias("o")),
@@ -38,37 +46,48 @@ def pagerank(
             )
         )
     )
-    degrees, n = scratch.save_counted(ends.groupBy("node_id").agg(out), "degrees")
+    degrees, n = scratch.save_counted(ends.groupBy("node_id").agg(F.sum("o").cast("double").alias("out")), "degrees")
+    if n == 0:
+        return degrees.select("node_id", F.lit(0.0).alias("pagerank"))
+    # An edge tells how many edges leave its end, so residuals need no other join.
+    hot_dst = find_hot_keys(plain, "dst")
+    graph = skew_join(plain, degrees.toDF("dst", "out"), "dst", hot_left=hot_dst, by_left=["src"])
+    graph, n_edges = scratch.save_counted(graph, "edges")
+    hot = find_hot_keys(graph, "src", total=n_edges)
+    least = tolerance / (10.0 * n)
 
     def write(state: DataFrame, label: str) -> tuple[DataFrame, float]:
         seen = Observation()
-        dead = F.sum(F.when(F.col("out") == 0, F.col("rank")).otherwise(0.0))
-        saved = scratch.save(state.observe(seen, F.coalesce(dead, F.lit(0.0)).alias("dead")), label)
-        return saved, seen.get.get("dead", 0.0)
+        saved = scratch.save(state.observe(seen, F.sum("residual").alias("left")), label)
+        return saved, seen.get.get("left") or 0.0
 
-    if n == 0:
-        return degrees.select("node_id", F.lit(0.0).alias("pagerank"))
-    state, dead = write(degrees.withColumn("rank", F.lit(1.0 / n)), "rank0")
-    # Edges stay where they are; only ranks move.
+    state, left = write(degrees.withColumn("residual", F.lit((1.0 - damping) / n)), "residual")
+    pushed: list[DataFrame] = []
     with partitioned(graph, "src", hot, ["dst"]) as held:
-        for i in range(1, rounds + 1):
-            shares = state.filter(F.col("out") > 0).select(
-                F.col("node_id").alias("src"), (F.col("rank") / F.col("out")).alias("share")
+        while left > tolerance:
+            active = state.filter(F.col("residual") > least)
+            shares = active.filter(F.col("out") > 0).select(
+                F.col("node_id").alias("src"), (F.lit(damping) * F.col("residual") / F.col("out")).alias("residual")
             )
-            sent = held.join(shares).select(
-                F.col("dst").alias("node_id"), "share", F.lit(None).cast("double").alias("out")
+            sent = held.join(shares).select(F.col("dst").alias("node_id"), "out", "residual")
+            waiting = state.filter(F.col("residual") <= least).select("node_id", "out", "residual")
+            pushed.append(active.select("node_id", "residual"))
+            state, left = write(
+                sent.unionByName(waiting).groupBy("node_id").agg(F.max("out").alias("out"), F.sum("residual").alias("residual")),
+                "residual",
             )
-            kept = state.select("node_id", F.lit(0.0).alias("share"), "out")
-            rank = F.lit((1.0 - damping) / n + damping * dead / n) + F.lit(damping) * F.sum("share")
-            last = state
-            state, dead = write(
-                sent.unionByName(kept)
-                .groupBy("node_id")
-                .agg(F.max("out").alias("out"), rank.alias("rank")),
-                f"rank{i}",
-            )
-            scratch.discard(last)
-    return state.select("node_id", F.col("rank").alias("pagerank"))
+            if len(pushed) == _MERGE:
+                pushed = [scratch.save(_summed(pushed), "pushed")]
+    ranks = scratch.save(_summed([*pushed, state.select("node_id", "residual")]), "ranks")
+    total = ranks.agg(F.sum("residual")).first()[0]
+    return ranks.select("node_id", (F.col("residual") / F.lit(total)).alias("pagerank"))
+
+
+def _summed(parts: list[DataFrame]) -> DataFrame:
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    return stacked.groupBy("node_id").agg(F.sum("residual").alias("residual"))
 
 
 def betweenness(
@@ -76,64 +95,103 @@ def betweenness(
     source: str = "source_node",
     target: str = "target_node",
     pivots: int | None = None,
+    batch: int = 100_000,
 ) -> DataFrame:
     """Betweenness centrality, directed and not normalised.
 
-    Brandes' method level by level for all sources at once. Forward, a frame of
-    (source, node, paths) per distance and the shortest-path edges into it;
-    backward, the dependencies along those edges. Work is the sum of the edges
-    each source reaches. ``pivots`` asks for an estimate from that many sources
-    (the smallest by hash), scaled up; the default is exact.
+    Brandes' method level by level, for ``batch`` sources at once. Forward, a
+    frame of (source, node, paths) per distance and the shortest-path edges into
+    it; backward, the dependencies along those edges. Work is the sum of the
+    edges each source reaches. What a batch needs is deleted when its sums are
+    written, so the disk holds one batch, whatever the number of sources.
+    ``pivots`` asks for an estimate from that many sources (the smallest by
+    hash), scaled up; the default is exact.
     """
     scratch = Scratch(edges.sparkSession, "betweenness")
     graph = simple_graph(edges, source, target).filter(F.col("src") != F.col("dst"))
     graph, n_edges = scratch.save_counted(graph, "edges")
-    hot_edges = find_hot_keys(graph, "src", total=n_edges)
     # Every node is in the result, self loops or not.
     all_ends = simple_graph(edges, source, target)
     nodes = scratch.save(
         all_ends.select(F.explode(F.array("src", "dst")).alias("node_id")).distinct(), "nodes"
     )
-    sources = graph.select(F.col("src").alias("s")).distinct()
+    sources, total = scratch.save_counted(graph.select(F.col("src").alias("s")).distinct(), "sources")
     scale = 1.0
-    if pivots is not None:
-        total = sources.count()
-        sources = sources.orderBy(F.xxhash64("s"), "s").limit(pivots)
-        scale = max(1.0, total / pivots) if pivots else 1.0
+    if pivots is not None and pivots < total:
+        sources = scratch.save(sources.orderBy(F.xxhash64("s"), "s").limit(pivots), "pivots")
+        scale, total = total / pivots if pivots else 1.0, pivots
+    batches = max(1, -(-total // batch))
+    sums: list[DataFrame] = [nodes.select("node_id", F.lit(0.0).alias("delta"))]
+    with partitioned(graph, "src", find_hot_keys(graph, "src", total=n_edges), ["dst"]) as held:
+        for i in range(batches):
+            mine = sources if batches == 1 else sources.filter(F.pmod(F.xxhash64("s"), F.lit(batches)) == i)
+            work = Scratch(edges.sparkSession, f"betweenness-{i}")
+            found = _dependencies(held, mine, work)
+            if found is not None:
+                sums.append(scratch.save(found, f"sums{i}"))
+            work.drop()
+    stacked = sums[0]
+    for part in sums[1:]:
+        stacked = stacked.unionByName(part)
+    return stacked.groupBy("node_id").agg((F.sum("delta") * F.lit(scale)).alias("betweenness_centrality"))
+
 
+def betweenness_estimate(
+    edges: DataFrame,
+    pivots: int,
+    source: str = "source_node",
+    target: str = "target_node",
+    confidence: float = 0.95,
+) -> DataFrame:
+    """``betweenness`` from ``pivots`` sources, with the number used and an error bound.
+
+    A source gives a node at most n - 2; by Hoeffding's inequality the scaled sum
+    is off by more than ``error_bound`` with a probability of at most
+    1 - ``confidence`` for each node. With all sources the bound is 0.
+    """
+    plain = simple_graph(edges, source, target).filter(F.col("src") != F.col("dst"))
+    total = plain.agg(F.count_distinct("src")).first()[0]
+    scores = betweenness(edges, source, target, pivots)
+    n = scores.count()
+    used = min(pivots, total)
+    spread = math.sqrt(math.log(2.0 / (1.0 - confidence)) / (2.0 * used)) if used else 0.0
+    bound = 0.0 if used == total else total * max(0, n - 2) * spread
+    return scores.select("node_id", "betweenness_centrality", F.lit(used).alias("pivots"), F.lit(bound).alias("error_bound"))
+
+
+def _dependencies(held: Partitioned, sources: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """(node_id, delta): dependencies of the sources on each node; None if they reach nothing beyond a step."""
     level, rows = scratch.save_counted(
         sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("paths")), "level0"
     )
     levels, trees, seen = [level], [], level.select("s", "v")
-    with partitioned(graph, "src", hot_edges, ["dst"]) as held:
-        while rows:
-            hot_level = find_hot_keys(level, "v", total=rows)
-            steps = held.join(level.withColumnRenamed("v", "src"), hot_level, ["s"]).select(
-                "s", F.col("src").alias("u"), F.col("dst").alias("v"), "paths"
-            )
-            tree, tree_rows = scratch.save_counted(
-                steps.join(seen, ["s", "v"], "left_anti"), f"tree{len(levels)}"
-            )
-            if tree_rows == 0:
-                break
-            level, rows = scratch.save_counted(
-                tree.groupBy("s", "v").agg(F.sum("paths").alias("paths")), f"level{len(levels)}"
-            )
-            levels.append(level)
-            trees.append(tree)
-            seen = seen.unionByName(level.select("s", "v"))
+    while rows:
+        hot_level = find_hot_keys(level, "v", total=rows)
+        steps = held.join(level.withColumnRenamed("v", "src"), hot_level, ["s"]).select(
+            "s", F.col("src").alias("u"), F.col("dst").alias("v"), "paths"
+        )
+        tree, tree_rows = scratch.save_counted(
+            steps.join(seen, ["s", "v"], "left_anti"), f"tree{len(levels)}"
+        )
+        if tree_rows == 0:
+            break
+        level, rows = scratch.save_counted(
+            tree.groupBy("s", "v").agg(F.sum("paths").alias("paths")), f"level{len(levels)}"
+        )
+        levels.append(level)
+        trees.append(tree)
+        seen = seen.unionByName(level.select("s", "v"))
 
-    zero = F.lit(0.0)
     delta: DataFrame | None = None
     parts: list[DataFrame] = []
-    for i in range(len(trees) - 1, -1, -1):
+    for i in range(len(trees) - 1, 0, -1):  # what reaches the source itself does not count
         # Dependency passed to each predecessor, per path of the reached node.
         below = levels[i + 1]
         if delta is None:
             per_path = below.select("s", "v", (1.0 / F.col("paths")).alias("per_path"))
         else:
             per_path = below.join(delta, ["s", "v"], "left").select(
-                "s", "v", ((1.0 + F.coalesce("delta", zero)) / F.col("paths")).alias("per_path")
+                "s", "v", ((1.0 + F.coalesce("delta", F.lit(0.0))) / F.col("paths")).alias("per_path")
             )
         passed = (
             trees[i]
@@ -141,16 +199,11 @@ def betweenness(
             .groupBy("s", F.col("u").alias("v"))
             .agg(F.sum(F.col("paths") * F.col("per_path")).alias("delta"))
         )
-        if i == 0:
-            break  # what reaches the source itself does not count
         delta = scratch.save(passed, f"delta{i}")
-        parts.append(delta.groupBy("v").agg(F.sum("delta").alias("delta")))
+        parts.append(delta.groupBy(F.col("v").alias("node_id")).agg(F.sum("delta").alias("delta")))
     if not parts:
-        return nodes.select("node_id", zero.alias("betweenness_centrality"))
-    summed = parts[0]
+        return None
+    stacked = parts[0]
     for part in parts[1:]:
-        summed = summed.unionByName(part)
-    summed = summed.unionByName(nodes.select(F.col("node_id").alias("v"), zero.alias("delta")))
-    return summed.groupBy(F.col("v").alias("node_id")).agg(
-        (F.sum("delta") * F.lit(scale)).alias("betweenness_centrality")
-    )
+        stacked = stacked.unionByName(part)
+    return stacked.groupBy("node_id").agg(F.sum("delta").alias("delta"))

@@ -12,29 +12,62 @@ from threadline.plans.skew import find_hot_keys, skew_join
 _RULE = ("priority", "pattern", "business_domain", "data_category", "sensitivity_level")
 
 
+_GRAM = 3
+# Rules a task may hold: up to so many they are broadcast, beyond both sides are shuffled.
+_BROADCAST_RULES = 50_000
+
+
+def _grams(text: Column) -> Column:
+    """The distinct three-character pieces of a text."""
+    long = F.length(text) >= _GRAM
+    pieces = F.transform(F.sequence(F.lit(1), F.length(text) - _GRAM + 1), lambda i: F.substr(text, i, F.lit(_GRAM)))
+    return F.array_distinct(F.when(long, pieces).otherwise(F.array().cast("array<string>")))
+
+
+def _literals(pattern: Column) -> Column:
+    """The texts between the wildcards of a LIKE pattern."""
+    found = F.regexp_extract_all(pattern, F.lit(r"((?:[^%_\\]|\\.)+)"), F.lit(1))
+    return F.transform(found, lambda t: F.regexp_replace(t, r"\\(.)", "$1"))
+
+
+def _candidates(names: DataFrame, rules: DataFrame, scratch: Scratch) -> DataFrame:
+    """Names with the rules that may fit: those whose rarest literal piece the name holds.
+
+    A LIKE pattern fits only names that hold all its literal texts, so names meet
+    rules by an equi-join on one piece of three characters, the one that fewest
+    names hold. Pieces that belong to no rule are dropped before anything moves.
+    Rules without such a piece (``%``, ``a%``) meet every name.
+    """
+    rules, n_rules = scratch.save_counted(
+        rules.select(*_RULE, F.array_distinct(F.flatten(F.transform(_literals(F.col("pattern")), _grams))).alias("grams")), "rules"
+    )
+    small = (lambda df: F.broadcast(df)) if n_rules <= _BROADCAST_RULES else (lambda df: df)
+    pieces = rules.select(F.explode("grams").alias("gram")).distinct()
+    held = names.select("dataset_name", F.explode(_grams(F.col("dataset_name"))).alias("gram")).join(small(pieces), "gram")
+    counts = scratch.save(held.groupBy("gram").agg(F.count("*").alias("names")), "counts")
+    ranked = rules.select(*_RULE, F.explode("grams").alias("gram")).join(counts, "gram", "left")
+    # A piece that no name holds leaves its rule without names.
+    keyed = ranked.groupBy(*_RULE).agg(F.min(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "gram")).alias("key"))
+    keyed = scratch.save(keyed.filter("key.names > 0").select(*_RULE, F.col("key.gram").alias("gram")), "keyed")
+    wanted = held.join(small(keyed.select("gram").distinct()), "gram", "left_semi")
+    if n_rules <= _BROADCAST_RULES:
+        met = wanted.join(F.broadcast(keyed), "gram")
+    else:
+        met = skew_join(wanted, keyed, "gram", hot_left=find_hot_keys(wanted, "gram"), by_left=["dataset_name"])
+    free = rules.filter(F.size("grams") == 0).select(F.lit("").alias("gram"), *_RULE)
+    every = names.select("dataset_name", F.lit("").alias("gram"))
+    return met.select("dataset_name", *_RULE).unionByName(every.join(small(free), "gram").select("dataset_name", *_RULE))
+
+
 def classify_datasets(datasets: DataFrame, rules: DataFrame) -> DataFrame:
     """Domain, category and sensitivity from the matching rule of best priority.
 
-    A LIKE pattern can only match names that start with its literal head, so
-    names meet rules by an equi-join on that head instead of being compared with
-    every rule. Ties in priority go to the smaller pattern; a name no rule fits
-    keeps nulls.
+    Ties in priority go to the smaller pattern; a name no rule fits keeps nulls.
     """
     scratch = Scratch(datasets.sparkSession, "classify")
     names = scratch.save(datasets.select("dataset_name").distinct(), "names")
-    heads = names.select(
-        "dataset_name",
-        F.explode(
-            F.transform(F.sequence(F.lit(0), F.length("dataset_name")), lambda i: F.left("dataset_name", i))
-        ).alias("head"),
-    )
-    by_head = rules.select(F.regexp_extract("pattern", r"^[^%_\\]*", 0).alias("head"), *_RULE)
-    # Short heads ('' for a catch-all rule) are shared by most names.
-    hot = find_hot_keys(heads, "head")
-    fitting = skew_join(
-        heads, by_head, "head", hot_left=hot, by_left=["dataset_name"]
-    ).filter(F.expr("dataset_name LIKE pattern"))
-    unfit = names.select("dataset_name", *[F.lit(None).cast(by_head.schema[c].dataType).alias(c) for c in _RULE])
+    fitting = _candidates(names, rules, scratch).filter(F.expr("dataset_name LIKE pattern"))
+    unfit = names.select("dataset_name", *[F.lit(None).cast(rules.schema[c].dataType).alias(c) for c in _RULE])
     best = F.min_by(F.struct(*_RULE[2:]), F.when(F.col("pattern").isNotNull(), F.struct("priority", "pattern")))
     found = fitting.select("dataset_name", *_RULE).unionByName(unfit)
     labels = ["business_domain", "data_category", "sensitivity_level"]

@@ -44,28 +44,36 @@ def lineage_edges(
     """Typed edges with confidence and the file they come from.
 
     ``raw`` holds one row per file and its lists are sets, so edges are distinct
-    without a shuffle. ``resolved`` adds the names that only substitution
-    brought up, at the confidence of the resolution. ``links`` gives include
+    without a shuffle. Files in ``resolved`` give the names of their resolved
+    lists: those the text shows as well at confidence 1, those that only
+    substitution brought up at the confidence of the resolution; names that
+    substitution changes are none. ``links`` gives include
     edges the path of the included file; without it the path in the text counts.
     """
     sure = F.lit(1.0)
-    edges = _exploded(
-        raw,
-        _edges(F.col("input_datasets"), DATASET, FILE, READS, sure),
-        _edges(F.col("output_datasets"), FILE, DATASET, WRITES, sure),
-        _edges(F.col("macro_calls"), MACRO, FILE, CALLS, sure),
-    )
+    whole = raw
+    edges = _exploded(raw, _edges(F.col("macro_calls"), MACRO, FILE, CALLS, sure))
     if resolved is not None:
+        whole = raw.join(resolved.select("file_path"), "file_path", "left_anti")
         score = F.col("resolution_confidence")
-        new_inputs = F.array_except("resolved_inputs", "original_inputs")
-        new_outputs = F.array_except("resolved_outputs", "original_outputs")
+        kept = {c: F.array_intersect(f"resolved_{c}", f"original_{c}") for c in ("inputs", "outputs")}
+        new = {c: F.array_except(f"resolved_{c}", f"original_{c}") for c in ("inputs", "outputs")}
         edges = edges.unionByName(
             _exploded(
                 resolved,
-                _edges(new_inputs, DATASET, FILE, READS, score),
-                _edges(new_outputs, FILE, DATASET, WRITES, score),
+                _edges(kept["inputs"], DATASET, FILE, READS, sure),
+                _edges(kept["outputs"], FILE, DATASET, WRITES, sure),
+                _edges(new["inputs"], DATASET, FILE, READS, score),
+                _edges(new["outputs"], FILE, DATASET, WRITES, score),
             )
         )
+    edges = edges.unionByName(
+        _exploded(
+            whole,
+            _edges(F.col("input_datasets"), DATASET, FILE, READS, sure),
+            _edges(F.col("output_datasets"), FILE, DATASET, WRITES, sure),
+        )
+    )
     if links is None:
         included = raw.select("file_path", F.explode("include_files").alias("text")).select(
             "file_path", candidate_path(F.col("file_path"), F.col("text")).alias("included")

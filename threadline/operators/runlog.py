@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from threadline.config import STAGES, TABLES
 
@@ -18,56 +19,76 @@ def _text(value: str | None) -> Column:
     return F.lit(value).cast("string")
 
 
+def log_rows(requests: DataFrame, now: Column | None = None) -> DataFrame:
+    """Rows of the run log for (workflow_id, stage, status, error_message, checkpoint_data).
+
+    INIT and STARTED rows have a start time, rows with an end status an end time.
+    Null keys raise when the rows are written. One frame may hold the rows of
+    many workflows; they are appended in one write.
+    """
+    now = F.current_timestamp() if now is None else now
+    never = F.lit(None).cast("timestamp")
+
+    def key(name: str) -> Column:
+        missing = F.raise_error(F.lit(f"{name} must not be null")).cast("string")
+        return F.when(F.col(name).isNull(), missing).otherwise(F.col(name)).alias(name)
+
+    starts = (F.col("stage") == "INIT") | (F.col("status") == "STARTED")
+    return requests.select(
+        key("workflow_id"),
+        key("stage"),
+        key("status"),
+        F.when(starts, now).otherwise(never).alias("start_time"),
+        F.when(F.col("status").isin(*END_STATUSES), now).otherwise(never).alias("end_time"),
+        F.col("error_message").cast("string").alias("error_message"),
+        F.col("checkpoint_data").cast("string").alias("checkpoint_data"),
+        now.alias("created_at"),
+    )
+
+
 def _row(
     spark: SparkSession,
     workflow_id: str,
     stage: str,
     status: str,
-    start: bool = False,
-    end: bool = False,
     error_message: str | None = None,
     checkpoint_data: str | None = None,
 ) -> DataFrame:
     for name, value in (("workflow_id", workflow_id), ("stage", stage), ("status", status)):
         if value is None:
             raise ValueError(f"{name} must not be null")
-    now = F.current_timestamp()
-    never = F.lit(None).cast("timestamp")
-    return spark.range(1).select(
-        _text(workflow_id).alias("workflow_id"),
-        _text(stage).alias("stage"),
-        _text(status).alias("status"),
-        (now if start else never).alias("start_time"),
-        (now if end else never).alias("end_time"),
-        _text(error_message).alias("error_message"),
-        _text(checkpoint_data).alias("checkpoint_data"),
-        now.alias("created_at"),
-    )
+    given = {"workflow_id": workflow_id, "stage": stage, "status": status, "error_message": error_message, "checkpoint_data": checkpoint_data}
+    return log_rows(spark.range(1).select(*[_text(v).alias(k) for k, v in given.items()]))
 
 
 def workflow_row(spark: SparkSession, workflow_id: str, initial_status: str = "CREATED") -> DataFrame:
     """First row of a run: stage INIT, started now."""
-    return _row(spark, workflow_id, "INIT", initial_status, start=True)
+    return _row(spark, workflow_id, "INIT", initial_status)
 
 
 def stage_row(
     spark: SparkSession, workflow_id: str, stage: str, status: str, error_message: str | None = None
 ) -> DataFrame:
     """A status row; it has a start time when STARTED and an end time at an end."""
-    return _row(
-        spark,
-        workflow_id,
-        stage,
-        status,
-        start=status == "STARTED",
-        end=status in END_STATUSES,
-        error_message=error_message,
-    )
+    return _row(spark, workflow_id, stage, status, error_message)
 
 
 def checkpoint_row(spark: SparkSession, workflow_id: str, stage: str, data: dict[str, Any]) -> DataFrame:
     """A CHECKPOINT row with the payload as JSON; values JSON lacks become strings."""
-    return _row(spark, workflow_id, stage, CHECKPOINT, checkpoint_data=json.dumps(data, default=str))
+    return _row(spark, workflow_id, stage, CHECKPOINT, checkpoint_data=payload_text(data))
+
+
+def payload_text(data: dict[str, Any]) -> str:
+    """JSON of a payload. Numbers JSON has no form for (not a number, infinities) become strings too."""
+
+    def plain(value: Any) -> Any:
+        if isinstance(value, dict):
+            return {k if isinstance(k, (str, int, float, bool)) or k is None else str(k): plain(v) for k, v in value.items()}
+        if isinstance(value, (list, tuple)):
+            return [plain(v) for v in value]
+        return str(value) if isinstance(value, float) and not math.isfinite(value) else value
+
+    return json.dumps(plain(data), default=str)
 
 
 class RunLog:
@@ -124,7 +145,9 @@ def latest_checkpoints(log: DataFrame) -> DataFrame:
     data = F.col("checkpoint_data")
     newest = F.max(F.struct("created_at", data.isNotNull().alias("has_data"), "checkpoint_data"))
     payload = F.col("newest.checkpoint_data")
-    valid = F.try_parse_json(payload).isNotNull() & (F.trim(payload) != "")
+    # A JSON reader takes numbers that are none, and keeps the last of names that occur twice.
+    plain = F.regexp_replace(payload, r"(?<=[:\[,\s])(-?Infinity|NaN)(?=[\s,\]}])", "null")
+    valid = (F.json_object_keys(plain).isNotNull() | F.try_parse_json(plain).isNotNull()) & (F.trim(payload) != "")
     return (
         log.filter(F.col("status") == CHECKPOINT)
         .groupBy("workflow_id", "stage")
@@ -151,54 +174,60 @@ def latest_status(log: DataFrame, tie_breakers: list[str] | None = None) -> Data
     )
 
 
+#: Widths of time, in microseconds, narrow to wide; each is a whole multiple of the one before.
+_WIDTHS = (1_000, 60_000_000, 3_600_000_000, 30 * 86_400_000_000)
+
+
 def stage_durations(
-    log: DataFrame, tie_breakers: list[str] | None = None, chunk: str = "hour"
+    log: DataFrame, tie_breakers: list[str] | None = None, widths: tuple[int, ...] = _WIDTHS
 ) -> DataFrame:
     """Every STARTED row with the next end row of its workflow and stage.
 
-    One (workflow, stage) may hold a large share of the log, so its rows are
-    not sorted in one task. They are split by ``chunk`` of time: the next end
-    row is looked up inside the chunk first, and only rows without one take the
-    first end row of the next chunk that has any.
+    One (workflow, stage) may hold a large share of the log, also within one
+    hour, so its rows are not sorted in one task. Time is cut into slots of the
+    ``widths``, narrow ones within wide ones. The next end row is looked up
+    within the narrowest slot; a row without one takes the first end row of a
+    later narrow slot in the same wider one, and so on outward. What a window
+    holds is the rows of one narrow slot, or one row per slot that has any in
+    the next wider one. Rows of one narrow slot are those of the same
+    millisecond, as far as they have the same time.
     """
     tie = tie_breakers or []
     group = ["workflow_id", "stage"]
+    zoned = log.schema["created_at"].dataType == T.TimestampType()
+    # Times without a zone are counted as they stand, so that no change of clocks reorders them.
+    micros = F.unix_micros("created_at") if zoned else F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("created_at"))
+    slots = [f"_slot{i}" for i in range(len(widths))]
     rows = log.filter(F.col("status").isin("STARTED", *END_STATUSES)).select(
-        *group, "status", "start_time", "end_time", "created_at", *tie
-    ).withColumn("chunk", F.date_trunc(chunk, "created_at"))
+        *group, "status", "start_time", "end_time", "created_at", *tie,
+        *[F.floor(micros / w).alias(s) for s, w in zip(slots, widths)],
+    )
     is_end = F.col("status").isin(*END_STATUSES)
     end_row = F.when(is_end, F.struct("created_at", *tie, "end_time", F.col("status").alias("end_status")))
-
-    newest_first = [F.col(c).desc() for c in ("created_at", *tie)]
     after = (
-        Window.partitionBy(*group, "chunk")
-        .orderBy(*newest_first)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    started = (
-        rows.withColumn("next_end", F.last(end_row, ignorenulls=True).over(after))
-        .filter(F.col("status") == "STARTED")
-    )
-    # First end per chunk, then the first end of any later chunk: one row per
-    # group and chunk of time, whatever the number of log rows.
-    chunks = rows.groupBy(*group, "chunk").agg(F.min(end_row).alias("first_end"))
-    later = (
-        Window.partitionBy(*group)
-        .orderBy(F.col("chunk").desc())
+        Window.partitionBy(*group, *slots)
+        .orderBy(*[F.col(c).desc() for c in ("created_at", *tie)])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    chunks = chunks.select(*group, "chunk", F.last("first_end", ignorenulls=True).over(later).alias("later_end"))
-    paired = started.join(chunks, [*group, "chunk"], "left").withColumn(
-        "end", F.coalesce("next_end", "later_end")
-    )
+    started = rows.withColumn("_end", F.last(end_row, ignorenulls=True).over(after)).filter(F.col("status") == "STARTED")
+    # First end row of each slot, then of any later slot within the next wider one.
+    firsts = rows.groupBy(*group, *slots).agg(F.min(end_row).alias("_first"))
+    for i, slot in enumerate(slots):
+        outer = slots[i + 1 :]
+        later = (
+            Window.partitionBy(*group, *outer).orderBy(F.col(slot).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        )
+        carried = firsts.select(*group, slot, *outer, F.last("_first", ignorenulls=True).over(later).alias("_later"))
+        started = started.join(carried, [*group, slot, *outer], "left").withColumn("_end", F.coalesce("_end", "_later")).drop("_later")
+        firsts = firsts.groupBy(*group, *outer).agg(F.min("_first").alias("_first"))
     # As an interval, so that times without a zone do not pass through the session's.
-    elapsed = (F.col("end.end_time") - F.col("start_time")).cast("interval second")
-    return paired.select(
+    elapsed = (F.col("_end.end_time") - F.col("start_time")).cast("interval second")
+    return started.select(
         *group,
         *tie,
         "start_time",
-        F.col("end.end_time").alias("end_time"),
-        F.col("end.end_status").alias("end_status"),
+        F.col("_end.end_time").alias("end_time"),
+        F.col("_end.end_status").alias("end_status"),
         elapsed.cast("decimal(18,6)").cast("double").alias("seconds"),
     )
 

@@ -54,8 +54,16 @@ class Scratch:
         """Delete a table of this job that no later table will read."""
         entry = self._saved.pop(id(saved), None)
         if entry is not None:
-            target = self.spark._jvm.org.apache.hadoop.fs.Path(entry[1])
-            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+            self._delete(entry[1])
+
+    def drop(self) -> None:
+        """Delete all tables of this job; nothing may read them any more."""
+        self._saved.clear()
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
     def _write(self, df: DataFrame, label: str) -> DataFrame:
         self._writes += 1
