@@ -17,9 +17,9 @@ that counts the whole corpus; any fixed order gives the same result, and this
 one keeps frequent passages out of the lists. Equal sets are one class and meet
 as one. Links are found in rounds: each set with the first member of the lists
 it shares most, then the first members of different components of a list, then
-all pairs left between different components, so linked copies cost the length
-of their group, not its square. Every candidate
-is checked on the whole sets.
+all pairs left between different components, each at its first common entry, so
+linked copies cost the length of their group, not its square. Every candidate is
+checked on the whole sets.
 """
 
 from __future__ import annotations
@@ -345,24 +345,26 @@ def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, w
     # Last, every pair of different components that shares a list entry.
     label = _labelled(index, tree, scratch)
     several = label.groupBy(*on).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select(*on)
-    mixed = scratch.save(label.join(several, on).join(sets.select("row", "parity"), "row"), "mixed")
+    mixed = scratch.save(label.join(several, on), "lists")
+    # Elements a set is listed under, in order: a pair is formed at its first common one only.
+    listed = mixed.where("not light").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "key"))).alias("listed"))
+    mixed = scratch.save(mixed.join(sets.select("row", "parity"), "row").join(listed, "row", "left"), "mixed")
     largest = mixed.groupBy(*on, "comp").agg(F.count("*").alias("c")).groupBy(*on).agg(F.max(F.struct("c", "comp")).alias("big")).select(*on, F.col("big.comp").alias("big"))
     # All pairs but those inside the largest component of a list: one side is never in it.
-    minor = mixed.join(largest, on).where("comp <> big").select(*on, "row", "n", "place", "before", "comp", "big", "parity")
-    other = mixed.select(*on, F.col("row").alias("with"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("before").alias("ahead"), F.col("comp").alias("other"), F.col("parity").alias("theirs"))
+    earlier = F.transform(F.filter("listed", lambda e: e["place"] < F.col("place")), lambda e: e["key"])
+    minor = mixed.join(largest, on).where("comp <> big").select(*on, "row", "n", "place", "before", "comp", "big", "parity", earlier.alias("earlier"))
+    other = mixed.select(
+        *on, F.col("row").alias("with"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("before").alias("ahead"), F.col("comp").alias("other"),
+        F.col("parity").alias("theirs"), earlier.alias("earlier2"),
+    )
     # Bits that differ are elements that only one of the two has; linked sets have at most (n + m) / 7 of those.
     apart = " + ".join(f"bit_count(parity[{i}] ^ theirs[{i}])" for i in range(PARITY // 64))
     cross = minor.join(other, on).where(
         f"comp <> other and (other = big or row < with) and {_FIT} and (light or greatest(n, m) > {limit}) and 7 * ({apart}) <= n + m"
+        " and (light or not arrays_overlap(earlier, earlier2))"
     )
-    cross = cross.select("light", "n", "m", "place", "at", F.least("row", "with").alias("with"), F.greatest("row", "with").alias("row"), (F.col("row") < F.col("with")).alias("turned"))
-    x, y = F.when(F.col("turned"), F.col("m")).otherwise(F.col("n")), F.when(F.col("turned"), F.col("n")).otherwise(F.col("m"))
-    px, py = F.when(F.col("turned"), F.col("at")).otherwise(F.col("place")), F.when(F.col("turned"), F.col("place")).otherwise(F.col("at"))
-    cross = cross.groupBy("row", "with").agg(
-        F.max("light").alias("light"), F.count("*").alias("hits"), F.max(x).alias("n"), F.max(y).alias("m"), F.max(px).alias("px"), F.max(py).alias("py")
-    )
-    # Elements beyond the last common entry: the sets cannot share more than what is left of either.
-    cross = cross.where("light or 7 * (hits + least(n - px, m - py) - 1) >= 3 * (n + m)").select("row", "with")
+    # Small sets may meet in several subsets.
+    cross = cross.select(F.least("row", "with").alias("with"), F.greatest("row", "with").alias("row")).distinct().select("row", "with")
     cross = _plausible(cross, sets, scratch)
     for done in (index, label, mixed):
         scratch.discard(done)
