@@ -166,7 +166,20 @@ def test_budget_is_met_exactly_when_it_can_be():
         sums = {a * 3 + b * 5 + c * 11 for a in range(3) for b in range(5) for c in range(4)}
         taken = mixture.fit_counts(counts, budget)
         assert all(0 <= taken[k] <= counts[k] for k in counts)
-        assert budget - sum(k * n for k, n in taken.items()) <= 11 and sum(k * n for k, n in taken.items()) in sums
+        assert sum(k * n for k, n in taken.items()) == max(s for s in sums if s <= budget)
+
+
+def test_budgets_against_all_sums():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        counts = {int(k): int(n) for k, n in zip(rng.integers(1, 40, 6), rng.integers(1, 5, 6))}
+        reach = {0}
+        for k, n in counts.items():
+            reach = {v + k * i for v in reach for i in range(n + 1)}
+        budget = int(rng.integers(0, max(reach) + 5))
+        taken = mixture.fit_counts(counts, budget)
+        assert all(0 <= taken[k] <= counts[k] for k in counts)
+        assert sum(k * n for k, n in taken.items()) == max(v for v in reach if v <= budget)
 
 
 def test_targets_share_what_is_cut_off():
@@ -180,14 +193,40 @@ def test_sharding(documents):
     for s in {r["shard"] for r in found}:
         slots = sorted(r["slot"] for r in found if r["shard"] == s)
         assert slots == list(range(len(slots)))
-    where = {}
-    for (key, text), _ in zip(rows_of(documents), found):
-        where[key] = text
+    # Equal texts lie together: none of them alone has more bytes than an even share.
+    places = {}
+    for r in found:
+        places.setdefault(r["key"], set()).add(r["shard"])
+    held = {}
+    for r in found:
+        held[r["key"]] = held.get(r["key"], 0) + r["size"]
+    total = sum(held.values())
+    assert all(len(p) == 1 or held[k] * 4 > total for k, p in places.items())
+    by_shard = [sum(r["size"] for r in found if r["shard"] == s) for s in range(4)]
+    assert sum(by_shard) == sum(len((t or "").encode()) + 1 for _, t in rows_of(documents))
+    assert max(by_shard) - total / 4 <= max(v for k, v in held.items() if len(places[k]) == 1)
     items = np.array([[5, 1, 1], [4, 1, 1], [3, 1, 1], [3, 1, 1], [3, 1, 1], [2, 1, 1]], dtype=float)
     placed = sharding.pack(items, 2)
     assert items[placed == 0, 0].sum() == 10
 
 
+def test_a_group_larger_than_a_shard_is_cut(spark):
+    """Copies of one text, many without an id, with more bytes than a shard; short copies stay together."""
+    ship(spark)
+    rows = [(None if i % 2 else i, "long text " * 40) for i in range(300)] + [(1000 + i, "s") for i in range(900)]
+    rows += [(5000 + i, f"other {i} " * 20) for i in range(200)]
+    found = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 4, bundles=64).collect()
+    places = {}
+    for r in found:
+        places.setdefault(r["size"], set()).add(r["shard"])
+    assert len(places[2]) == 1 and len(places[401]) == 4
+    by_shard = [sum(r["size"] for r in found if r["shard"] == s) for s in range(4)]
+    assert max(by_shard) < 1.1 * sum(by_shard) / 4
+    for s in range(4):
+        slots = sorted(r["slot"] for r in found if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+
+
 def test_topk(spark):
     rng = np.random.default_rng(5)
     vectors = [rng.normal(size=6).tolist() for _ in range(300)] + [[1.0] * 6] * 40 + [None, [None] * 6, [float("nan")] * 6, [float("inf")] + [0.0] * 5, []]
@@ -226,6 +265,35 @@ def test_pieces_equal_the_library(documents):
     assert [np.frombuffer(b, "<u4").tolist() for b in pieces.Encoder(path).encode(odd)] == library.encode(odd)
 
 
+@pytest.mark.parametrize("with_bytes", [False, True])
+def test_unigram_model_by_hand(tmp_path, with_bytes):
+    """Scores, ties and unknown characters of a small unigram model, against the library."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    kinds = proto.SentencePiece
+    given = [("<unk>", 0.0, kinds.UNKNOWN), ("<s>", 0.0, kinds.CONTROL), ("</s>", 0.0, kinds.CONTROL)]
+    if with_bytes:
+        given += [(f"<0x{i:02X}>", -20.0, kinds.BYTE) for i in range(256)]
+    texts = ["▁", "a", "b", "c", "ab", "bc", "▁a", "abc", "▁ab", "ca", "aa", "▁▁", "cab", "é", "bcd"]
+    given += [(t, -1.0 - 0.37 * ((7 * i) % 11), kinds.NORMAL) for i, t in enumerate(texts)]
+    for text, score, kind in given:
+        proto.pieces.add(piece=text, score=score, type=kind)
+    proto.trainer_spec.model_type = 1
+    proto.trainer_spec.byte_fallback = with_bytes
+    proto.normalizer_spec.name = "identity"
+    proto.normalizer_spec.add_dummy_prefix = True
+    proto.normalizer_spec.remove_extra_whitespaces = False
+    path = str(tmp_path / "small.model")
+    (tmp_path / "small.model").write_bytes(proto.SerializeToString())
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("aaabbccdé xy"), rng.integers(1, 12))) for _ in range(400)]
+    found = [np.frombuffer(b, "<u4").tolist() for b in pieces.Encoder(path).encode(words)]
+    assert found == [library.encode(w) for w in words]
+
+
 def test_fingerprints(documents):
     found = fingerprint.compare_with_next(documents).collect()
     given = rows_of(documents)
@@ -255,6 +323,12 @@ def test_language(spark):
     found = language.predict(docs.where(held), model).collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.95
     assert language.score([None, "", "12 !!", "the"], model)[0][:3] == ["und"] * 3
+    assert language.score(["½ ² Ⅷ ①", "７", "日", "ª"], model)[0][:2] == ["und"] * 2
+    assert "und" not in language.score(["日", "ª", "x1"], model)[0]
+    clash = docs.limit(5).withColumn("lang_pred", F.lit("old")).withColumn("Score", F.lit(9))
+    again = language.predict(clash.unionByName(clash), model)
+    assert again.columns == [*docs.columns, "lang_pred", "score"] and again.where("lang_pred = 'old' or score > 1").count() == 0 and again.count() == 10
+    assert language.predict(docs.limit(0), model).count() == 0
     empty = language.train(docs.limit(0))
     assert language.score(["the"], empty)[0] == ["und"]
 

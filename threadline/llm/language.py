@@ -9,7 +9,6 @@ a text has and summed per text.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +20,6 @@ from threadline.llm.arrow import texts_of
 
 UNKNOWN = "und"
 MAX_LANGUAGES = 1024  # checked bound on what tasks receive: MAX_LANGUAGES * 2**bits floats
-_LETTER = re.compile(r"[^\W\d_]")
 _STEPS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D), np.uint32(0x27D4EB2F))
 
 
@@ -126,6 +124,11 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", bits: int = 16,
     return Model(languages, prior, weights.astype(np.float32), bits, orders)
 
 
+def has_letter(text: str) -> bool:
+    """Is a character of a letter category among them? Digits, fractions and enclosed or Roman numerals are none."""
+    return any(map(str.isalpha, text))
+
+
 def score(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
     """Language and its posterior probability for each text.
 
@@ -133,7 +136,7 @@ def score(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]
     languages. Of equally likely languages the first by name is taken.
     """
     langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-    asked = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if model.languages else []
+    asked = [i for i, t in enumerate(texts) if t and has_letter(t)] if model.languages else []
     chosen = [texts[i] for i in asked]
     for lo, hi in _slices(chosen):
         bucket, doc = _buckets(chosen[lo:hi], model.bits, model.orders)
@@ -150,11 +153,12 @@ def score(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]
 def predict(df: DataFrame, model: Model, text: str = "text", lang_pred: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """All rows and columns, with the predicted language and its score added.
 
-    The result names must be free; the caller chooses others if they are not.
+    Columns of the result names that exist already give way to them. Null ids
+    and repeated rows are rows like others; texts are scored in runs of bounded
+    size, a very long one alone; an empty table gives an empty result.
     """
-    taken = {c.lower() for c in df.columns} & {lang_pred.lower(), score_col.lower()}
-    if taken:
-        raise ValueError(f"columns exist already: {sorted(taken)}")
+    given = {lang_pred.lower(), score_col.lower()}
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in given or c == text])
 
     held = df.sparkSession.sparkContext.broadcast(model)  # languages * 2**bits floats
     names = df.columns

@@ -19,6 +19,7 @@ from threadline.plans.scratch import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
+_WINDOW = 1 << 17  # words that the programme fills at once, at most, beyond the remainder itself
 _BUCKETS = 4096  # seeded hash ranges within one length of a source
 
 
@@ -55,9 +56,11 @@ def fit_counts(counts: dict[int, int], budget: int) -> dict[int, int]:
 
     ``counts`` holds documents by length (above 0). Each length first gives its
     share of the budget, rounded down, then one more while it fits, longest
-    first. What is left is below the longest length; the bounded programme fits
-    it with remaining documents, all lengths up to it, and takes the largest
-    sum it can reach.
+    first. The bounded programme fills the remaining budget with remaining
+    documents of all lengths. Where it cannot, a few documents of each length
+    are given back and the programme has more to choose from, then twice as
+    many, until the budget is met, all are given back, or the programme's window
+    has ``_WINDOW`` words; what it then misses is the least of all tries.
     """
     total = sum(size * n for size, n in counts.items())
     budget = min(budget, total)
@@ -69,7 +72,21 @@ def fit_counts(counts: dict[int, int], budget: int) -> dict[int, int]:
         if size <= left and taken[size] < counts[size]:
             taken[size] += 1
             left -= size
-    return _knapsack(counts, taken, left)
+    best, missed = taken, left
+    give = 0
+    while missed:
+        back, room = {}, left
+        for size in sorted(counts):
+            n = min(taken[size], give, max(0, _WINDOW - room) // size)
+            back[size], room = n, room + size * n
+        tried = _knapsack(counts, {size: n - back[size] for size, n in taken.items()}, room)
+        short = budget - sum(size * n for size, n in tried.items())
+        if short < missed:
+            best, missed = tried, short
+        if all(back[size] == taken[size] for size in counts) or give > _WINDOW:
+            break
+        give = max(1, 2 * give)
+    return best
 
 
 def _knapsack(counts: dict[int, int], taken: dict[int, int], left: int) -> dict[int, int]:

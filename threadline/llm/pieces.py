@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+_UNKNOWN = 10.0  # fixed value of the format: a character without a piece scores so much below the least piece
 _CACHE = 150_000  # words whose pieces a worker keeps; the older half goes when it is full
 
 
@@ -36,7 +37,7 @@ class PieceModel:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = model.get_piece_size()
+        n = n_pieces = model.get_piece_size()
         self.text = [model.id_to_piece(i) for i in range(n)]
         self.score = [model.get_score(i) for i in range(n)]
         special = {i for i in range(n) if model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)}
@@ -45,16 +46,22 @@ class PieceModel:
         self.byte_of = {i: bytes([b]) for b, i in self.bytes.items()}
         self.control = special - set(self.byte_of)
         self.unknown = model.unk_id()
-        # Every ending of a piece, with the piece's id where it is one.
-        self.tails = {t[i:]: -1 for t in self.ids for i in range(1, len(t))} | self.ids
+        # Pieces read from the last character to the first, as a tree; a node's own piece is under "".
+        self.back: dict = {}
+        for t, k in self.ids.items():
+            node = self.back
+            for c in reversed(t):
+                node = node.setdefault(c, {})
+            node[""] = k
         kind, self.dummy, squeeze, name = _settings(path)
         if squeeze or name not in ("identity", ""):
             raise ValueError(f"normalisation {name!r} is not supported")
         if any(MARK in t.lstrip(MARK) for t in self.ids):
             raise ValueError("a piece spans two words")
         self.bpe = kind == 2
-        self._apart: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
+        self.alone = min((self.score[i] for i in self.ids.values()), default=0.0) - _UNKNOWN
+        self._apart: dict[int, bool] = {}  # by left * number of pieces + right
+        self._whole: list[bool | None] = [None] * n_pieces
 
     def merge(self, units: list[str]) -> list[str]:
         """Merge the neighbours with the best score, the leftmost of equals, until none are left."""
@@ -71,19 +78,20 @@ class PieceModel:
 
     def whole(self, piece: int) -> bool:
         """Does the piece's own text come out as the piece?"""
-        known = self._whole.get(piece)
+        known = self._whole[piece]
         if known is None:
             known = self._whole[piece] = len(self.merge(list(self.text[piece]))) == 1
         return known
 
     def apart(self, left: int, right: int) -> bool:
         """Do the two pieces stay as they are when they stand together?"""
-        known = self._apart.get((left, right))
+        both = left * len(self.text) + right
+        known = self._apart.get(both)
         if known is None:
             if len(self._apart) > 300_000:
                 self._apart.clear()
             a, b = self.text[left], self.text[right]
-            known = self._apart[left, right] = self.merge(list(a + b)) == [a, b]
+            known = self._apart[both] = self.merge(list(a + b)) == [a, b]
         return known
 
 
@@ -115,12 +123,14 @@ def encode_words(words: list[str], model: PieceModel) -> list[list[int]]:
 
 def _extend(word: str, end: int, model: PieceModel, last: list[int], start: list[int], score: list[float]) -> None:
     """The state of the prefix word[:end] from those of shorter ones: last piece (-1: a character without one), its start, score."""
-    best = None
-    for lo in range(end - 1, -1, -1):
-        k = model.tails.get(word[lo:end])
-        if k is None:  # no piece ends so
+    best, node, lo = None, model.back, end
+    while lo:
+        lo -= 1
+        node = node.get(word[lo])
+        if node is None:  # no piece ends so
             break
-        if k < 0:
+        k = node.get("")
+        if k is None:
             continue
         if model.bpe:
             if model.whole(k) and (lo == 0 or last[lo] < 0 or model.apart(last[lo], k)):
@@ -128,8 +138,9 @@ def _extend(word: str, end: int, model: PieceModel, last: list[int], start: list
                 break
         elif best is None or score[lo] + model.score[k] >= best[0]:
             best = (score[lo] + model.score[k], k, lo)
-    if best is None:
-        best = (score[end - 1] - 1e4, -1, end - 1)
+    # A character without a piece of its own may stand alone, for unigram models as one choice of several.
+    if best is None or not model.bpe and "" not in model.back.get(word[end - 1], ()) and score[end - 1] + model.alone > best[0]:
+        best = (score[end - 1] + model.alone, -1, end - 1)
     last.append(best[1])
     start.append(best[2])
     score.append(best[0])
@@ -143,7 +154,7 @@ def _path(word: str, model: PieceModel, last: list[int], start: list[int]) -> li
             out.append(last[end])
         elif model.bytes:
             out += [model.bytes[b] for b in reversed(word[start[end] : end].encode("utf-8", "surrogatepass"))]
-        else:
+        elif not out or out[-1] != model.unknown:  # unknown characters in a row are one
             out.append(model.unknown)
         end = start[end]
     return out[::-1]

@@ -2,7 +2,7 @@
 
 What is packed are groups of equal texts, as vectors (bytes, words, rows).
 Groups that hold a notable part of any total are packed one by one, and a group
-that is a large part of a shard is cut into pieces first. All other groups are
+with more bytes than a shard may hold is cut into pieces first. All other groups are
 gathered into a fixed number of bundles by a hash of their text, so the packer
 sees a number of items that depends on parameters only. Each item goes, largest
 first, where the dot product with what the shards have left is highest.
@@ -49,8 +49,11 @@ def shard(df: DataFrame, shards: int = 16, doc_id: str = "doc_id", text: str = "
 
     The law that holds is ``bytes``: the shards' sums of sizes (UTF-8 bytes and
     one more for each row) are near equal; words and rows are balanced beside
-    it. Equal texts share a shard unless they are a large part of it. Slots
-    number the rows of a shard from 0 without gaps. Null texts have size 1.
+    it. Equal texts share a shard unless their bytes alone are more than an even
+    share. Slots number the rows of a shard from 0 without gaps. Null texts have
+    size 1. Rows without an id, and equal rows, are rows like others; they are
+    told apart by where they are stored, so that many of them fill no one task.
+    Other columns do not take part; a text is read whole whatever its length.
     """
     scratch = Scratch(df.sparkSession, "sharding")
     value = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -58,21 +61,24 @@ def shard(df: DataFrame, shards: int = 16, doc_id: str = "doc_id", text: str = "
         df.select(
             F.col(f"`{doc_id}`").cast("long").alias("doc_id"), (F.octet_length(value) + 1).cast("long").alias("size"),
             word_count(text).alias("words"), F.crc32(value.cast("binary")).alias("crc"), group_key(text).alias("key"),
+            # Rows without an id have nothing else to be spread by.
+            F.when(F.col(f"`{doc_id}`").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)).alias("place"),
         ),
         "sizes",
     )
     total = rows.agg(F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("rows")).first()
     if not total["rows"]:
-        return rows.select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+        return rows.drop("place").select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     groups = rows.groupBy("key").agg(F.sum("size").alias("size"), F.sum("words").alias("words"), F.count("*").alias("rows"))
     # Fewer than 3 * bundles groups can hold more than 1 / bundles of one of the three totals.
     large = groups.where(
         (F.col("size") * bundles > total["size"]) | (F.col("words") * bundles > max(total["words"], 1)) | (F.col("rows") * bundles > total["rows"])
     )
-    part = F.greatest(F.col("size") / total["size"], F.col("words") / max(total["words"], 1), F.col("rows") / total["rows"])
-    large = scratch.save(large.select("key", F.ceil(part * shards * 16).cast("int").alias("pieces")), "large")
+    part = F.col("size") / total["size"]
+    pieces = F.when(part * shards > 1, F.ceil(part * shards * 16)).otherwise(1).cast("int")
+    large = scratch.save(large.select("key", pieces.alias("pieces")), "large")
     bundle = F.pmod(F.xxhash64("key"), F.lit(bundles)).cast("int")
-    piece = F.when(F.col("pieces") > 1, F.pmod(F.xxhash64("key", "doc_id"), F.col("pieces"))).otherwise(0).cast("int")
+    piece = F.when(F.col("pieces") > 1, F.pmod(F.xxhash64("key", "doc_id", "place"), F.col("pieces"))).otherwise(0).cast("int")
     rows = rows.join(large, "key", "left").withColumn("bundle", F.when(F.col("pieces").isNull(), bundle).otherwise(-1)).withColumn(
         "item", F.when(F.col("pieces").isNull(), F.lit("")).otherwise(F.col("key"))
     ).withColumn("piece", F.when(F.col("pieces").isNull(), 0).otherwise(piece)).drop("pieces")
@@ -89,7 +95,7 @@ def shard(df: DataFrame, shards: int = 16, doc_id: str = "doc_id", text: str = "
 def _numbered(scratch: Scratch, rows: DataFrame, total: int, shards: int) -> DataFrame:
     """Slots in the order of cells (hash ranges of the id) and, within a cell, of ids and checksums."""
     cells = max(1, total // (shards * _CELL_ROWS)) * 8
-    rows = scratch.save(rows.withColumn("cell", F.pmod(F.xxhash64("doc_id", "crc"), F.lit(cells))), "placed")
+    rows = scratch.save(rows.withColumn("cell", F.pmod(F.xxhash64("doc_id", "crc", "place"), F.lit(cells))), "placed")
     counts = rows.groupBy("shard", "cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
