@@ -20,13 +20,19 @@ HEADLINE = (
     "dataset_classifications",
     "catalog_match",
     "lineage_edges",
+    "lineage_nodes",
     "node_degree",
     "dataset_flow",
     "pagerank",
     "betweenness",
     "detect_cycles",
+    "cycle_paths",
     "lineage_closure",
+    "reach_counts",
+    "catalog_integration",
+    "overview_metrics",
     "validate_parsing",
+    "validate_graph",
     "dependency_analysis",
     "wf_load_checkpoint",
     "wf_latest_status",

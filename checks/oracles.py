@@ -396,6 +396,8 @@ BODIES: dict[str, str] = {
     "scan_file_list": _SCANNED,
     "scan_by_line": """SELECT folder, md5(line) AS content, true AS named, count(*) AS lines
 FROM (SELECT folder, unnest(string_split(code, chr(10))[:-2]) AS line FROM programs) GROUP BY ALL""",
+    "skewed_lookup": """SELECT regexp_replace(file_path, '/[^/]*$', '') AS folder, file_name,
+  count(*) OVER (PARTITION BY regexp_replace(file_path, '/[^/]*$', '')) AS programs FROM raw""",
     "table_write": f"""SELECT file_path, {_JOINED}, CASE WHEN len(include_files) > 0 THEN 2 ELSE 1 END::BIGINT AS copies FROM raw""",
     "table_lifecycle": f"""SELECT t.name AS table_name, false AS before, true AS created, CAST(t.columns AS INTEGER) AS columns,
   CASE t.name WHEN 'raw_dependencies' THEN (SELECT count(*) FROM raw) WHEN 'workflow_state' THEN (SELECT count(*) FROM run_log) ELSE 0 END AS rows_written, false AS after

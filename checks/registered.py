@@ -17,6 +17,7 @@ from threadline.config import TABLES, Config, Location, ParseOptions
 from threadline.functions import extract
 from threadline.operators import centrality, dependencies, enrich, graph, reach, reach_index, report, resolve, runlog, validate
 from threadline.plans.scratch import Scratch
+from threadline.plans.skew import find_hot_keys, skew_join
 from threadline.sources import files as files_source
 from threadline.sources.export import export_graph_json
 from threadline.sources.files import text_metadata
@@ -222,6 +223,14 @@ def scan_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(lines).groupBy("folder", "content", "named").agg(F.count("*").alias("lines"))
 
 
+def skewed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Programs with the facts of their folder, joined as if each folder were too many rows for a task."""
+    raw = Inputs(spark, sf_dir).raw().select(F.regexp_replace("file_path", "/[^/]*$", "").alias("folder"), "file_name")
+    facts = raw.groupBy("folder").agg(F.count("*").alias("programs"))
+    hot = find_hot_keys(raw, "folder", min_rows=2, rows_per_salt=50)
+    return skew_join(raw, facts, "folder", "left", hot_left=hot, by_left=["file_name"])
+
+
 def _with_tables(spark: SparkSession, use: Callable[[Tables], DataFrame]) -> DataFrame:
     """The result of work on tables of a schema of its own, which is gone afterwards."""
     tables = Tables(spark, Config(location=Location(None, f"threadline_{uuid.uuid4().hex}")))
@@ -511,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "scan_code_files_recursive": scan_code_files_recursive,
     "scan_file_list": scan_file_list,
     "scan_by_line": scan_by_line,
+    "skewed_lookup": skewed_lookup,
     "table_write": table_write,
     "table_lifecycle": table_lifecycle,
     "wf_append": wf_append,

@@ -31,5 +31,4 @@ def salted(monkeypatch):
     from threadline.plans import skew
 
     monkeypatch.setattr(skew, "MIN_ROWS", 2)
-    monkeypatch.setattr(skew, "SHARE", 1 / 1000)
     monkeypatch.setattr(skew, "ROWS_PER_SALT", 1)

@@ -2,8 +2,11 @@
 
 Adaptive execution splits skewed partitions of a sort-merge join, but not below
 one map output and not in every plan shape. Lineage graphs have known hubs (a
-control table every program reads, a macro everyone calls), so hot keys are
-found once, by an exact count, and their rows are spread over salts.
+control table every program reads, a macro everyone calls), so keys with more
+rows than a task should hold are found once, by an exact count, and their rows are
+spread over salts. How many salts a key has is a small table that both sides
+look up; whether a key is hot depends on its rows alone, not on the size of the
+whole, and there is no bound on the salts of a key or on the number of hot keys.
 """
 
 from __future__ import annotations
@@ -15,71 +18,80 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is hot above this share of all rows, so fewer than 1/SHARE keys are.
-SHARE = 1 / 256
-# Below this many rows a key fits one task whatever its share.
+from threadline.plans.scratch import Scratch
+
+# Below this many rows a key fits one task.
 MIN_ROWS = 200_000
 # Rows of a hot key that go to one salt, about.
 ROWS_PER_SALT = 100_000
-MAX_SALTS = 4096
+# Hot keys up to so many are broadcast to the sides that look them up.
+_BROADCAST_KEYS = 500_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Salts per hot key; fewer than 1/SHARE keys by construction."""
+    """(_key, _salts) of the hot keys, how many there are, and the salts of rows without a key."""
 
-    salts: dict[str, int]
+    table: DataFrame | None = None
+    count: int = 0
+    nulls: int = 1
 
     def __bool__(self) -> bool:
-        return bool(self.salts)
+        return self.table is not None or self.nulls > 1
 
-    def _count(self, key: Column) -> Column:
-        lookup = F.create_map(*[F.lit(x) for pair in self.salts.items() for x in pair])
-        return F.coalesce(F.try_element_at(lookup, key), F.lit(1))
+    def _looked_up(self, df: DataFrame, key: str) -> tuple[DataFrame, Column]:
+        """The frame with the salts of each row's key; 1 for keys that are not hot."""
+        if self.table is None:
+            return df, F.lit(1)
+        table = self.table.withColumnRenamed("_key", key)
+        table = F.broadcast(table) if self.count <= _BROADCAST_KEYS else table
+        return df.join(table, key, "left"), F.coalesce("_salts", F.lit(1))
 
-    def spread(self, key: Column, by: list[str]) -> Column:
-        """The salt of a row on the hot side, a hash of its other columns.
+    def spread(self, df: DataFrame, key: str, by: list[str], name: str) -> DataFrame:
+        """The frame with a salt for each row, a hash of its other columns.
 
-        A hash, not a random number: a recomputed task must repeat it.
+        A hash, not a random number: a recomputed task must repeat it. Rows
+        without a key have no partner and are only spread.
         """
-        if not self.salts:
-            return F.lit(0)
-        return F.pmod(F.xxhash64(*by), self._count(key)).cast("int")
+        if not self:
+            return df.withColumn(name, F.lit(0))
+        found, salts = self._looked_up(df, key)
+        salts = F.when(F.col(key).isNull(), F.lit(self.nulls)).otherwise(salts)
+        return found.select(*df.columns, F.pmod(F.xxhash64(*by), salts).cast("int").alias(name))
 
-    def copies(self, key: Column) -> Column:
-        """All salts of a key, for the side that is repeated for hot keys."""
-        if not self.salts:
-            return F.array(F.lit(0))
-        return F.sequence(F.lit(0), self._count(key) - 1)
+    def copies(self, df: DataFrame, key: str, name: str) -> DataFrame:
+        """The frame with each row once for every salt of its key, for the side that is repeated."""
+        if self.table is None:
+            return df.withColumn(name, F.lit(0))
+        found, salts = self._looked_up(df, key)
+        return found.select(*df.columns, F.explode(F.sequence(F.lit(0), (salts - 1).cast("int"))).alias(name))
 
 
-NO_HOT_KEYS = HotKeys({})
+NO_HOT_KEYS = HotKeys()
 
 
 def find_hot_keys(
     df: DataFrame,
     key: str,
-    share: float | None = None,
     min_rows: int | None = None,
     rows_per_salt: int | None = None,
     total: int | None = None,
 ) -> HotKeys:
-    """Keys with more than ``share`` of the rows and at least ``min_rows``.
-
-    The count is pre-aggregated on the map side and the result has fewer than
-    ``1 / share`` rows, so the driver can hold it.
-    """
-    share = SHARE if share is None else share
+    """Keys with at least ``min_rows`` rows; the count is pre-aggregated on the map side."""
     min_rows = MIN_ROWS if min_rows is None else min_rows
     rows_per_salt = ROWS_PER_SALT if rows_per_salt is None else rows_per_salt
     total = df.count() if total is None else total
-    floor = max(min_rows, int(total * share) + 1)
-    if total < floor:
+    if total < min_rows:
+        return NO_HOT_KEYS
+    counts = df.groupBy(F.col(key).alias("_key")).count().filter(F.col("count") >= min_rows)
+    salts = F.ceil(F.col("count") / rows_per_salt).cast("long").alias("_salts")
+    table, n = Scratch(df.sparkSession, "hot").save_counted(counts.select("_key", salts), "keys")
+    if not n:
         return NO_HOT_KEYS
-    counts = df.groupBy(key).count().filter(F.col(key).isNotNull() & (F.col("count") >= floor))
-    return HotKeys(
-        {r[key]: min(MAX_SALTS, -(-r["count"] // rows_per_salt)) for r in counts.collect()}
-    )
+    without = table.filter(F.col("_key").isNull()).first()
+    keyed = table.filter(F.col("_key").isNotNull())
+    nulls = 1 if without is None else without["_salts"]
+    return HotKeys(None if without is not None and n == 1 else keyed, n, nulls)
 
 
 def skew_join(
@@ -104,11 +116,8 @@ def skew_join(
         raise ValueError("rows on the right may be spread in inner joins only")
     if not hot_left and not hot_right:
         return left.join(right, key, how)
-    k = F.col(key)
-    left = left.withColumn("_a", hot_left.spread(k, by_left or left.columns))
-    left = left.withColumn("_b", F.explode(hot_right.copies(k)))
-    right = right.withColumn("_b", hot_right.spread(k, by_right or right.columns))
-    right = right.withColumn("_a", F.explode(hot_left.copies(k)))
+    left = hot_right.copies(hot_left.spread(left, key, by_left or left.columns, "_a"), key, "_b")
+    right = hot_left.copies(hot_right.spread(right, key, by_right or right.columns, "_b"), key, "_a")
     return left.join(right, [key, "_a", "_b"], how).drop("_a", "_b")
 
 
@@ -125,14 +134,13 @@ class Partitioned:
     ) -> DataFrame:
         """Inner join with ``left`` on the key. Only ``left`` moves, unless it has hot
         keys of its own; then this side is repeated for them and moves as well."""
-        k = F.col(self.key)
         keys, right = [self.key], self.df
         if self.hot:
-            left = left.withColumn("_b", F.explode(self.hot.copies(k)))
+            left = self.hot.copies(left, self.key, "_b")
             keys.append("_b")
         if hot_left:
-            left = left.withColumn("_a", hot_left.spread(k, by_left or left.columns))
-            right = right.withColumn("_a", F.explode(hot_left.copies(k)))
+            left = hot_left.spread(left, self.key, by_left or left.columns, "_a")
+            right = hot_left.copies(right, self.key, "_a")
             keys.append("_a")
         return left.join(right, keys).drop("_a", "_b")
 
@@ -146,7 +154,7 @@ def partitioned(df: DataFrame, key: str, hot: HotKeys, by: list[str]) -> Iterato
     """
     keys = [key]
     if hot:
-        df = df.withColumn("_b", hot.spread(F.col(key), by))
+        df = hot.spread(df, key, by, "_b")
         keys.append("_b")
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = df.repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
