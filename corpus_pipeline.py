@@ -3,7 +3,8 @@
 Each stage takes the session, the documents its predecessor kept and the data
 folder, and returns documents; its output is written and read back before the
 next stage. Null texts, empty tables and repeated rows pass through the stages
-as their operators define.
+as their operators define. Stages hand on the columns of ``documents``; other
+columns of their input do not take part.
 """
 
 from __future__ import annotations
@@ -16,15 +17,14 @@ from threadline.llm.queries import tokenizer_file
 from threadline.plans.scratch import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_CONFIDENCE = 0.5  # a document whose language is less certain goes
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a language; those without letters or with an uncertain language go."""
+    """Keeps documents with a language; those the operator names none for (null, no letter) go."""
     ship(spark)
     model = language.train(docs)
     named = language.predict(docs.select(*COLUMNS), model, lang_pred="_lang_pred", score_col="_score")
-    return named.where((F.col("_lang_pred") != language.UNKNOWN) & (F.col("_score") >= LEAST_CONFIDENCE)).select(*COLUMNS)
+    return named.where(F.col("_lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
