@@ -89,6 +89,8 @@ def pack(df: DataFrame, text: str, scratch: Scratch) -> Chunks:
     rows = plain.mapInArrow(run, SCHEMA).repartition(n, "chunk").write.format("parquet").bucketBy(n, "chunk")
     rows.option("compression", "uncompressed").option("path", f"{scratch.root}/{name}").saveAsTable(name)
     packed = spark.table(name)
+    # The frame knows its files and buckets; the caller's catalogue keeps no entry, the files stay.
+    spark.sql(f"DROP TABLE {name}")
     size = packed.agg(F.sum("bytes")).first()[0] or 0
     return Chunks(packed, names, [f.dataType for f in plain.schema.fields], 1 << max(_LEAST_SHARDS - 1, int(size) // _SHARD_BYTES).bit_length())
 
