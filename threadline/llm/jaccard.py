@@ -17,8 +17,8 @@ that counts the whole corpus; any fixed order gives the same result, and this
 one keeps frequent passages out of the lists. Equal sets are one class and meet
 as one. Links are found in rounds: each set with the first member of the lists
 it shares most, then the first members of different components of a list, then
-all pairs left between different components, each at its first common entry, so
-linked copies cost the length of their group, not its square. Every candidate is
+all pairs left between different components, once for each run of entries they
+share, so linked copies cost the length of their group, not its square. Every candidate is
 checked on the whole sets.
 """
 
@@ -46,6 +46,7 @@ SCAN_COST = 4  # cost of a list entry (listing, scanning, checking) in enumerate
 _SLICE = 4096
 _LARGEST_LIGHT = 24
 PARITY = 512
+_EARLIER = 4  # keys before an entry that go with it, so that most pairs are formed once
 _SIZES = 64
 _HASH = np.uint64((1 << 58) - 1)
 
@@ -345,17 +346,20 @@ def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, w
     # Last, every pair of different components that shares a list entry.
     label = _labelled(index, tree, scratch)
     several = label.groupBy(*on).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select(*on)
-    mixed = scratch.save(label.join(several, on), "lists")
-    # Elements a set is listed under, in order: a pair is formed at its first common one only.
-    listed = mixed.where("not light").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "key"))).alias("listed"))
-    mixed = scratch.save(mixed.join(sets.select("row", "parity"), "row").join(listed, "row", "left"), "mixed")
+    # Entries of a set in order, each with the last few keys before it: sets that share one of those have met already.
+    entry = F.struct("light", "place", "key", "n", "before", "comp")
+    mixed = label.join(several, on).groupBy("row").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    mixed = mixed.withColumn("keys", F.transform("e", lambda x: x["key"]))
+    earlier = lambda i: F.slice("keys", F.greatest(i - (_EARLIER - 1), F.lit(1)), F.least(i, F.lit(_EARLIER)))
+    fields = lambda x: [x[c].alias(c) for c in ("light", "place", "key", "n", "before", "comp")]
+    mixed = mixed.select("row", F.inline(F.transform("e", lambda x, i: F.struct(*fields(x), earlier(i).alias("earlier")))))
+    mixed = scratch.save(mixed.join(sets.select("row", "parity"), "row"), "mixed")
     largest = mixed.groupBy(*on, "comp").agg(F.count("*").alias("c")).groupBy(*on).agg(F.max(F.struct("c", "comp")).alias("big")).select(*on, F.col("big.comp").alias("big"))
     # All pairs but those inside the largest component of a list: one side is never in it.
-    earlier = F.transform(F.filter("listed", lambda e: e["place"] < F.col("place")), lambda e: e["key"])
-    minor = mixed.join(largest, on).where("comp <> big").select(*on, "row", "n", "place", "before", "comp", "big", "parity", earlier.alias("earlier"))
+    minor = mixed.join(largest, on).where("comp <> big").select(*on, "row", "n", "place", "before", "comp", "big", "parity", "earlier")
     other = mixed.select(
         *on, F.col("row").alias("with"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("before").alias("ahead"), F.col("comp").alias("other"),
-        F.col("parity").alias("theirs"), earlier.alias("earlier2"),
+        F.col("parity").alias("theirs"), F.col("earlier").alias("earlier2"),
     )
     # Bits that differ are elements that only one of the two has; linked sets have at most (n + m) / 7 of those.
     apart = " + ".join(f"bit_count(parity[{i}] ^ theirs[{i}])" for i in range(PARITY // 64))
@@ -363,7 +367,7 @@ def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, w
         f"comp <> other and (other = big or row < with) and {_FIT} and (light or greatest(n, m) > {limit}) and 7 * ({apart}) <= n + m"
         " and (light or not arrays_overlap(earlier, earlier2))"
     )
-    # Small sets may meet in several subsets.
+    # Small sets may meet in several subsets, others again after elements that only one of them has.
     cross = cross.select(F.least("row", "with").alias("with"), F.greatest("row", "with").alias("row")).distinct().select("row", "with")
     cross = _plausible(cross, sets, scratch)
     for done in (index, label, mixed):
