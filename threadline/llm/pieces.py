@@ -18,7 +18,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -46,20 +45,25 @@ class PieceModel:
         self.byte_of = {i: bytes([b]) for b, i in self.bytes.items()}
         self.control = special - set(self.byte_of)
         self.unknown = model.unk_id()
-        # Pieces read from the last character to the first, as a tree; a node's own piece is under "".
-        self.back: dict = {}
-        for t, k in self.ids.items():
-            node = self.back
-            for c in reversed(t):
-                node = node.setdefault(c, {})
-            node[""] = k
+        # Pieces read from the last character to the first, as a tree: a node is its children and its own piece or -1.
+        self.back: tuple[dict, int] = ({}, -1)
+        for t, k in sorted(self.ids.items(), key=lambda x: len(x[0])):
+            children = self.back[0]
+            for c in reversed(t[1:]):
+                children = children.setdefault(c, ({}, -1))[0]
+            # Shorter pieces come first, so the place of this one has no children yet, or none that a piece ends with.
+            children[t[0]] = (children.get(t[0], ({},))[0], k)
+        self.spoken = [b"" if i in self.control else self.byte_of.get(i) or t.replace(MARK, " ").encode() for i, t in enumerate(self.text)]
         kind, self.dummy, squeeze, name = _settings(path)
         if squeeze or name not in ("identity", ""):
             raise ValueError(f"normalisation {name!r} is not supported")
         if any(MARK in t.lstrip(MARK) for t in self.ids):
             raise ValueError("a piece spans two words")
         self.bpe = kind == 2
-        self.alone = min((self.score[i] for i in self.ids.values()), default=0.0) - _UNKNOWN
+        if not self.bpe:
+            # Sums are rounded as the format's are, so that equal ones are equal here too.
+            self.score = [np.float32(x) for x in self.score]
+        self.alone = np.float32(min((self.score[i] for i in self.ids.values()), default=0.0) - _UNKNOWN)
         self._apart: dict[int, bool] = {}  # by left * number of pieces + right
         self._whole: list[bool | None] = [None] * n_pieces
 
@@ -109,41 +113,66 @@ def encode_words(words: list[str], model: PieceModel) -> list[list[int]]:
     """Ids of distinct marked words, sorted or not, in the order given."""
     order = sorted(range(len(words)), key=words.__getitem__)
     out: list[list[int]] = [[] for _ in words]
-    before, last, start, score = "", [-1], [0], [0.0]
+    before, last, start, score = "", [-1], [0], [np.float32(0)]
+    extend = _extend_bpe if model.bpe else _extend_unigram
     for i in order:
-        word = words[i]
-        keep = len(commonprefix((before, word)))
+        word, keep = words[i], 0
+        for a, b in zip(before, word):
+            if a != b:
+                break
+            keep += 1
         del last[keep + 1 :], start[keep + 1 :], score[keep + 1 :]
-        for end in range(keep + 1, len(word) + 1):
-            _extend(word, end, model, last, start, score)
+        extend(word, keep, model, last, start, score)
         out[i] = _path(word, model, last, start)
         before = word
     return out
 
 
-def _extend(word: str, end: int, model: PieceModel, last: list[int], start: list[int], score: list[float]) -> None:
-    """The state of the prefix word[:end] from those of shorter ones: last piece (-1: a character without one), its start, score."""
-    best, node, lo = None, model.back, end
-    while lo:
-        lo -= 1
-        node = node.get(word[lo])
-        if node is None:  # no piece ends so
+# The state of the prefix word[:end] comes from those of shorter ones: its last
+# piece (-1: a character without one), where that starts, and its score.
+
+
+def _extend_bpe(word: str, keep: int, model: PieceModel, last: list[int], start: list[int], score: list[float]) -> None:
+    root, whole, apart, n = model.back[0], model._whole, model._apart, len(model.text)
+    for end in range(keep + 1, len(word) + 1):
+        children, lo, piece = root, end, -1
+        while lo:
+            lo -= 1
+            node = children.get(word[lo])
+            if node is None:  # no piece ends so
+                break
+            children, k = node
+            if k < 0 or not (whole[k] if whole[k] is not None else model.whole(k)):
+                continue
+            left = last[lo] if lo else -1
+            if left >= 0:
+                stays = apart.get(left * n + k)
+                if not (model.apart(left, k) if stays is None else stays):
+                    continue
+            piece = k  # the only one
             break
-        k = node.get("")
-        if k is None:
-            continue
-        if model.bpe:
-            if model.whole(k) and (lo == 0 or last[lo] < 0 or model.apart(last[lo], k)):
-                best = (0.0, k, lo)  # the only one
+        last.append(piece)
+        start.append(lo if piece >= 0 else end - 1)
+
+
+def _extend_unigram(word: str, keep: int, model: PieceModel, last: list[int], start: list[int], score: list[float]) -> None:
+    for end in range(keep + 1, len(word) + 1):
+        best, children, lo = None, model.back[0], end
+        single = children.get(word[end - 1], (None, -1))[1] >= 0
+        while lo:
+            lo -= 1
+            node = children.get(word[lo])
+            if node is None:
                 break
-        elif best is None or score[lo] + model.score[k] >= best[0]:
-            best = (score[lo] + model.score[k], k, lo)
-    # A character without a piece of its own may stand alone, for unigram models as one choice of several.
-    if best is None or not model.bpe and "" not in model.back.get(word[end - 1], ()) and score[end - 1] + model.alone > best[0]:
-        best = (score[end - 1] + model.alone, -1, end - 1)
-    last.append(best[1])
-    start.append(best[2])
-    score.append(best[0])
+            children, k = node
+            if k >= 0 and (best is None or score[lo] + model.score[k] >= best[0]):
+                best = (score[lo] + model.score[k], k, lo)
+        # A character without a piece of its own may stand alone.
+        if best is None or not single and score[end - 1] + model.alone > best[0]:
+            best = (score[end - 1] + model.alone, -1, end - 1)
+        score.append(best[0])
+        last.append(best[1])
+        start.append(best[2])
 
 
 def _path(word: str, model: PieceModel, last: list[int], start: list[int]) -> list[int]:
@@ -182,18 +211,8 @@ class Encoder:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: marks are spaces, the first one is dropped, control pieces say nothing."""
-        model, parts = self.model, []
-        for i in ids.tolist():
-            if i in model.byte_of:
-                parts.append(model.byte_of[i])
-            elif i not in model.control:
-                parts.append(_spoken(model, i))
-        text = b"".join(parts).decode("utf-8", "replace")
-        return text[1:] if model.dummy and text.startswith(" ") else text
-
-
-def _spoken(model: PieceModel, i: int) -> bytes:
-    return model.text[i].replace(MARK, " ").encode()
+        text = b"".join(map(self.model.spoken.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return text[1:] if self.model.dummy and text.startswith(" ") else text
 
 
 @lru_cache(maxsize=2)
