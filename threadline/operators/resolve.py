@@ -122,9 +122,11 @@ def program_links(files: DataFrame, scratch: Scratch | None = None) -> tuple[Dat
         if state is not None:
             again = again.unionByName(state.join(todo, "file_path", "left_anti"))
         state, seen = scratch.save(again, "state"), marks
-        changed = _sites(state.join(moving, "file_path", "left_semi"))
-        kept = links.join(moving, "file_path", "left_anti")
-        links = scratch.save(kept.unionByName(_linked(changed, paths)), "links")
+        # Paths can have changed only in files that were read again and have references in them.
+        turned, rows = scratch.save_counted(state.join(todo, "file_path", "left_semi").join(moving, "file_path", "left_semi"), "turned")
+        if rows:
+            kept = links.join(turned.select("file_path"), "file_path", "left_anti")
+            links = scratch.save(kept.unionByName(_linked(_sites(turned), paths)), "links")
     return links, nothing if state is None else scratch.save(_brought(links, state), "brought")
 
 
