@@ -7,7 +7,9 @@ them a trie read depth-first: going to the next word keeps the forward states
 of the prefix it shares with the one before.
 
 Unigram models: the state of a prefix is its best score and last piece
-(Viterbi). BPE models rank pieces by merge order, and the sum of scores does
+(Viterbi), of equal scores the longest last piece; where two paths hold the same
+pieces in another order, the library's choice depends on rounding of the whole
+sentence's sum. BPE models rank pieces by merge order, and the sum of scores does
 not give their result; there the state is the last piece of the prefix's own
 encoding, and a piece extends a prefix when merging the two pieces alone would
 leave them apart. That gives the library's result with the same pass.
@@ -60,10 +62,7 @@ class PieceModel:
         if any(MARK in t.lstrip(MARK) for t in self.ids):
             raise ValueError("a piece spans two words")
         self.bpe = kind == 2
-        if not self.bpe:
-            # Sums are rounded as the format's are, so that equal ones are equal here too.
-            self.score = [np.float32(x) for x in self.score]
-        self.alone = np.float32(min((self.score[i] for i in self.ids.values()), default=0.0) - _UNKNOWN)
+        self.alone = min((self.score[i] for i in self.ids.values()), default=0.0) - _UNKNOWN
         self._apart: dict[int, bool] = {}  # by left * number of pieces + right
         self._whole: list[bool | None] = [None] * n_pieces
 
@@ -113,7 +112,7 @@ def encode_words(words: list[str], model: PieceModel) -> list[list[int]]:
     """Ids of distinct marked words, sorted or not, in the order given."""
     order = sorted(range(len(words)), key=words.__getitem__)
     out: list[list[int]] = [[] for _ in words]
-    before, last, start, score = "", [-1], [0], [np.float32(0)]
+    before, last, start, score = "", [-1], [0], [0.0]
     extend = _extend_bpe if model.bpe else _extend_unigram
     for i in order:
         word, keep = words[i], 0
