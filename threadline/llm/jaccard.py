@@ -46,7 +46,7 @@ SCAN_COST = 4  # cost of a list entry (listing, scanning, checking) in enumerate
 _SLICE = 4096
 _LARGEST_LIGHT = 24
 PARITY = 512
-_EARLIER = 4  # keys before an entry that go with it, so that most pairs are formed once
+_EARLIER = 2  # keys before an entry that go with it, so that most pairs are formed once
 _SIZES = 64
 _HASH = np.uint64((1 << 58) - 1)
 
@@ -354,6 +354,8 @@ def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, w
     fields = lambda x: [x[c].alias(c) for c in ("light", "place", "key", "n", "before", "comp")]
     mixed = mixed.select("row", F.inline(F.transform("e", lambda x, i: F.struct(*fields(x), earlier(i).alias("earlier")))))
     mixed = scratch.save(mixed.join(sets.select("row", "parity"), "row"), "mixed")
+    for done in (index, label):
+        scratch.discard(done)
     largest = mixed.groupBy(*on, "comp").agg(F.count("*").alias("c")).groupBy(*on).agg(F.max(F.struct("c", "comp")).alias("big")).select(*on, F.col("big.comp").alias("big"))
     # All pairs but those inside the largest component of a list: one side is never in it.
     minor = mixed.join(largest, on).where("comp <> big").select(*on, "row", "n", "place", "before", "comp", "big", "parity", "earlier")
@@ -370,8 +372,7 @@ def _links(index: DataFrame, sets: DataFrame, chunks: ch.Chunks, at_text: int, w
     # Small sets may meet in several subsets, others again after elements that only one of them has.
     cross = cross.select(F.least("row", "with").alias("with"), F.greatest("row", "with").alias("row")).distinct().select("row", "with")
     cross = _plausible(cross, sets, scratch)
-    for done in (index, label, mixed):
-        scratch.discard(done)
+    scratch.discard(mixed)
     more = _checked(cross, chunks, at_text, width, held, scratch)
     both = more.unionByName(tree.select(F.col("node").alias("u"), F.col("root").alias("v")))
     return components(both, scratch)
