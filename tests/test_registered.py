@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as registry
 from checks.compare import connect, differences
 from checks.oracles import ORACLES
-from checks.registered import QUERIES
+from checks.registered import QUERIES, Inputs
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
@@ -21,6 +21,22 @@ def con():
     return connect(SF)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_inputs():
+    """Inputs that many queries start from are made once for the module; each query's own operator runs each time."""
+    made, patch = {}, pytest.MonkeyPatch()
+    for name in ("raw", "resolution", "edges", "flow", "datasets"):
+
+        def once(self, name=name, make=getattr(Inputs, name)):
+            if name not in made:
+                made[name] = make(self)
+            return made[name]
+
+        patch.setattr(Inputs, name, once)
+    yield
+    patch.undo()
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert differences(registry.queries()[name](spark, SF), con, registry.oracle_sql()[name]) == []

@@ -103,7 +103,7 @@ def program_links(files: DataFrame, scratch: Scratch | None = None) -> tuple[Dat
     moving = first.filter(F.exists("sites", lambda s: F.contains(s["include_file"], F.lit("&")))).select("file_path")
     moving = scratch.save(moving, "moving")
     nothing = spark.createDataFrame([], f"file_path string, included {_INCLUDED}")
-    state, seen, rounds = None, None, 0
+    state, seen, rounds, relinked, bodies = None, None, 0, True, None
     while True:
         wanted = links.select(F.col("resolved_path").alias("file_path")).filter(F.col("file_path").isNotNull())
         wanted = wanted.unionByName(moving).distinct()
@@ -111,20 +111,28 @@ def program_links(files: DataFrame, scratch: Scratch | None = None) -> tuple[Dat
         if state is not None:
             included = scratch.save(_brought(links, state).join(wanted, "file_path", "left_semi"), "included")
         marks = wanted.join(included, "file_path", "left").select("file_path", F.xxhash64("included").alias("mark"))
-        marks, n_files = scratch.save_counted(marks, "marks")
-        todo = marks if seen is None else marks.join(seen, ["file_path", "mark"], "left_anti")
-        todo, rows = scratch.save_counted(todo.select("file_path"), "todo")
+        if seen is None:
+            marks = marks.withColumn("changed", F.lit(True))
+        else:
+            before = seen.select("file_path", F.col("mark").alias("before"))
+            marks = marks.join(before, "file_path", "left").select("file_path", "mark", (~F.col("mark").eqNullSafe(F.col("before"))).alias("changed"))
+        marks, rows = scratch.save_counted(marks, "marks", F.col("changed"))
+        todo = marks.filter("changed").select("file_path")
         rounds += 1
-        if not rows or rounds > n_files + 2:
+        most = marks.count() + 2 if rounds > 50 else rounds  # deeper than includes usually are: no more rounds than files
+        if not rows or rounds > most:
             break
-        again = _read(files.join(todo, "file_path", "left_semi"), included).select("file_path", "sites", "entries")
+        if relinked:  # other files may be wanted than before
+            bodies = scratch.save(files.join(wanted, "file_path", "left_semi").select("file_path", "code"), "bodies")
+        again = _read(bodies.join(todo, "file_path", "left_semi"), included).select("file_path", "sites", "entries")
         again = scratch.save(again, "again")
         if state is not None:
             again = again.unionByName(state.join(todo, "file_path", "left_anti"))
         state, seen = scratch.save(again, "state"), marks
         # Paths can have changed only in files that were read again and have references in them.
         turned, rows = scratch.save_counted(state.join(todo, "file_path", "left_semi").join(moving, "file_path", "left_semi"), "turned")
-        if rows:
+        relinked = rows > 0
+        if relinked:
             kept = links.join(turned.select("file_path"), "file_path", "left_anti")
             links = scratch.save(kept.unionByName(_linked(_sites(turned), paths)), "links")
     return links, nothing if state is None else scratch.save(_brought(links, state), "brought")
