@@ -142,3 +142,9 @@ def test_parsing_is_idempotent_and_latest_wins(spark):
     assert sorted(map(str, latest.collect())) == sorted(map(str, again.collect()))
     assert dependencies.num_files(first.unionByName(again)).first()["num_files"] == 2
     assert sorted(r[0] for r in dependencies.unique_datasets(first).collect()) == ["a", "b"]
+
+
+def test_option_keywords_are_looked_up_before_what_precedes_them():
+    """A pattern that begins with a look-behind is tried at every character of a text."""
+    for pattern in (extract.OUT_OPTION, extract.DATA_OPTION):
+        assert not pattern.removeprefix(extract.FLAGS).startswith("(?<")

@@ -3,8 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from threadline.functions import programs
 from threadline.functions.paths import candidate_path, collapse_dots, plain_path
 from threadline.operators import dependencies, resolve
+from threadline.plans.scratch import Scratch
 
 
 def files_of(spark, programs):
@@ -163,3 +165,36 @@ def test_open_values_keep_their_dot(spark):
     circle = "%let a=&b.&b.;\n%let b=&a.&a.;\n" + "".join(f"%let n{i}=1;\n" for i in range(40)) + "set &a;\nset c&n1;\n"
     row = resolved(spark, circle)
     assert "c1" in row["resolved_inputs"] and row["resolution_notes"] == "unresolved: a, b"
+
+
+def test_settled_links_and_texts_are_written_once(spark, monkeypatch):
+    """Rounds write only links of files with references in include paths, and fetch a text once."""
+    chain = [(f"/inc/c{i}.sas", f'%include "/inc/c{i + 1}.sas";\n%let v{i}=/inc/x{i}.sas;\n') for i in range(5)]
+    rows = [*chain, ("/inc/c5.sas", "%let deep=/inc/end.sas;\n"), ("/inc/end.sas", "data a.b;\nrun;\n")]
+    rows += [("/p.sas", '%include "/inc/c0.sas";\n%include "&deep";\n'), ("/q.sas", "%include '/inc/c1.sas';\n")]
+    labels, write = [], Scratch._write
+
+    def noted(self, df, label):
+        labels.append(label)
+        return write(self, df, label)
+
+    monkeypatch.setattr(Scratch, "_write", noted)
+    links, _ = resolve.program_links(spark.createDataFrame(rows, "file_path string, code string"))
+    found = {(r["file_path"], r["site"]): r["resolved_path"] for r in links.collect()}
+    assert found["/p.sas", 1] == "/inc/end.sas" and found["/q.sas", 0] == "/inc/c1.sas" and len(found) == 8
+    assert labels.count("links") == 1 and labels.count("bodies") == 2
+
+
+def test_texts_without_references_are_read_alike():
+    """What is read without a program's pass gives the same as the pass."""
+    for code in ("", 'data a.b;\n%INCLUDE  "x.sas";\n%include\n\'y.sas\';', "%f(a)\n%include 'a%include \"b\"';", "%include%include 'z'"):
+        row = programs._row({"file_path": "/p", "code": code, "included": None, "macros": None})
+        p = programs.Program("/p", code, {}, {})
+        assert (row["text"], row["total"], row["open"], row["sites"]) == (p.text, p.total, p.open, p.sites) and not p.entries
+
+
+def test_rows_of_one_path_meet_each_other(spark):
+    """Two rows of a path, each read: every text as read with every row's code, as a join of the two gives."""
+    rows = [("/p.sas", "%let a=x;\ndata &a..t;\n"), ("/p.sas", "%let a=y;\ndata &a..t;\n"), ("/q.sas", "data &a;\n"), (None, "data &a;\n")]
+    read = resolve.read_corpus(spark.createDataFrame(rows, "file_path string, code string")).read
+    assert sorted(r["file_path"] for r in read.collect()) == ["/p.sas"] * 4 + ["/q.sas"]
