@@ -255,3 +255,18 @@ def test_runs_add_up(spark, tables):
     assert list(run("w6", {"a.sas": "run;"}, start="BUILD")) == ["BUILD", "VALIDATE"]
     with pytest.raises(ValueError):
         run("w7", {"a.sas": "run;"}, start="NOWHERE")
+
+
+def test_programs_are_laid_out_as_by_the_writer_of_texts(spark, tmp_path):
+    """One file a row in the folder's place, whatever the folder's name, without the writer of tables."""
+    from checks import registered
+
+    rows = [("repo_d1", "data a;\n"), ("repo_d1", "data a;\n"), ("repo_d1", ""), ("a=b:c%d", "x"), ("", "e"), (None, "n"), ("repo_d2", None), ("repo_d2", "é\r\n")]
+    frame = spark.createDataFrame(rows, "folder string, code string").repartition(2, "folder")
+    frame.write.option("maxRecordsPerFile", 1).partitionBy("folder").text(str(tmp_path / "theirs"))
+    registered._write_local(frame, str(tmp_path / "ours"))
+
+    def laid_out(name):
+        return sorted((f.parent.name, f.read_bytes()) for f in (tmp_path / name).rglob("part-*") if f.is_file())
+
+    assert laid_out("ours") == laid_out("theirs") and len(laid_out("ours")) == len(rows)
