@@ -361,3 +361,11 @@ def test_empty_tables(spark, documents):
 def test_checksums_are_of_little_endian_ids(spark):
     df = spark.createDataFrame([Row(ids=bytearray(np.array([1, 2], "<u4").tobytes()))])
     assert df.select(F.crc32("ids")).first()[0] == zlib.crc32(np.array([1, 2], "<u4").tobytes())
+
+
+def test_packing_is_not_kept_from_a_shard_by_rows_alone():
+    """An item with more rows than a shard's share leaves the bytes of its shard to others."""
+    items = np.array([[1.0, 1.0, 900.0]] + [[10.0, 1.0, 1.0]] * 40)
+    where = sharding.pack(items, 4)
+    held = [items[where == s, 0].sum() for s in range(4)]
+    assert max(held) <= 1.1 * sum(held) / 4

@@ -26,21 +26,18 @@ def pack(items: np.ndarray, shards: int) -> np.ndarray:
     Components count as shares of their totals. Items come by their largest
     share, ties in the order given. Each goes to the shard whose residual
     capacity has the highest dot product with it among those that it does not
-    overfill; if it overfills all, to the one with most capacity left for it,
-    among those whose first component (the law) it does not overfill, if any is.
+    overfill; if it overfills all, to the one with most capacity left for it.
+    The first component is the law; another one of which an item alone holds more
+    than an even share cannot be balanced, and does not keep the rest from a shard.
     """
     share = items / np.maximum(items.sum(axis=0), 1)
-    left = np.full((shards, items.shape[1]), 1.0 / shards)
+    share = share[:, (share.max(axis=0, initial=0.0) <= 1.0 / shards) | (np.arange(share.shape[1]) == 0)]
+    left = np.full((shards, share.shape[1]), 1.0 / shards)
     where = np.zeros(len(items), dtype=np.int64)
     for i in np.argsort(-share.max(axis=1), kind="stable"):
         fits = (left + 1e-12 >= share[i]).all(axis=1)
-        if fits.any():
-            value = np.where(fits, left @ share[i], -np.inf)
-        else:
-            # A shard that one group fills with rows still has to take its part of the bytes.
-            spare = left - share[i]
-            value = np.where(spare[:, 0] >= -1e-12, spare.min(axis=1), -np.inf) if (spare[:, 0] >= -1e-12).any() else spare[:, 0]
-        where[i] = np.argmax(value)
+        value = left @ share[i] if fits.any() else (left - share[i]).min(axis=1)
+        where[i] = np.argmax(np.where(fits, value, -np.inf) if fits.any() else value)
         left[where[i]] -= share[i]
     return where
 
