@@ -251,6 +251,18 @@ def test_trees_hold_their_members():
         assert (apart <= tree.radius[i] + 1e-6).all()
 
 
+def test_words_in_use_stay_when_the_others_go(monkeypatch):
+    asked = []
+    encode_words = pieces.encode_words
+    monkeypatch.setattr(pieces, "_CACHE", 20)
+    monkeypatch.setattr(pieces, "encode_words", lambda words, model: asked.extend(words) or encode_words(words, model))
+    encoder = pieces.Encoder(tokenizer_file("piece_bpe_32k.model"))
+    for i in range(20):
+        encoder.encode([f"common words w{i}a w{i}b  w{i}c w{i}d"])
+    assert asked.count(pieces.MARK + "common") == 1 and len(asked) == len(set(asked))
+    assert len(encoder._known) + len(encoder._earlier) <= 40
+
+
 def test_pieces_equal_the_library(documents):
     import sentencepiece
 

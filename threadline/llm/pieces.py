@@ -18,6 +18,7 @@ leave them apart. That gives the library's result with the same pass.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _UNKNOWN = 10.0  # fixed value of the format: a character without a piece scores so much below the least piece
-_CACHE = 150_000  # words whose pieces a worker keeps; the older half goes when it is full
+_CACHE = 150_000  # words whose pieces a worker keeps; when half of them are new, those that were not used since go
 
 
 class PieceModel:
@@ -40,6 +41,7 @@ class PieceModel:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = n_pieces = model.get_piece_size()
         self.text = [model.id_to_piece(i) for i in range(n)]
+        self.size = [len(t) for t in self.text]
         self.score = [model.get_score(i) for i in range(n)]
         special = {i for i in range(n) if model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)}
         self.ids = {self.text[i]: i for i in range(n) if i not in special}
@@ -112,7 +114,7 @@ def encode_words(words: list[str], model: PieceModel) -> list[list[int]]:
     """Ids of distinct marked words, sorted or not, in the order given."""
     order = sorted(range(len(words)), key=words.__getitem__)
     out: list[list[int]] = [[] for _ in words]
-    before, last, start, score = "", [-1], [0], [0.0]
+    before, last, score = "", [-1], [0.0]
     extend = _extend_bpe if model.bpe else _extend_unigram
     for i in order:
         word, keep = words[i], 0
@@ -120,19 +122,19 @@ def encode_words(words: list[str], model: PieceModel) -> list[list[int]]:
             if a != b:
                 break
             keep += 1
-        del last[keep + 1 :], start[keep + 1 :], score[keep + 1 :]
-        extend(word, keep, model, last, start, score)
-        out[i] = _path(word, model, last, start)
+        del last[keep + 1 :], score[keep + 1 :]
+        extend(word, keep, model, last, score)
+        out[i] = _path(word, model, last)
         before = word
     return out
 
 
 # The state of the prefix word[:end] comes from those of shorter ones: its last
-# piece (-1: a character without one), where that starts, and its score.
+# piece (-1: a character without one; it starts where the piece is that long) and its score.
 
 
-def _extend_bpe(word: str, keep: int, model: PieceModel, last: list[int], start: list[int], score: list[float]) -> None:
-    root, whole, apart, n = model.back[0], model._whole, model._apart, len(model.text)
+def _extend_bpe(word: str, keep: int, model: PieceModel, last: list[int], score: list[float]) -> None:
+    root, whole, apart, n, add = model.back[0], model._whole, model._apart, len(model.text), last.append
     for end in range(keep + 1, len(word) + 1):
         children, lo, piece = root, end, -1
         while lo:
@@ -141,20 +143,22 @@ def _extend_bpe(word: str, keep: int, model: PieceModel, last: list[int], start:
             if node is None:  # no piece ends so
                 break
             children, k = node
-            if k < 0 or not (whole[k] if whole[k] is not None else model.whole(k)):
+            if k < 0:
                 continue
-            left = last[lo] if lo else -1
-            if left >= 0:
+            fits = whole[k]
+            if not (model.whole(k) if fits is None else fits):
+                continue
+            left = last[lo]
+            if lo and left >= 0:
                 stays = apart.get(left * n + k)
                 if not (model.apart(left, k) if stays is None else stays):
                     continue
             piece = k  # the only one
             break
-        last.append(piece)
-        start.append(lo if piece >= 0 else end - 1)
+        add(piece)
 
 
-def _extend_unigram(word: str, keep: int, model: PieceModel, last: list[int], start: list[int], score: list[float]) -> None:
+def _extend_unigram(word: str, keep: int, model: PieceModel, last: list[int], score: list[float]) -> None:
     for end in range(keep + 1, len(word) + 1):
         best, children, lo = None, model.back[0], end
         single = children.get(word[end - 1], (None, -1))[1] >= 0
@@ -165,47 +169,66 @@ def _extend_unigram(word: str, keep: int, model: PieceModel, last: list[int], st
                 break
             children, k = node
             if k >= 0 and (best is None or score[lo] + model.score[k] >= best[0]):
-                best = (score[lo] + model.score[k], k, lo)
+                best = (score[lo] + model.score[k], k)
         # A character without a piece of its own may stand alone.
         if best is None or not single and score[end - 1] + model.alone > best[0]:
-            best = (score[end - 1] + model.alone, -1, end - 1)
+            best = (score[end - 1] + model.alone, -1)
         score.append(best[0])
         last.append(best[1])
-        start.append(best[2])
 
 
-def _path(word: str, model: PieceModel, last: list[int], start: list[int]) -> list[int]:
+def _path(word: str, model: PieceModel, last: list[int]) -> list[int]:
     out: list[int] = []
-    end = len(word)
+    end, size = len(word), model.size
     while end:
-        if last[end] >= 0:
-            out.append(last[end])
-        elif model.bytes:
-            out += [model.bytes[b] for b in reversed(word[start[end] : end].encode("utf-8", "surrogatepass"))]
+        piece = last[end]
+        if piece >= 0:
+            out.append(piece)
+            end -= size[piece]
+            continue
+        if model.bytes:
+            out += [model.bytes[b] for b in reversed(word[end - 1 : end].encode("utf-8", "surrogatepass"))]
         elif not out or out[-1] != model.unknown:  # unknown characters in a row are one
             out.append(model.unknown)
-        end = start[end]
-    return out[::-1]
+        end -= 1
+    out.reverse()
+    return out
 
 
 class Encoder:
     def __init__(self, path: str) -> None:
         self.model = PieceModel(path)
+        # With a mark before every text, all words begin with one; it is left out of the keys.
+        self._lead = MARK if self.model.dummy else ""
         self._known: dict[str, bytes] = {}
+        self._earlier: dict[str, bytes] = {}  # words that a text since then had move to the other
+
+    def _cut(self, text: str) -> list[str]:
+        """The marked words of a text, without the mark that all of them begin with."""
+        if not self._lead:
+            return _WORD.findall(text.replace(" ", MARK))
+        if not text:
+            return []
+        words = text.split(" ")
+        if MARK not in text and "" not in words:  # single spaces between words: each is one mark
+            return words
+        return [w[1:] for w in _WORD.findall(MARK + text.replace(" ", MARK))]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = []
-        for t in texts:
-            t = t.replace(" ", MARK)
-            cut.append(_WORD.findall(MARK + t if self.model.dummy and t else t))
-        known = self._known
-        if len(known) > _CACHE:
-            for w in list(known)[: len(known) // 2]:
-                del known[w]
-        fresh = list({w for words in cut for w in words if w not in known})
-        for w, ids in zip(fresh, encode_words(fresh, self.model)):
-            known[w] = np.array(ids, dtype="<u4").tobytes()
+        cut = [self._cut(t) for t in texts]
+        if len(self._known) > _CACHE // 2:
+            self._known, self._earlier = {}, self._known
+        known, earlier, fresh = self._known, self._earlier, []
+        for w in set().union(*cut):
+            if w not in known:
+                ids = earlier.get(w)
+                if ids is None:
+                    fresh.append(w)
+                else:
+                    known[w] = ids
+        for w, ids in zip(fresh, encode_words([self._lead + w for w in fresh], self.model)):
+            known[w] = struct.pack(f"<{len(ids)}I", *ids)
         return [b"".join(map(known.__getitem__, words)) for words in cut]
 
     def decode(self, ids: np.ndarray) -> str:
