@@ -6,6 +6,7 @@ from collections import deque
 import pytest
 
 from threadline.operators import centrality, dependencies, graph, reach, reach_index, resolve, validate
+from threadline.plans.scratch import Scratch
 
 
 def pairs(spark, edges):
@@ -183,6 +184,19 @@ def test_acyclic_graph_has_no_components(spark):
     assert reach.strong_components(pairs(spark, GRAPHS["diamond"]), "a", "b").count() == 0
 
 
+def test_trimming_ends_when_it_takes_little_off(spark, monkeypatch):
+    written = []
+    save = Scratch.save_counted
+    monkeypatch.setattr(Scratch, "save_counted", lambda self, df, label, *a: written.append(label) or save(self, df, label, *a))
+    cycles = [(f"c{i:02}", f"c{i // 4 * 4 + (i + 1) % 4:02}") for i in range(40)]
+    paths = [(f"p{i:02}", f"p{i + 1:02}") for i in range(11)] + [("p11", "c00"), ("c39", "q00")]
+    paths += [(f"q{i:02}", f"q{i + 1:02}") for i in range(6)]
+    edges = cycles + paths
+    found = [tuple(r) for r in reach.strong_components(pairs(spark, edges), "a", "b").collect()]
+    assert set(found) == brute_components(edges) and len(found) == 40
+    assert written.count("trimmed") <= 8  # one round a node of the path before
+
+
 def test_closure_of_given_sources(spark):
     wanted = spark.createDataFrame([("c",), ("nowhere",)], "n string")
     found = reach.lineage_closure(pairs(spark, GRAPHS["chain_of_cycles"]), "a", "b", wanted).collect()
