@@ -220,6 +220,19 @@ def test_betweenness_in_batches_of_sources(spark):
     assert scores == pytest.approx(brute_betweenness(edges))
 
 
+def test_sources_that_lead_on_to_the_same_nodes_are_followed_once(spark, monkeypatch):
+    followed = []
+    dependencies_of = centrality._dependencies
+    monkeypatch.setattr(centrality, "_dependencies", lambda *given: followed.append(given[1].count()) or dependencies_of(*given))
+    edges = [(f"t{i:02}", "m") for i in range(30)] + [("m", "r"), ("m", "m"), ("r", "q")]
+    edges += [(f"u{i}", x) for i in range(5) for x in ("m", "k")] + [("k", "r"), ("in", "t03")]
+    # Same successors, but on a cycle: each reaches the others.
+    edges += [("c1", "x"), ("c2", "x"), ("x", "y"), ("y", "c1"), ("y", "c2"), ("x", "m")]
+    scores = {r[0]: r[1] for r in centrality.betweenness(pairs(spark, edges), "a", "b").collect()}
+    assert scores == pytest.approx(brute_betweenness(edges))
+    assert followed == [9]  # t, u, and m with k by one each; r, in, c1, c2, x, y by themselves
+
+
 def test_betweenness_estimate_states_its_bound(spark):
     edges = GRAPHS["random1"]
     exact = brute_betweenness(edges)
