@@ -50,3 +50,9 @@ def test_every_query_has_sql_without_limits():
     assert QUERIES.keys() == ORACLES.keys()
     limited = {n for n, sql in ORACLES.items() if re.search(r"\bLIMIT\b", sql)}
     assert limited == {"top_critical_files"}
+
+
+def test_names_are_read_without_the_other_lists(spark):
+    """A query that reads inputs and outputs once neither writes nor extracts the lists it does not read."""
+    plan = Inputs(spark, SF).lists().select("input_datasets", "output_datasets")._jdf.queryExecution().optimizedPlan().toString()
+    assert "(?imdu)%include" not in plan and "proc[" not in plan and "data[" in plan
