@@ -198,3 +198,26 @@ def test_rows_of_one_path_meet_each_other(spark):
     rows = [("/p.sas", "%let a=x;\ndata &a..t;\n"), ("/p.sas", "%let a=y;\ndata &a..t;\n"), ("/q.sas", "data &a;\n"), (None, "data &a;\n")]
     read = resolve.read_corpus(spark.createDataFrame(rows, "file_path string, code string")).read
     assert sorted(r["file_path"] for r in read.collect()) == ["/p.sas"] * 4 + ["/q.sas"]
+
+
+def test_only_programs_that_can_change_their_include_paths_are_read_for_them(spark, monkeypatch):
+    texts = {
+        "a": "%include 'x.sas';\ndata &lib..q;\n%include \"y.sas\";",
+        "b": "data &lib..q;\n%include '&d/x.sas';",
+        "c": "%let d=p;\n%include '&d/x.sas';",
+        "d": "%macro m;\n%include 'x.sas';\n%mend;",
+        "e": "%include 'x.sas'; data q;",
+        "f": "%load(x) &a %include",
+        "g": None,
+    }
+    files = spark.createDataFrame(list(texts.items()), "file_path string, code string")
+    given = []
+    read = resolve._read
+    monkeypatch.setattr(resolve, "_read", lambda files, *a, **k: given.extend(r["file_path"] for r in files.collect()) or read(files, *a, **k))
+    including = files.filter("file_path in ('a', 'b', 'c', 'd', 'e')")
+    found = {r["file_path"]: [(s["site"], s["include_file"], s["path"]) for s in r["sites"]] for r in resolve._first_sites(including).collect()}
+    assert sorted(given) == ["b", "c", "d"]
+    whole = read(including, sites_only=True).collect()
+    assert found == {r["file_path"]: [(s["site"], s["include_file"], s["path"]) for s in r["sites"]] for r in whole}
+    links, _ = resolve.program_links(files)
+    assert {r["file_path"] for r in links.collect()} == {"a", "b", "c", "d", "e"}
