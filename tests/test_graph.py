@@ -214,6 +214,25 @@ def test_pagerank_to_a_tolerance(spark):
     assert none.count() == 0
 
 
+def test_closure_rounds_leave_out_descendants_without_a_way_on(spark, monkeypatch):
+    written = {}
+    count = Scratch.save_counted
+
+    def counted(self, df, label, condition=None):
+        saved = count(self, df, label, condition)
+        written[label] = saved[1]
+        return saved
+
+    monkeypatch.setattr(Scratch, "save_counted", counted)
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "t0"), ("c", "t0")] + [(x, f"t{i}") for x in "bc" for i in range(1, 30)]
+    closure = reach.lineage_closure(pairs(spark, edges), "a", "b").collect()
+    assert {(r[0], r[1]): r[2] for r in closure} == brute_reach(edges) and len(closure) == len(brute_reach(edges))
+    assert [written[f"reach{i}"] for i in (1, 2, 3, 4)] == [3, 3, 3, 0]
+    wanted = spark.createDataFrame([("b",), ("t3",)], "n string")
+    some = reach.lineage_closure(pairs(spark, edges), "a", "b", wanted).collect()
+    assert {(r[0], r[1]): r[2] for r in some} == {k: v for k, v in brute_reach(edges).items() if k[0] == "b"}
+
+
 def test_betweenness_in_batches_of_sources(spark):
     edges = GRAPHS["random1"]
     scores = {r[0]: r[1] for r in centrality.betweenness(pairs(spark, edges), "a", "b", batch=3).collect()}
