@@ -4,6 +4,7 @@ import random
 from collections import deque
 
 import pytest
+from pyspark.sql import functions as F
 
 from threadline.operators import centrality, dependencies, graph, reach, reach_index, resolve, validate
 from threadline.plans.scratch import Scratch
@@ -214,6 +215,24 @@ def test_pagerank_to_a_tolerance(spark):
     assert none.count() == 0
 
 
+def test_pagerank_rounds_move_numbers(spark, monkeypatch):
+    written = []
+    write = Scratch._write
+    monkeypatch.setattr(Scratch, "_write", lambda self, df, label: written.append((label, df.dtypes)) or write(self, df, label))
+    edges = GRAPHS["random1"] + GRAPHS["chain_of_cycles"]
+    ranks = {r[0]: r[1] for r in centrality.pagerank(pairs(spark, edges), "a", "b", tolerance=1e-7).collect()}
+    assert ranks == pytest.approx(brute_pagerank(edges), abs=1e-6)
+    moved = [kinds for label, kinds in written if label in ("edges", "residual", "pushed")]
+    assert moved and not [kinds for kinds in moved if "string" in dict(kinds).values()]
+
+
+def test_pagerank_where_names_share_a_number(spark, monkeypatch):
+    monkeypatch.setattr(centrality, "_number", lambda name: F.length(name).cast("long"))
+    edges = GRAPHS["random1"] + GRAPHS["chain_of_cycles"]
+    ranks = {r[0]: r[1] for r in centrality.pagerank(pairs(spark, edges), "a", "b", tolerance=1e-7).collect()}
+    assert ranks == pytest.approx(brute_pagerank(edges), abs=1e-6)
+
+
 def test_closure_rounds_leave_out_descendants_without_a_way_on(spark, monkeypatch):
     written = {}
     count = Scratch.save_counted
