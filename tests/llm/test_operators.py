@@ -277,6 +277,18 @@ def test_pieces_equal_the_library(documents):
     assert [np.frombuffer(b, "<u4").tolist() for b in pieces.Encoder(path).encode(odd)] == library.encode(odd)
 
 
+def test_a_text_goes_to_python_once(documents, monkeypatch):
+    sent = []
+    kind = type(documents)
+    to_python = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *given: sent.append(len(self.columns)) or to_python(self, *given))
+    path = tokenizer_file("piece_bpe_32k.model")
+    given = len(documents.columns)
+    assert len(pieces.encode_and_decode(documents, path).columns) == given + 2 and sent == [given]
+    numbers = documents.select("doc_id", F.col("doc_id").alias("text"))
+    assert all(r["decoded"] == (r["text"] if r["text"] is None else str(r["text"])) for r in pieces.encode_and_decode(numbers, path).collect())
+
+
 @pytest.mark.parametrize("with_bytes", [False, True])
 def test_unigram_model_by_hand(tmp_path, with_bytes):
     """Scores, ties and unknown characters of a small unigram model, against the library."""

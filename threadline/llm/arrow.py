@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 NULL_ID = np.iinfo(np.int64).max  # null ids sort after all others inside the operators
 
@@ -78,6 +80,36 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack_numbers(blob), dtype=np.uint64)
 
 
+def release() -> None:
+    """Give memory that nothing uses back to the system. Python workers outlive their tasks, and keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def released(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``f``, with ``release`` when a task begins and when it has ended."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        yield from f(batches)
+        release()
+
+    return run
+
+
+def with_text(df: DataFrame, at: int) -> tuple[DataFrame, int]:
+    """The frame, columns named by position, and where it has column ``at`` as a string: there already, or added.
+
+    A text that is a string is not sent to Python twice.
+    """
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    if plain.schema.fields[at].dataType == StringType():
+        return plain, at
+    return plain.withColumn("t", F.col(f"c{at}").cast("string")), len(df.columns)
+
+
 def per_batch(f: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

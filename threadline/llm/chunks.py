@@ -21,7 +21,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from threadline.llm.arrow import pack_numbers, pack_sorted, unpack_sorted
+from threadline.llm.arrow import pack_numbers, pack_sorted, released, unpack_sorted
 from threadline.plans.scratch import Scratch
 
 CHUNK_BYTES = 1_000_000
@@ -86,7 +86,7 @@ def pack(df: DataFrame, text: str, scratch: Scratch) -> Chunks:
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"threadline_chunks_{uuid.uuid4().hex}"
-    rows = plain.mapInArrow(run, SCHEMA).repartition(n, "chunk").write.format("parquet").bucketBy(n, "chunk")
+    rows = plain.mapInArrow(released(run), SCHEMA).repartition(n, "chunk").write.format("parquet").bucketBy(n, "chunk")
     rows.option("compression", "uncompressed").option("path", f"{scratch.root}/{name}").saveAsTable(name)
     packed = spark.table(name)
     # The frame knows its files and buckets; the caller's catalogue keeps no entry, the files stay.
@@ -109,7 +109,7 @@ def each_chunk(chunks: DataFrame, f: Callable[..., Iterator[pa.RecordBatch]], sc
                 row = {k: v[0] for k, v in batch.slice(i, 1).to_pydict().items()}
                 yield from f(row.pop("chunk"), unpack(row.pop("payload")), **row)
 
-    return chunks.mapInArrow(run, schema)
+    return chunks.mapInArrow(released(run), schema)
 
 
 def gather_bits(bits: DataFrame, name: str) -> DataFrame:

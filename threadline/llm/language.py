@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from threadline.llm.arrow import texts_of
+from threadline.llm.arrow import released, texts_of, with_text
 
 UNKNOWN = "und"
 MAX_LANGUAGES = 1024  # checked bound on what tasks receive: MAX_LANGUAGES * 2**bits floats
@@ -103,7 +103,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", bits: int = 16,
             )
 
     rows = df.where(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{text}`").cast("string"), F.col(f"`{lang}`").cast("string"))
-    counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(released(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # One row per language and bucket: fixed by the parameters, whatever the corpus.
     table = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")).limit(MAX_LANGUAGES + 1).collect()
     if len(table) > MAX_LANGUAGES:
@@ -167,12 +167,12 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang_pred: str = "l
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                found, values = score(part.column(len(names)).to_pylist(), held.value)
+                found, values = score(part.column(told).to_pylist(), held.value)
                 columns = [*part.columns[: len(names)], pa.array(found, pa.string()), pa.array(values, pa.float64())]
                 fields = [*[part.schema.field(i) for i in range(len(names))], pa.field("lang", pa.string()), pa.field("score", pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
 
-    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
-    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(plain.schema.fields))
-    out = plain.withColumn("t", F.col(f"c{names.index(text)}").cast("string")).mapInArrow(run, f"{schema}, lang string, score double")
+    plain, told = with_text(df, names.index(text))
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(df.schema.fields))
+    out = plain.mapInArrow(released(run), f"{schema}, lang string, score double")
     return out.toDF(*names, lang_pred, score_col)

@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from threadline.llm.arrow import released, with_text
+
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _UNKNOWN = 10.0  # fixed value of the format: a character without a piece scores so much below the least piece
@@ -285,20 +287,19 @@ def encode_and_decode(df: DataFrame, model: str, text: str = "text") -> DataFram
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, min(500, batch.num_rows - lo))
-                texts = part.column(part.num_columns - 1).to_pylist()
+                texts = part.column(told).to_pylist()
                 ids = [np.frombuffer(b, dtype="<i4") for b in tool.encode([t or "" for t in texts])]
                 bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
                 gone = pa.array([t is None for t in texts])
                 pieces = pa.ListArray.from_arrays(pa.array(bounds, pa.int32(), mask=np.append(gone.to_numpy(zero_copy_only=False), False)), values)
                 decoded = pa.array([None if t is None else tool.decode(v) for t, v in zip(texts, ids)], pa.string())
-                columns = [part.column(i) for i in range(part.num_columns - 1)]
-                fields = [part.schema.field(i) for i in range(part.num_columns - 1)]
+                columns = [part.column(i) for i in range(len(names))]
+                fields = [part.schema.field(i) for i in range(len(names))]
                 schema = pa.schema([*fields, ("pieces", pa.list_(pa.int32())), ("decoded", pa.string())])
                 yield pa.RecordBatch.from_arrays([*columns, pieces, decoded], schema=schema)
 
-    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
-    at = names.index(text)
-    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(plain.schema.fields))
-    out = plain.withColumn("t", F.col(f"c{at}").cast("string")).mapInArrow(run, f"{schema}, pieces array<int>, decoded string")
+    plain, told = with_text(df, names.index(text))
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(df.schema.fields))
+    out = plain.mapInArrow(released(run), f"{schema}, pieces array<int>, decoded string")
     return out.toDF(*names, "pieces", "decoded")
