@@ -270,3 +270,68 @@ def test_programs_are_laid_out_as_by_the_writer_of_texts(spark, tmp_path):
         return sorted((f.parent.name, f.read_bytes()) for f in (tmp_path / name).rglob("part-*") if f.is_file())
 
     assert laid_out("ours") == laid_out("theirs") and len(laid_out("ours")) == len(rows)
+
+
+def small_corpus(path, orders):
+    """The tables behind the program corpus, with ``orders`` orders and one nation and region."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    keys = range(orders)
+    pq.write_table(pa.table({"o_orderkey": pa.array(keys, pa.int64()), "o_custkey": pa.array([k * 7 % 29 for k in keys], pa.int64()), "o_orderpriority": [f"{k % 5}-X" for k in keys]}), path / "orders.parquet")
+    pq.write_table(pa.table({"n_nationkey": pa.array([3], pa.int64())}), path / "nation.parquet")
+    pq.write_table(pa.table({"r_regionkey": pa.array([0], pa.int64())}), path / "region.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("name", ["scan_code_files", "scan_code_files_recursive", "scan_by_line", "scan_file_list"])
+def test_scans_keep_a_part_of_the_files_on_the_disk(spark, tmp_path, monkeypatch, name):
+    from checks import registered
+
+    sf_dir, on_disk = small_corpus(tmp_path, 120), []
+    rows = lambda: sorted(map(tuple, registered.QUERIES[name](spark, sf_dir).collect()), key=str)
+    whole = rows()
+    scanned = registered._scanned
+
+    def seen(df):
+        on_disk.append(len(set(df.inputFiles())))
+        return scanned(df)
+
+    monkeypatch.setattr(registered, "_scanned", seen)
+    monkeypatch.setattr(registered, "_FILES", 30)
+    assert rows() == whole and len(whole) >= 126
+    assert len(on_disk) == 5 and sum(on_disk) == 126 and max(on_disk) < 60
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"f{i:03}.sas").write_text(f"set d{i};\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # the cost of opening a file: one to a task
+    try:
+        for wholetext in (True, False):
+            scan = files.scan_code_files(spark, str(tmp_path), wholetext=wholetext)
+            assert scan.rdd.getNumPartitions() <= 8 * files._WAVES
+            assert {r["code"].strip() for r in scan.collect()} == {f"set d{i};" for i in range(300)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_whole_texts_are_those_of_the_text_reader(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "latin.sas").write_bytes("sét é;\r\n".encode("latin-1"))
+    (tmp_path / "bom.sas").write_bytes(b"\xef\xbb\xbfset a;\n")
+    (tmp_path / "packed.sas.gz").write_bytes(gzip.compress(b"set packed;\n"))
+    (tmp_path / "empty.sas").write_bytes(b"")
+    text = F.md5(F.col("value")).alias("text")
+    for pattern in ("*.[sS][aA][sS]", "*", "*.sas.gz", "{latin,packed}*", "latin.sas"):
+        theirs = spark.read.option("pathGlobFilter", pattern).text(str(tmp_path), wholetext=True).select(text)
+        ours = files.scan_code_files(spark, str(tmp_path), ParseOptions(file_pattern=pattern)).select(F.md5("code"))
+        assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+    for paths in (["latin.sas", "bom.sas"], ["latin.sas", "packed.sas.gz"], ["*.sas*"], ["latin.sas", "latin.sas"]):
+        paths = [str(tmp_path / p) for p in paths]
+        theirs = spark.read.text(paths, wholetext=True).select(text)
+        ours = files.scan_file_list(spark, paths).select(F.md5("code"))
+        assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+    assert not files._may_end_with("*.[sS][aA][sS]", ".gz") and files._may_end_with("*.[^a]z", ".gz")
