@@ -369,3 +369,23 @@ def test_rounds_do_not_move_the_edges(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in plan and plan.count("ENSURE_REQUIREMENTS") == 1
+
+
+def test_betweenness_rounds_move_numbers(spark, monkeypatch):
+    written = []
+    write = Scratch._write
+    monkeypatch.setattr(Scratch, "_write", lambda self, df, label: written.append((label, df.dtypes)) or write(self, df, label))
+    edges = GRAPHS["random1"] + GRAPHS["chain_of_cycles"]
+    scores = {r[0]: r[1] for r in centrality.betweenness(pairs(spark, edges), "a", "b").collect()}
+    assert scores == pytest.approx(brute_betweenness(edges))
+    moved = [kinds for label, kinds in written if label != "names"]
+    assert moved and not [kinds for kinds in moved if "string" in dict(kinds).values()]
+
+
+def test_betweenness_where_names_share_a_number(spark, monkeypatch):
+    monkeypatch.setattr(centrality, "_number", lambda name: F.length(name).cast("long"))
+    edges = GRAPHS["random1"] + GRAPHS["chain_of_cycles"] + [("lone", "lone")]
+    scores = {r[0]: r[1] for r in centrality.betweenness(pairs(spark, edges), "a", "b", batch=3).collect()}
+    assert scores == pytest.approx(brute_betweenness(edges))
+    few = centrality.betweenness(pairs(spark, edges), "a", "b", pivots=3)
+    assert few.count() == len(scores)
