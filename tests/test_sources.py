@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from threadline.config import TABLES, Config, Location, ParseOptions, table_schema
-from threadline.operators import dependencies, runlog
+from threadline.operators import dependencies, graph, runlog
 from threadline.plans import scratch, stages
 from threadline.sources import export, files
 from threadline.sources.tables import Tables, raise_first
@@ -335,3 +336,33 @@ def test_whole_texts_are_those_of_the_text_reader(spark, tmp_path):
         ours = files.scan_file_list(spark, paths).select(F.md5("code"))
         assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
     assert not files._may_end_with("*.[sS][aA][sS]", ".gz") and files._may_end_with("*.[^a]z", ".gz")
+
+
+def test_exported_graph_is_packed_and_alone_on_the_disk(spark, tmp_path, monkeypatch):
+    from checks import registered
+
+    sf_dir, left = small_corpus(tmp_path, 60), []
+    export_graph_json = registered.export_graph_json
+
+    def exported(nodes, edges, path, **options):
+        export_graph_json(nodes, edges, path, **options)
+        root = path.removeprefix("file:").rsplit("/", 1)[0]
+        left.extend(sorted(os.listdir(root)))
+        left.extend(name for kind in ("nodes", "edges") for name in os.listdir(f"{path}/{kind}") if name.endswith(".json"))
+
+    monkeypatch.setattr(registered, "export_graph_json", exported)
+    rows = sorted(map(str, registered.export_graph(spark, sf_dir).collect()))
+    tables, (last,) = [n for n in left if n != "export"], [n for n in left if n == "export"]
+    assert last == "export" and len(tables) == 1 and tables[0].endswith("-edges")
+    inputs = registered.Inputs(spark, sf_dir)
+    edges = inputs.edges()
+    assert len(rows) == edges.count() + graph.lineage_nodes(edges).count()
+
+
+def test_export_is_plain_unless_asked(spark, tmp_path):
+    frame = spark.createDataFrame([("a", 1), (None, None)], "x string, y int")
+    export.export_graph_json(frame, frame, str(tmp_path / "plain"))
+    export.export_graph_json(frame, frame, str(tmp_path / "packed"), compression="gzip")
+    assert [*(tmp_path / "plain" / "edges").glob("*.json")] and [*(tmp_path / "packed" / "edges").glob("*.json.gz")]
+    for kind in ("plain", "packed"):
+        assert sorted(map(str, spark.read.schema(frame.schema).json(f"{tmp_path}/{kind}/nodes").collect())) == sorted(map(str, frame.collect()))
